@@ -61,10 +61,10 @@ def series_blocks(
     own = hot.select(*keys, order_col, "_blk", F.lit(False).alias("_halo"))
     membership = own
     if targets:
-        halo = hot.select(
+        halo = hot.select(*keys, order_col, F.array(*targets).alias("_targets")).select(
             *keys,
             order_col,
-            F.explode(F.filter(F.array(*targets), lambda b: b.isNotNull())).alias("_blk"),
+            F.explode(F.filter("_targets", lambda b: b.isNotNull())).alias("_blk"),
             F.lit(True).alias("_halo"),
         )
         membership = own.unionByName(halo)
