@@ -59,9 +59,9 @@ class CleanConfig:
     min_records_per_product: int = 10
     quantile_accuracy: int = 10000
     keep_flags: bool = False
-    # Stats tables (per warehouse / per product) are broadcast only when
-    # their measured row count is at most this; otherwise shuffle-joined.
-    broadcast_max_rows: int = 1_000_000
+    # Stats tables (per warehouse / per product): None = AQE decides from
+    # the measured size; N = count first, broadcast when at most N rows.
+    broadcast_max_rows: int | None = None
     # Materialise the parsed base in the shared checkpoint folder before
     # the statistics are computed from it (jobs; avoids recomputation).
     checkpoint_base: bool = False

@@ -6,6 +6,7 @@ and are ANSI-safe: only ``try_*`` conversions, never a plain ``cast``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -46,13 +47,44 @@ def legacy_tolerant(fmt: str) -> str:
     return fmt.replace("MM", "M").replace("dd", "d")
 
 
+def format_shape(fmt: str) -> str | None:
+    """Regex of the text a numeric date pattern can match (``yyyy`` ->
+    4 digits, ``M``/``d`` -> 1-2 digits); None when the pattern has other
+    letters (then no pre-check is made)."""
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "y":
+            out.append(r"\d{%d}" % (4 if run != 2 else 2))
+        elif ch in "Md" and run <= 2:
+            out.append(r"\d{1,2}")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(fmt[i:j]))
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
 def multi_format_date(c: Column, formats: Iterable[str], lenient: bool = False) -> Column:
-    """First format that parses wins (coalesce in list order)."""
+    """First format that parses wins (coalesce in list order). Each attempt
+    is guarded by a cheap shape match: a failed parse takes the slow
+    exception path inside the parser, so text of another layout skips it."""
     text = F.trim(c)
     if lenient:
         # cut trailing text such as a time of day at the first blank
         text = F.substring_index(text, " ", 1)
-    attempts = [F.try_to_date(text, legacy_tolerant(f)) for f in formats]
+    attempts = []
+    for f in formats:
+        pattern = legacy_tolerant(f)
+        parsed = F.try_to_date(text, pattern)
+        shape = format_shape(pattern)
+        attempts.append(F.when(text.rlike(shape), parsed) if shape else parsed)
     return F.coalesce(*attempts) if len(attempts) > 1 else attempts[0]
 
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.config import FEATURE_COLUMNS, TrainConfig
+from demandlens.operators.clean import not_null
 from demandlens.operators.evaluate import forecast_metrics, leaderboard
 from demandlens.operators.explore import slice_rows
 
@@ -43,7 +44,7 @@ def split_column(featured_slice: DataFrame, test_year: int) -> DataFrame:
     dropped first."""
     y = F.col("year")
     return (
-        featured_slice.na.drop()
+        featured_slice.filter(not_null(featured_slice.columns))
         .withColumn(
             "split", F.when(y < test_year, F.lit("train")).when(y == test_year, F.lit("test"))
         )

@@ -20,12 +20,18 @@ def attach_stats(
     facts: DataFrame,
     stats: DataFrame,
     on: Sequence[str],
-    max_broadcast_rows: int | None = 1_000_000,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
-    """``facts LEFT JOIN stats USING (on)`` with a size-checked broadcast.
+    """``facts LEFT JOIN stats USING (on)``.
 
-    ``max_broadcast_rows=None`` leaves the decision to the planner (AQE
-    converts to a broadcast at run time from the measured shuffle size).
+    ``max_broadcast_rows=None`` (default): one plan, no extra action. The
+    statistic is an aggregate; AQE measures its materialised size and
+    turns the join into a broadcast below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps the
+    sort-merge join, whose skewed fact partitions it splits.
+
+    ``max_broadcast_rows=N``: the statistic is persisted and counted first;
+    broadcast when it has at most N rows, shuffle join otherwise.
     """
     on = list(on)
     if max_broadcast_rows is None:

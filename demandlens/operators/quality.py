@@ -55,7 +55,7 @@ def flag_outliers_iqr(
     multiplier: float = 3.0,
     accuracy: int = 10000,
     exact: bool = False,
-    broadcast_max_rows: int | None = 1_000_000,
+    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     fences = warehouse_fences(df, multiplier, accuracy, exact).select(
         "Warehouse", "lower_fence", "upper_fence"
@@ -76,7 +76,7 @@ def warehouse_moments(df: DataFrame) -> DataFrame:
 
 
 def flag_outliers_zscore(
-    df: DataFrame, threshold: float = 4.0, broadcast_max_rows: int | None = 1_000_000
+    df: DataFrame, threshold: float = 4.0, broadcast_max_rows: int | None = None
 ) -> DataFrame:
     cols = df.columns
     joined = attach_stats(df, warehouse_moments(df), ["Warehouse"], broadcast_max_rows)
@@ -106,7 +106,7 @@ def product_record_counts(df: DataFrame) -> DataFrame:
 
 
 def flag_sparse_products(
-    df: DataFrame, min_records: int = 10, broadcast_max_rows: int | None = 1_000_000
+    df: DataFrame, min_records: int = 10, broadcast_max_rows: int | None = None
 ) -> DataFrame:
     cols = df.columns
     joined = attach_stats(df, product_record_counts(df), ["Product_Code"], broadcast_max_rows)

@@ -20,7 +20,7 @@ from demandlens.operators import quality as Q
 from demandlens.operators import score as SC
 from demandlens.plans.pipelines import clean, parse_stage
 from demandlens.session import scratch_path
-from demandlens.sources.fixture import raw_demand
+from demandlens.sources.fixture import landed_raw_demand, raw_demand
 from demandlens.sources.readers import read_cleaned, read_raw
 from demandlens.sources.sinks import write_cleaned
 
@@ -58,7 +58,7 @@ def _r(c: str | Column, name: str | None = None) -> Column:
 
 
 def _raw(spark, sf):
-    return raw_demand(spark, sf)
+    return landed_raw_demand(spark, sf)
 
 
 def _parsed(spark, sf):
@@ -88,7 +88,7 @@ def _round_features(df: DataFrame) -> DataFrame:
 
 
 def q_raw_demand(spark, sf):
-    return _raw(spark, sf)
+    return raw_demand(spark, sf)
 
 
 def q_scan_csv_roundtrip(spark, sf):

@@ -4,44 +4,92 @@ feature pipeline, each a plain ``DataFrame -> DataFrame`` function."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from demandlens.config import CleanConfig, FeatureConfig
+from demandlens.config import KEY_COLUMNS, RAW_COLUMNS, CleanConfig, FeatureConfig
+from demandlens.functions.parsing import (
+    demand_to_long,
+    failed_parse,
+    multi_format_date,
+    normalise_key,
+)
 from demandlens.operators import clean as C
 from demandlens.operators import quality as Q
 
 
-def parse_stage(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """Names, schema check, dedupe (before normalisation), keys, date and
-    demand parsing, anomaly flags. Rows are not removed yet."""
+_RAW = [f"_raw_{c}" for c in RAW_COLUMNS]
+
+
+def parse_rows(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """Every row parsed ONCE, next to its original strings (``_raw_*``):
+    normalised keys, demand, date, the two failure flags and the anomaly
+    flags. Parsing is a deterministic function of the raw strings, so
+    duplicates of a raw row parse identically."""
     df = C.normalise_column_names(df)
     C.validate_schema(df)
-    df = C.drop_duplicates(df)
-    df = C.clean_categoricals(df)
-    df = C.parse_date(df, cfg.date_formats, cfg.lenient_dates)
-    df = C.parse_order_demand(df)
-    return C.flag_demand_anomalies(df)
+    values = df.select(
+        *[F.col(c).alias(r) for c, r in zip(RAW_COLUMNS, _RAW)],
+        *[normalise_key(F.col(c)).alias(c) for c in KEY_COLUMNS],
+        demand_to_long(F.col("Order_Demand")).alias("Order_Demand"),
+        multi_format_date(F.col("Date"), cfg.date_formats, cfg.lenient_dates).alias("Date"),
+    )
+    d = F.col("Order_Demand")
+    return values.select(
+        *_RAW,
+        *KEY_COLUMNS,
+        "Order_Demand",
+        "Date",
+        failed_parse(F.col("Date"), F.col("_raw_Date")).alias("date_parse_failed"),
+        failed_parse(d, F.col("_raw_Order_Demand")).alias("demand_cast_failed"),
+        (d < 0).alias("is_negative_demand"),
+        (d == 0).alias("is_zero_demand"),
+    )
+
+
+def dedupe_raw(rows: DataFrame) -> DataFrame:
+    """Exact-duplicate removal on the ORIGINAL strings (before
+    normalisation, so rows equal only after trim/upper both survive).
+
+    The parsed columns are functions of the raw strings, so grouping on
+    all columns equals grouping on the raw ones, and stays a hash aggregate
+    with map-side combine (a subset key would need ``first()`` over
+    strings, which forces a sort-based aggregate)."""
+    return rows.dropDuplicates().drop(*_RAW)
+
+
+def parse_stage(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """Names, schema check, dedupe, keys, date and demand parsing, anomaly
+    flags. Rows are not removed yet."""
+    return dedupe_raw(parse_rows(df, cfg))
+
+
+def _keep(df: DataFrame) -> DataFrame:
+    return C.drop_null_keys(C.drop_negative_demand(df))
 
 
 def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """Raw all-string rows -> typed, annotated demand rows. No action runs
-    here except the size checks of the statistics joins."""
-    df = parse_stage(df, cfg)
+    """Raw all-string rows -> typed, annotated demand rows, without any
+    Spark action.
+
+    Reference order: dedupe, parse, drop ``Order_Demand < 0`` and NULL
+    demand, drop NULL keys/dates, null strategy (nothing left to fill),
+    outliers, sparse products, calendar. Row filters commute with the
+    dedupe (duplicates parse alike), so they run before its shuffle."""
+    rows = parse_rows(df, cfg)
     if cfg.impute_before_filter:
+        # null strategies see NULL demand; the median needs deduped rows
         df = C.handle_nulls(
-            df,
+            dedupe_raw(rows),
             cfg.null_demand_strategy,
             accuracy=cfg.quantile_accuracy,
             broadcast_max_rows=cfg.broadcast_max_rows,
         )
         df = C.drop_negative_demand(df)
     else:
-        df = C.drop_negative_demand(df)
-        df = C.handle_nulls(
-            df,
-            cfg.null_demand_strategy,
-            accuracy=cfg.quantile_accuracy,
-            broadcast_max_rows=cfg.broadcast_max_rows,
-        )
+        if cfg.null_demand_strategy not in ("drop", "zero", "median"):
+            raise ValueError(f"Unknown null_demand_strategy '{cfg.null_demand_strategy}'.")
+        # after the >= 0 filter no NULL demand is left: every strategy is a no-op
+        df = dedupe_raw(_keep(rows))
     if cfg.checkpoint_base:
         # written once to the shared folder; the statistics and the facts
         # below then read it instead of recomputing dedupe and parsing

@@ -96,3 +96,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ensure_parallelism(df):
+    """Round-robin spread a DataFrame that arrives in fewer partitions than
+    the cluster has cores (a small single-row-group file scans as one
+    task). Inputs that already split wider are returned untouched, so on
+    large data this is a no-op and adds no shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

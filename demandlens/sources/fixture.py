@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandlens.session import ensure_parallelism, scratch_path
+
+_LANDED: dict[tuple[str, str], str] = {}
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -23,10 +27,18 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
     )
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    # the three text layouts are formatted once per order, not per line
+    orders = _table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.date_format("o_orderdate", "yyyy/M/d").alias("_d_slash"),
+        F.date_format("o_orderdate", "MM/dd/yyyy").alias("_d_us"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("_d_iso"),
+    )
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey
+    j = ensure_parallelism(
+        li.join(orders, li.l_orderkey == orders.o_orderkey).join(
+            part, li.l_partkey == part.p_partkey
+        )
     )
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     qty100 = (F.col("l_quantity") * 100).cast("bigint").cast("string")
@@ -46,9 +58,9 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     date = (
         F.when(ok % 97 == 0, F.lit("not-a-date"))
         .when(ok % 101 == 0, F.lit(None).cast("string"))
-        .when(ok % 3 == 0, F.date_format("o_orderdate", "yyyy/M/d"))
-        .when(ok % 3 == 1, F.date_format("o_orderdate", "MM/dd/yyyy"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .when(ok % 3 == 0, F.col("_d_slash"))
+        .when(ok % 3 == 1, F.col("_d_us"))
+        .otherwise(F.col("_d_iso"))
     )
     demand = (
         F.when(ok % 103 == 0, F.lit(None).cast("string"))
@@ -73,6 +85,21 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw view landed once per session as an all-string Parquet table
+    in the shared checkpoint folder, the way raw CSV files land before
+    cleaning. Later queries scan plain string columns instead of
+    re-deriving the view (whose expressions would otherwise be inlined
+    into every pushed-down predicate)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, "raw_demand")
+        raw_demand(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return ensure_parallelism(spark.read.parquet(path))
+
+
 # DuckDB text of the same view (used by the oracle SQL of every query).
 RAW_DEMAND_DUCKDB = r"""
 SELECT
