@@ -230,6 +230,22 @@ def fit_predict(
     return model, pred
 
 
+def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
+    """Persist a training frame with a partition count fitted to its row
+    count: iterative learners launch jobs per iteration, and a small slice
+    spread over many near-empty partitions pays that overhead per task.
+    Large slices keep (at least) their partitioning."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.count()
+    want = max(1, -(-n // rows_per_partition))
+    if want < df.rdd.getNumPartitions():
+        small = df.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
+        small.count()
+        df.unpersist()
+        return small
+    return df
+
+
 def run_tournament(
     featured: DataFrame, cfg: TrainConfig
 ) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
@@ -238,8 +254,8 @@ def run_tournament(
     predictions). Train/test are persisted once and reused by all models."""
     s = whale_slice(featured, cfg.target_warehouse, cfg.target_category)
     train, test = train_test(s, cfg.test_year)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    train = right_size(train)
+    test = right_size(test)
     models: dict[str, PipelineModel] = {}
     preds = None
     for name in cfg.models:

@@ -299,7 +299,8 @@ def q_leaderboard(spark, sf):
 
 def _split(spark, sf):
     s = FC.whale_slice(_featured(spark, sf), WAREHOUSE, CATEGORY)
-    return FC.train_test(s, TEST_YEAR)
+    train, test = FC.train_test(s, TEST_YEAR)
+    return FC.right_size(train), FC.right_size(test)
 
 
 def _contender(name):
