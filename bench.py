@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from demandlens.plans.catalog import QUERIES  # noqa: E402
 from demandlens.session import build_session  # noqa: E402
+from demandlens.sources.fixture import landed_raw_demand  # noqa: E402
 
 HEADLINE = [
     "clean_demand",
@@ -50,6 +51,10 @@ def main() -> None:
     # warm-up: JIT and file listing, not timed
     QUERIES["raw_demand"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
+    # the raw view lands once per session (the ingest of the raw files)
+    t0 = time.time()
+    landed_raw_demand(spark, sf_dir)
+    times["land_raw_demand"] = round(time.time() - t0, 3)
     for key in only or HEADLINE:
         t0 = time.time()
         QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()

@@ -65,6 +65,11 @@ def train_job(
     report_dir = cfg.report_dir or f"{base}/reports"
     t0 = time.time()
     cleaned = read_cleaned(spark, cleaned_uri, fmt)
+    if features.category_first:
+        # filter the slice before the windows (prunes Warehouse directories
+        # and shrinks the window input); valid only when every product has
+        # one category, otherwise lag values change
+        cleaned = FC.whale_slice(cleaned, cfg.target_warehouse, cfg.target_category)
     featured = engineer_features(cleaned, features)
     board, models, _ = FC.run_tournament(featured, cfg)
     board = board.persist()

@@ -23,6 +23,22 @@ def duckdb_con(sf_dir: str):
     return con
 
 
+# Spark simple type names and the Arrow names they map to.
+_SPARK_TO_ARROW = {
+    "bigint": "int64", "int": "int32", "smallint": "int16", "tinyint": "int8", "double": "double",
+    "float": "float", "string": "string", "date": "date32", "boolean": "bool",
+}
+
+
+def _spark_name(t: str) -> str:
+    return _SPARK_TO_ARROW.get(t, t)
+
+
+def _arrow_name(t) -> str:
+    name = str(t)
+    return {"large_string": "string", "date32[day]": "date32", "string_view": "string"}.get(name, name)
+
+
 def _norm(v):
     if v is None:
         return None
@@ -47,9 +63,11 @@ def compare(spark, con, key: str, sf_dir: str, spark_fn, sql: str) -> dict:
     s_cols = sdf.columns
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    tbl = con.sql(sql).to_arrow_table()
+    d_cols = list(tbl.column_names)
+    d_rows = [tuple(r.values()) for r in tbl.to_pylist()]
+    d_types = {f.name: _arrow_name(f.type) for f in tbl.schema}
+    s_types = {f.name: _spark_name(f.dataType.simpleString()) for f in sdf.schema.fields}
     out = {"key": key, "spark_rows": len(s_rows), "duck_rows": len(d_rows), "sec": round(t1 - t0, 2)}
     out["cols_match"] = sorted(s_cols) == sorted(d_cols)
     if not out["cols_match"]:
@@ -57,12 +75,17 @@ def compare(spark, con, key: str, sf_dir: str, spark_fn, sql: str) -> dict:
         out["duck_cols"] = sorted(d_cols)
         out["ok"] = False
         return out
+    out["types_match"] = s_types == d_types
+    if not out["types_match"]:
+        out["type_diffs"] = {k: (s_types.get(k), d_types.get(k)) for k in s_types if s_types.get(k) != d_types.get(k)}
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     out["values_match"] = a == b
     if not out["values_match"]:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
         out["first_diffs"] = diff
-    out["ok"] = out["cols_match"] and out["values_match"] and len(s_rows) == len(d_rows)
+    out["ok"] = (
+        out["cols_match"] and out["values_match"] and out["types_match"] and len(s_rows) == len(d_rows)
+    )
     return out
 
 
