@@ -15,24 +15,34 @@ from demandlens.config import KEY_COLUMNS, CleanConfig
 from demandlens.operators.joins import attach_stats
 
 
+def _positive(x: Column) -> Column:
+    # conditional input instead of a pre-filter: a filter would be pushed
+    # below the dedupe aggregate and fork the plan, while a NULL-ignoring
+    # aggregate keeps one subtree that the facts and every statistic share
+    return F.when(x > 0, x)
+
+
 def warehouse_fences(
     df: DataFrame, multiplier: float = 3.0, accuracy: int = 10000, exact: bool = False
 ) -> DataFrame:
     """Q1/Q3 of positive demand per warehouse and the fences
     ``Q1 - m*IQR`` / ``Q3 + m*IQR``. One sketch yields both quartiles;
-    ``exact=True`` uses the exact (memory-heavier) discrete percentile."""
-    x = F.col("Order_Demand")
+    ``exact=True`` uses the exact (memory-heavier) discrete percentile.
+    Warehouses without positive demand get no row."""
+    x = _positive(F.col("Order_Demand"))
     if exact:
-        q1 = F.expr("percentile_disc(0.25) WITHIN GROUP (ORDER BY Order_Demand)")
-        q3 = F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY Order_Demand)")
-        stats = df.filter(x > 0).groupBy("Warehouse").agg(q1.alias("Q1"), q3.alias("Q3"))
+        pos = "CASE WHEN Order_Demand > 0 THEN Order_Demand END"
+        stats = df.groupBy("Warehouse").agg(
+            F.expr(f"percentile_disc(0.25) WITHIN GROUP (ORDER BY {pos})").alias("Q1"),
+            F.expr(f"percentile_disc(0.75) WITHIN GROUP (ORDER BY {pos})").alias("Q3"),
+        )
     else:
         stats = (
-            df.filter(x > 0)
-            .groupBy("Warehouse")
+            df.groupBy("Warehouse")
             .agg(F.percentile_approx(x, [0.25, 0.75], accuracy).alias("_q"))
             .select("Warehouse", F.col("_q")[0].alias("Q1"), F.col("_q")[1].alias("Q3"))
         )
+    stats = stats.filter(F.col("Q1").isNotNull())
     iqr = F.col("Q3") - F.col("Q1")
     return stats.select(
         "Warehouse",
@@ -67,11 +77,11 @@ def flag_outliers_iqr(
 
 
 def warehouse_moments(df: DataFrame) -> DataFrame:
-    x = F.col("Order_Demand")
+    x = _positive(F.col("Order_Demand"))
     return (
-        df.filter(x > 0)
-        .groupBy("Warehouse")
+        df.groupBy("Warehouse")
         .agg(F.avg(x).alias("mean_demand"), F.stddev_samp(x).alias("std_demand"))
+        .filter(F.col("mean_demand").isNotNull())
     )
 
 
@@ -98,10 +108,12 @@ def flag_outliers(df: DataFrame, cfg: CleanConfig) -> DataFrame:
 
 
 def product_record_counts(df: DataFrame) -> DataFrame:
+    """Non-null demand rows per product; products without any get no row
+    (their sparse flag stays NULL)."""
     return (
-        df.filter(F.col("Order_Demand").isNotNull())
-        .groupBy("Product_Code")
-        .agg(F.count(F.lit(1)).alias("record_count"))
+        df.groupBy("Product_Code")
+        .agg(F.count("Order_Demand").alias("record_count"))
+        .filter(F.col("record_count") > 0)
     )
 
 

@@ -18,7 +18,7 @@ from demandlens.operators import features as FE
 from demandlens.operators import forecast as FC
 from demandlens.operators import quality as Q
 from demandlens.operators import score as SC
-from demandlens.plans.pipelines import clean, parse_stage
+from demandlens.plans.pipelines import clean, clean_stages, parse_stage
 from demandlens.session import scratch_path
 from demandlens.sources.fixture import landed_raw_demand, raw_demand
 from demandlens.sources.readers import read_cleaned, read_raw
@@ -183,13 +183,14 @@ def q_flag_sparse_products(spark, sf):
 
 def q_warehouse_outliers(spark, sf):
     """Flagship: outlier rows and fences per warehouse after cleaning."""
-    flagged = _cleaned(spark, sf, keep_flags=True)
-    counts = flagged.groupBy("Warehouse").agg(
+    stages = clean_stages(_raw(spark, sf), CLEAN_CFG)
+    counts = stages["flagged"].groupBy("Warehouse").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("is_outlier")).alias("outlier_rows"),
         F.count_if(F.col("is_sparse_product")).alias("sparse_rows"),
     )
-    fences = Q.warehouse_fences(_base(spark, sf), IQR_MULTIPLIER).select(
+    # same subtree as the fences inside the flags: one shared computation
+    fences = Q.warehouse_fences(stages["base"], IQR_MULTIPLIER).select(
         "Warehouse", _r("lower_fence"), _r("upper_fence")
     )
     return counts.join(fences, "Warehouse", "left")

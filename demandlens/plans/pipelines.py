@@ -67,42 +67,50 @@ def _keep(df: DataFrame) -> DataFrame:
     return C.drop_null_keys(C.drop_negative_demand(df))
 
 
-def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
-    """Raw all-string rows -> typed, annotated demand rows, without any
-    Spark action.
-
-    Reference order: dedupe, parse, drop ``Order_Demand < 0`` and NULL
-    demand, drop NULL keys/dates, null strategy (nothing left to fill),
-    outliers, sparse products, calendar. Row filters commute with the
-    dedupe (duplicates parse alike), so they run before its shuffle."""
+def clean_stages(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> dict[str, DataFrame]:
+    """The cleaning pipeline with its intermediate frames: ``base`` (parsed,
+    filtered, deduplicated), ``flagged`` (with every flag) and ``cleaned``
+    (the output). Queries that need a statistic of ``base`` next to the
+    output build it from the same frame, so both branches share one plan
+    subtree and Spark reuses its exchanges instead of cleaning twice."""
     rows = parse_rows(df, cfg)
     if cfg.impute_before_filter:
         # null strategies see NULL demand; the median needs deduped rows
-        df = C.handle_nulls(
+        base = C.handle_nulls(
             dedupe_raw(rows),
             cfg.null_demand_strategy,
             accuracy=cfg.quantile_accuracy,
             broadcast_max_rows=cfg.broadcast_max_rows,
         )
-        df = C.drop_negative_demand(df)
+        base = C.drop_negative_demand(base)
     else:
         if cfg.null_demand_strategy not in ("drop", "zero", "median"):
             raise ValueError(f"Unknown null_demand_strategy '{cfg.null_demand_strategy}'.")
         # after the >= 0 filter no NULL demand is left: every strategy is a no-op
-        df = dedupe_raw(_keep(rows))
+        base = dedupe_raw(_keep(rows))
     if cfg.checkpoint_base:
         # written once to the shared folder; the statistics and the facts
         # below then read it instead of recomputing dedupe and parsing
-        df = df.checkpoint(eager=True)
-    df = Q.flag_outliers(df, cfg)
-    df = Q.flag_sparse_products(df, cfg.min_records_per_product, cfg.broadcast_max_rows)
-    df = C.add_temporal_columns(df)
+        base = base.checkpoint(eager=True)
+    flagged = Q.flag_outliers(base, cfg)
+    flagged = Q.flag_sparse_products(flagged, cfg.min_records_per_product, cfg.broadcast_max_rows)
+    flagged = C.add_temporal_columns(flagged)
     # reference column order: keys first (the statistic joins move them)
     lead = ["Product_Code", "Warehouse", "Product_Category", "Order_Demand", "Date"]
-    df = df.select(*lead, *[c for c in df.columns if c not in lead])
-    if not cfg.keep_flags:
-        df = C.drop_flag_columns(df)
-    return df
+    flagged = flagged.select(*lead, *[c for c in flagged.columns if c not in lead])
+    cleaned = flagged if cfg.keep_flags else C.drop_flag_columns(flagged)
+    return {"base": base, "flagged": flagged, "cleaned": cleaned}
+
+
+def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """Raw all-string rows -> typed, annotated demand rows, without any
+    Spark action.
+
+    Reference order: dedupe, parse, drop ``Order_Demand < 0`` and NULL
+    demand, drop NULL keys/dates, null strategy (nothing left to fill),
+    outliers, sparse products, calendar. Row filters commute with the
+    dedupe (duplicates parse alike), so they run before its shuffle."""
+    return clean_stages(df, cfg)["cleaned"]
 
 
 def engineer_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
