@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -256,11 +257,15 @@ def run_tournament(
     train, test = train_test(s, cfg.test_year)
     train = right_size(train)
     test = right_size(test)
-    models: dict[str, PipelineModel] = {}
+    # contenders are independent, seeded Spark jobs: fit them concurrently
+    # so a small slice does not leave most cores idle
+    with ThreadPoolExecutor(max_workers=max(1, min(len(cfg.models), 8))) as pool:
+        futures = {name: pool.submit(fit_predict, name, train, test, cfg) for name in cfg.models}
+        fitted = {name: f.result() for name, f in futures.items()}
+    models: dict[str, PipelineModel] = {name: fitted[name][0] for name in cfg.models}
     preds = None
     for name in cfg.models:
-        model, p = fit_predict(name, train, test, cfg)
-        models[name] = model
+        p = fitted[name][1]
         preds = p if preds is None else preds.unionByName(p)
     board = leaderboard(forecast_metrics(preds, cfg.high_demand_threshold))
     return board, models, preds

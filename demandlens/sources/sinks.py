@@ -32,10 +32,12 @@ def write_table(
 def layout_for_write(df: DataFrame, buckets_per_warehouse: int = 16) -> DataFrame:
     """Spread each warehouse over several tasks before a Warehouse-partitioned
     write: hashing on Warehouse alone would put a whole warehouse (there are
-    only a handful) into one task and one huge file."""
+    only a handful) into one task and one huge file. The bucket hashes the
+    whole row, so even a product holding a large share of the rows spreads
+    over all buckets of its warehouse (rows are distinct after cleaning)."""
     if buckets_per_warehouse <= 1:
         return df
-    bucket = F.pmod(F.xxhash64("Product_Code"), F.lit(buckets_per_warehouse))
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets_per_warehouse))
     return df.repartition("Warehouse", bucket)
 
 
