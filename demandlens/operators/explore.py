@@ -27,10 +27,13 @@ def _r(c: Column) -> Column:
 
 
 def describe_demand(
-    df: DataFrame, cols: Sequence[str] = ("Order_Demand", "day_of_week", "week_of_year")
+    df: DataFrame,
+    cols: Sequence[str] = ("Order_Demand", "day_of_week", "week_of_year"),
+    text_cols: Sequence[str] = ("Product_Code", "Product_Category"),
 ) -> DataFrame:
-    """count / mean / stddev / min / max per numeric column, typed, from one
-    aggregation, returned long (one row per column)."""
+    """count / mean / stddev / min / max per column from ONE aggregation,
+    returned long (one row per column). Numeric columns fill the typed
+    ``min``/``max``; text columns have count and ``min_text``/``max_text``."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
@@ -41,16 +44,30 @@ def describe_demand(
             F.min(x).alias(f"{c}__min"),
             F.max(x).alias(f"{c}__max"),
         ]
+    for c in text_cols:
+        aggs += [
+            F.count(c).alias(f"{c}__count"),
+            F.min(c).alias(f"{c}__min"),
+            F.max(c).alias(f"{c}__max"),
+        ]
     wide = df.agg(*aggs)
-    parts = ", ".join(
-        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__stddev`, `{c}__min`, `{c}__max`" for c in cols
-    )
+    null_d, null_s = "CAST(NULL AS DOUBLE)", "CAST(NULL AS STRING)"
+    parts = [
+        f"'{c}', `{c}__count`, `{c}__mean`, `{c}__stddev`, `{c}__min`, `{c}__max`, {null_s}, {null_s}"
+        for c in cols
+    ] + [
+        f"'{c}', `{c}__count`, {null_d}, {null_d}, {null_d}, {null_d}, `{c}__min`, `{c}__max`"
+        for c in text_cols
+    ]
     long = wide.select(
-        F.expr(f"stack({len(cols)}, {parts}) AS (column_name, count, mean, stddev, min, max)")
+        F.expr(
+            f"stack({len(parts)}, {', '.join(parts)}) "
+            "AS (column_name, count, mean, stddev, min, max, min_text, max_text)"
+        )
     )
     return long.select(
         "column_name", "count", _r(F.col("mean")).alias("mean"),
-        _r(F.col("stddev")).alias("stddev"), "min", "max",
+        _r(F.col("stddev")).alias("stddev"), "min", "max", "min_text", "max_text",
     )
 
 

@@ -218,16 +218,24 @@ ORACLE: dict[str, str] = {
     ),
     "demand_features": _q("SELECT * FROM featured"),
     "describe_demand": _q(
-        """SELECT column_name, count, round(mean, 4) AS mean, round(stddev, 4) AS stddev, min, max FROM (
+        """SELECT column_name, count, round(mean, 4) AS mean, round(stddev, 4) AS stddev, min, max,
+                  min_text, max_text FROM (
           SELECT 'Order_Demand' AS column_name, count(Order_Demand) AS count, avg(Order_Demand) AS mean,
                  stddev_samp(Order_Demand) AS stddev, CAST(min(Order_Demand) AS DOUBLE) AS min,
-                 CAST(max(Order_Demand) AS DOUBLE) AS max FROM cleaned
+                 CAST(max(Order_Demand) AS DOUBLE) AS max, CAST(NULL AS VARCHAR) AS min_text,
+                 CAST(NULL AS VARCHAR) AS max_text FROM cleaned
           UNION ALL
           SELECT 'day_of_week', count(day_of_week), avg(day_of_week), stddev_samp(day_of_week),
-                 CAST(min(day_of_week) AS DOUBLE), CAST(max(day_of_week) AS DOUBLE) FROM cleaned
+                 CAST(min(day_of_week) AS DOUBLE), CAST(max(day_of_week) AS DOUBLE), NULL, NULL FROM cleaned
           UNION ALL
           SELECT 'week_of_year', count(week_of_year), avg(week_of_year), stddev_samp(week_of_year),
-                 CAST(min(week_of_year) AS DOUBLE), CAST(max(week_of_year) AS DOUBLE) FROM cleaned)"""
+                 CAST(min(week_of_year) AS DOUBLE), CAST(max(week_of_year) AS DOUBLE), NULL, NULL FROM cleaned
+          UNION ALL
+          SELECT 'Product_Code', count(Product_Code), NULL, NULL, NULL, NULL, min(Product_Code),
+                 max(Product_Code) FROM cleaned
+          UNION ALL
+          SELECT 'Product_Category', count(Product_Category), NULL, NULL, NULL, NULL, min(Product_Category),
+                 max(Product_Category) FROM cleaned)"""
     ),
     "monthly_demand": _q(
         f"""SELECT strftime(Date, '%Y-%m') AS year_month, CAST(sum(Order_Demand) AS BIGINT) AS total_demand

@@ -58,6 +58,23 @@ def write_to(df: DataFrame, cfg: SourceConfig, fmt: str = "parquet", **kw) -> st
     return uri
 
 
+def leaderboard_document(board: DataFrame) -> DataFrame:
+    """One row, one JSON text: ``{model: {MAE, Accuracy, F1, Precision,
+    Recall}}`` in rank order (the leaderboard report format)."""
+    metrics = F.struct(
+        F.col("mae").alias("MAE"),
+        F.col("accuracy").alias("Accuracy"),
+        F.col("f1").alias("F1"),
+        F.col("precision").alias("Precision"),
+        F.col("recall").alias("Recall"),
+    )
+    entries = F.sort_array(F.collect_list(F.struct("rank", "model", metrics.alias("m"))))
+    pairs = F.transform(entries, lambda e: F.struct(e["model"], e["m"]))
+    return board.agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+
+
 def write_leaderboard(board: DataFrame, uri: str) -> None:
-    """The leaderboard has one row per contender: one small JSON file."""
-    board.coalesce(1).write.mode("overwrite").json(uri)
+    """The leaderboard has one row per contender: rows as JSON lines under
+    ``uri`` and the report document under ``uri``/document."""
+    board.coalesce(1).write.mode("overwrite").json(uri + "/rows")
+    leaderboard_document(board).coalesce(1).write.mode("overwrite").text(uri + "/document")

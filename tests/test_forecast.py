@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -7,6 +8,7 @@ from demandlens.config import FEATURE_COLUMNS, TrainConfig
 from demandlens.operators import evaluate as EV
 from demandlens.operators import forecast as FC
 from demandlens.operators import registry as RG
+from demandlens.sources.sinks import leaderboard_document
 
 
 def featured(spark, n=120, seed=0):
@@ -85,6 +87,8 @@ def test_tournament_and_registry(spark, tmp_path):
     table = spark.read.parquet(reg)
     assert table.count() == 4
     assert table.filter("alias = 'Production'").count() == 1
+    doc = json.loads(leaderboard_document(board).first().value)
+    assert list(doc) == [r.model for r in rows] and set(doc[rows[0].model]) == {"MAE", "Accuracy", "F1", "Precision", "Recall"}
     model, version = RG.load_by_alias(spark, reg, "demand")
     assert "@Production" in version
     assert model.transform(df).count() == df.count()
