@@ -31,10 +31,16 @@ def clean_job(
     during the write itself (no extra pass)."""
     shared_dir(spark)
     t0 = time.time()
-    if cfg.keep_flags and not cfg.checkpoint_base:
-        # flags need the statistics: materialise the base once in the
-        # shared folder instead of computing it for each statistic
-        cfg = replace(cfg, checkpoint_base=True)
+    if cfg.keep_flags:
+        # flags need the statistics: materialise the base once in the shared
+        # folder; each statistic is then a cheap aggregate over that table,
+        # counted and broadcast before the facts are read again, so no fact
+        # shuffle is planned for the statistic joins
+        cfg = replace(
+            cfg,
+            checkpoint_base=True,
+            broadcast_max_rows=cfg.broadcast_max_rows or 1_000_000,
+        )
     cleaned = clean(read_raw(spark, raw_uri, header=header), cfg)
     obs = Observation("clean_job")
     observed = cleaned.observe(

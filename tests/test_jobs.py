@@ -20,6 +20,12 @@ def test_clean_and_train_jobs(spark):
     expected = K.q_clean_demand(spark, SF_SMALL).count()
     assert m["rows"] == expected
     assert read_cleaned(spark, out).count() == expected
+    flagged_out = scratch_path(spark, "flagged")
+    m2 = clean_job(spark, raw_csv, flagged_out, CleanConfig(min_records_per_product=20, keep_flags=True))
+    flagged = read_cleaned(spark, flagged_out)
+    assert m2["rows"] == expected and "is_outlier" in flagged.columns
+    want = K._cleaned(spark, SF_SMALL, keep_flags=True).filter("is_outlier").count()
+    assert flagged.filter("is_outlier").count() == want
     cfg = TrainConfig(test_year=2001, num_trees=3, boost_iters=3, high_demand_threshold=4000.0,
                       models=("Baseline Linear", "Random Forest"))
     res = train_job(spark, out, cfg)
