@@ -18,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from demandlens.config import FEATURE_COLUMNS, TrainConfig
@@ -39,11 +39,20 @@ def whale_slice(featured: DataFrame, warehouse: str, category: str) -> DataFrame
     return slice_rows(featured, warehouse, category)
 
 
-def split_column(featured_slice: DataFrame, test_year: int) -> DataFrame:
+def split_column(
+    featured_slice: DataFrame, test_year: int, observation: Observation | None = None
+) -> DataFrame:
     """``split`` = train for years before ``test_year``, test for it; later
     years belong to neither side and are dropped. Rows with any NULL are
-    dropped first."""
+    dropped first; with an ``observation`` the slice size and the number of
+    dropped incomplete rows are recorded while the data is read."""
     y = F.col("year")
+    if observation is not None:
+        featured_slice = featured_slice.observe(
+            observation,
+            F.count(F.lit(1)).alias("slice_rows"),
+            F.count_if(~not_null(featured_slice.columns)).alias("incomplete_rows"),
+        )
     return (
         featured_slice.filter(not_null(featured_slice.columns))
         .withColumn(
@@ -53,8 +62,10 @@ def split_column(featured_slice: DataFrame, test_year: int) -> DataFrame:
     )
 
 
-def train_test(featured_slice: DataFrame, test_year: int) -> tuple[DataFrame, DataFrame]:
-    s = split_column(featured_slice, test_year)
+def train_test(
+    featured_slice: DataFrame, test_year: int, observation: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    s = split_column(featured_slice, test_year, observation)
     train = s.filter(F.col("split") == "train").drop("split")
     test = s.filter(F.col("split") == "test").drop("split")
     return train, test
@@ -248,13 +259,13 @@ def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
 
 
 def run_tournament(
-    featured: DataFrame, cfg: TrainConfig
+    featured: DataFrame, cfg: TrainConfig, observation: Observation | None = None
 ) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
     """Fit every configured contender on the train split of the slice,
     predict the test split, score them. Returns (leaderboard, models,
     predictions). Train/test are persisted once and reused by all models."""
     s = whale_slice(featured, cfg.target_warehouse, cfg.target_category)
-    train, test = train_test(s, cfg.test_year)
+    train, test = train_test(s, cfg.test_year, observation)
     train = right_size(train)
     test = right_size(test)
     # contenders are independent, seeded Spark jobs: fit them concurrently

@@ -77,7 +77,8 @@ def train_job(
         # one category, otherwise lag values change
         cleaned = FC.whale_slice(cleaned, cfg.target_warehouse, cfg.target_category)
     featured = engineer_features(cleaned, features)
-    board, models, _ = FC.run_tournament(featured, cfg)
+    split_obs = Observation("training_slice")
+    board, models, _ = FC.run_tournament(featured, cfg, split_obs)
     board = board.persist()
     rows = board.orderBy("rank").collect()  # one row per contender
     winner = rows[0]["model"]
@@ -87,6 +88,7 @@ def train_job(
     board.unpersist()
     return {
         "winner": winner,
+        "slice": dict(split_obs.get),
         "leaderboard": [r.asDict() for r in rows],
         "model_dir": model_dir,
         "seconds": round(time.time() - t0, 2),

@@ -30,6 +30,7 @@ def test_clean_and_train_jobs(spark):
                       models=("Baseline Linear", "Random Forest"))
     res = train_job(spark, out, cfg)
     assert res["winner"] in cfg.models and len(res["leaderboard"]) == 2
+    assert res["slice"]["slice_rows"] > 0 and res["slice"]["incomplete_rows"] == 0
 
 
 def test_streaming_ingest_equals_batch(spark):
