@@ -102,7 +102,8 @@ def ensure_parallelism(df):
     """Round-robin spread a DataFrame that arrives in fewer partitions than
     the cluster has cores (a small single-row-group file scans as one
     task). Inputs that already split wider are returned untouched, so on
-    large data this is a no-op and adds no shuffle."""
+    large data this is a no-op and adds no shuffle. Meant for scans: the
+    partition count of a file scan is known without running anything."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:

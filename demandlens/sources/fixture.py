@@ -24,8 +24,12 @@ def _code(prefix: str, key: Column) -> Column:
 
 
 def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+    # a scan's partition count comes from file splits (no job); a small
+    # single-row-group file is spread over the cores before the joins
+    li = ensure_parallelism(
+        _table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag"
+        )
     )
     # the three text layouts are formatted once per order, not per line
     orders = _table(spark, sf_dir, "orders").select(
@@ -35,10 +39,8 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("_d_iso"),
     )
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    j = ensure_parallelism(
-        li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-            part, li.l_partkey == part.p_partkey
-        )
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
+        part, li.l_partkey == part.p_partkey
     )
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     qty100 = (F.col("l_quantity") * 100).cast("bigint").cast("string")
