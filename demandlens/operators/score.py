@@ -77,7 +77,7 @@ def request_features(requests: DataFrame, cleaned: DataFrame, n: int = HISTORY)
     req = validate_requests(requests)
     hist = daily_history_stats(cleaned, n)
     stat_cols = ["h_mean", "h_std", "h_second_last", "h_count"]
-    req_cols = [c for c in req.columns]
+    req_cols = list(req.columns)
     # requests sort before days of the same date: history is strictly earlier
     timeline = req.select(
         *req_cols,

@@ -106,9 +106,6 @@ slice_rows AS (
 daily AS (SELECT Date, CAST(sum(Order_Demand) AS BIGINT) AS daily_demand FROM slice_rows GROUP BY Date)
 """
 
-_FLAG_COLS = "Product_Code, Warehouse, Product_Category, Order_Demand, Date"
-
-
 def _q(body: str) -> str:
     return f"WITH {CTES}\n{body}"
 
