@@ -73,15 +73,23 @@ def daily_history_stats(cleaned: DataFrame, n: int = HISTORY) -> DataFrame:
 
 def request_features(requests: DataFrame, cleaned: DataFrame, n: int = HISTORY) -> DataFrame:
     """Model inputs for each request; ``insufficient_history`` when fewer
-    than ``n`` prior days exist (the row is kept and flagged)."""
+    than ``n`` prior days exist (the row is kept and flagged).
+
+    Features depend only on (warehouse, category, date), so they are built
+    once per distinct key (bounded by pairs x days, whatever the number of
+    requests) and joined back to the requests; a heavily repeated request
+    key is a skewed equi-join, which AQE splits."""
     req = validate_requests(requests)
     hist = daily_history_stats(cleaned, n)
     stat_cols = ["h_mean", "h_std", "h_second_last", "h_count"]
-    req_cols = list(req.columns)
+    keys = req.filter(F.col("valid_request")).select(
+        "warehouse", "product_category", F.col("_target").alias("_t")
+    ).distinct()
     # requests sort before days of the same date: history is strictly earlier
-    timeline = req.select(
-        *req_cols,
-        F.col("_target").alias("_t"),
+    timeline = keys.select(
+        "warehouse",
+        "product_category",
+        "_t",
         F.lit(0).alias("_kind"),
         *[F.lit(None).cast("double").alias(c) for c in stat_cols],
     ).unionByName(
@@ -91,19 +99,22 @@ def request_features(requests: DataFrame, cleaned: DataFrame, n: int = HISTORY)
             F.col("day").alias("_t"),
             F.lit(1).alias("_kind"),
             *[F.col(c).cast("double").alias(c) for c in stat_cols],
-        ),
-        allowMissingColumns=True,
+        )
     )
     w = Window.partitionBy("warehouse", "product_category").orderBy("_t", "_kind").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    carried = timeline.withColumns(
-        {c: F.last(F.col(c), ignorenulls=True).over(w) for c in stat_cols}
-    ).filter(F.col("_kind") == 0)
+    per_key = (
+        timeline.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in stat_cols})
+        .filter(F.col("_kind") == 0)
+        .drop("_kind")
+        .withColumnRenamed("_t", "_target")
+    )
+    carried = req.join(per_key, ["warehouse", "product_category", "_target"], "left")
     t = F.col("_target")
     cnt = F.coalesce(F.col("h_count"), F.lit(0.0)).cast("int")
     return carried.select(
-        *[c for c in req_cols if not c.startswith("_")],
+        *[c for c in req.columns if not c.startswith("_")],
         F.year(t).alias("year"),
         F.month(t).alias("month"),
         F.dayofweek(t).alias("day_of_week"),

@@ -42,3 +42,10 @@ def test_bad_date_flagged(spark):
 def test_missing_fields_raise(spark):
     with pytest.raises(ValueError):
         SC.validate_requests(spark.createDataFrame([("a",)], "warehouse string"))
+
+
+def test_repeated_requests_each_get_features(spark):
+    rows = SC.request_features(req(spark, "2016-01-08", "2016-01-08", "2016-01-05", "bad"), history(spark, 10)).collect()
+    assert len(rows) == 4
+    assert sorted((r.target_date, r.history_days) for r in rows if r.valid_request) == [
+        ("2016-01-05", 4), ("2016-01-08", 7), ("2016-01-08", 7)]
