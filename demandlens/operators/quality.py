@@ -150,6 +150,92 @@ def quality_summary(df: DataFrame, stage: str = "cleaned", approx: bool = False)
     ).select(F.lit(stage).alias("stage"), "*")
 
 
+def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
+    """The quality summary of the parsed stage AND of the cleaned output
+    (with outlier and sparse flags) from one pass over the parsed, deduped
+    rows. The cleaned stage is expressed as conditions inside the
+    aggregates instead of filters: filters would be pushed below the dedupe
+    and fork the plan; conditions keep one subtree, so the dedupe shuffle is
+    computed once and shared by the statistics and the summary."""
+    from demandlens.operators.clean import not_null
+
+    x = F.col("Order_Demand")
+    keep = (x >= 0) & not_null(["Product_Code", "Warehouse", "Product_Category", "Date"])
+    kept_x = F.when(keep, x)
+    cols = parsed.columns
+    if cfg.outlier_strategy == "iqr":
+        fences = (
+            parsed.groupBy("Warehouse")
+            .agg(F.percentile_approx(F.when(keep & (x > 0), x), [0.25, 0.75], cfg.quantile_accuracy).alias("_q"))
+            .filter(F.col("_q").isNotNull())
+        )
+        q1, q3 = F.col("_q")[0], F.col("_q")[1]
+        m = F.lit(cfg.iqr_multiplier)
+        joined = attach_stats(parsed, fences, ["Warehouse"], cfg.broadcast_max_rows)
+        flag = _outside(x, q1 - m * (q3 - q1), q3 + m * (q3 - q1))
+    elif cfg.outlier_strategy == "zscore":
+        pos = F.when(keep & (x > 0), x)
+        moments = (
+            parsed.groupBy("Warehouse")
+            .agg(F.avg(pos).alias("_mean"), F.stddev_samp(pos).alias("_std"))
+            .filter(F.col("_mean").isNotNull())
+        )
+        joined = attach_stats(parsed, moments, ["Warehouse"], cfg.broadcast_max_rows)
+        z = F.when(F.col("_std") > 0, F.abs(x - F.col("_mean")) / F.col("_std")).otherwise(F.lit(0.0))
+        flag = z > F.lit(cfg.zscore_threshold)
+    else:
+        raise ValueError(f"Unknown outlier strategy '{cfg.outlier_strategy}'.")
+    flagged = joined.select(*cols, flag.alias("is_outlier"))
+    counts = (
+        parsed.groupBy("Product_Code")
+        .agg(F.count(kept_x).alias("_records"))
+        .filter(F.col("_records") > 0)
+    )
+    flagged = attach_stats(flagged, counts, ["Product_Code"], cfg.broadcast_max_rows).select(
+        *cols, "is_outlier", (F.col("_records") < cfg.min_records_per_product).alias("is_sparse_product")
+    )
+
+    def kept(c: Column) -> Column:
+        return F.when(keep, c)
+
+    def kept_if(c: Column) -> Column:
+        return F.count_if(keep & c)
+
+    wide = flagged.agg(
+        F.count(F.lit(1)).alias("p_total"),
+        F.count_distinct("Product_Code").alias("p_products"),
+        F.count_distinct("Warehouse").alias("p_warehouses"),
+        F.min("Date").alias("p_min"),
+        F.max("Date").alias("p_max"),
+        F.count_if(x.isNull()).alias("p_null"),
+        F.count_if(F.col("is_negative_demand")).alias("p_neg"),
+        F.count_if(F.col("is_zero_demand")).alias("p_zero"),
+        F.count_if(F.col("date_parse_failed")).alias("p_datefail"),
+        F.count_if(keep).alias("c_total"),
+        F.count_distinct(kept(F.col("Product_Code"))).alias("c_products"),
+        F.count_distinct(kept(F.col("Warehouse"))).alias("c_warehouses"),
+        F.min(kept(F.col("Date"))).alias("c_min"),
+        F.max(kept(F.col("Date"))).alias("c_max"),
+        kept_if(x.isNull()).alias("c_null"),
+        kept_if(F.col("is_negative_demand")).alias("c_neg"),
+        kept_if(F.col("is_zero_demand")).alias("c_zero"),
+        kept_if(F.col("is_outlier")).alias("c_outlier"),
+        kept_if(F.col("is_sparse_product")).alias("c_sparse"),
+        kept_if(F.col("date_parse_failed")).alias("c_datefail"),
+    )
+    nb = "CAST(NULL AS BIGINT)"
+    return wide.select(
+        F.expr(
+            "stack(2,"
+            f" 'parsed', p_total, p_products, p_warehouses, p_min, p_max, p_null, p_neg, p_zero, {nb}, {nb}, p_datefail,"
+            " 'cleaned', c_total, c_products, c_warehouses, c_min, c_max, c_null, c_neg, c_zero, c_outlier, c_sparse,"
+            " c_datefail) AS (stage, total_rows, distinct_products, distinct_warehouses, min_date, max_date,"
+            " null_demand_rows, negative_demand_rows, zero_demand_rows, outlier_rows, sparse_product_rows,"
+            " date_parse_failures)"
+        )
+    )
+
+
 def cleaning_step_report(raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Rows in / out / flagged for each row-level cleaning step, from ONE
     aggregation over the distinct raw rows (the dedupe aggregate carries the

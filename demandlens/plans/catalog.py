@@ -201,9 +201,7 @@ def q_warehouse_outliers(spark, sf):
 
 
 def q_quality_summary(spark, sf):
-    parsed = Q.quality_summary(_parsed(spark, sf), "parsed")
-    final = Q.quality_summary(_cleaned(spark, sf, keep_flags=True), "cleaned")
-    return parsed.unionByName(final)
+    return Q.two_stage_summary(_parsed(spark, sf), CLEAN_CFG)
 
 
 def q_cleaning_step_report(spark, sf):
