@@ -163,6 +163,13 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
     keep = (x >= 0) & not_null(["Product_Code", "Warehouse", "Product_Category", "Date"])
     kept_x = F.when(keep, x)
     cols = parsed.columns
+
+    def attach(facts: DataFrame, stats: DataFrame, key: str) -> DataFrame:
+        # null-safe key: an equi-join would make the optimizer infer
+        # "key IS NOT NULL" on the statistic side and push it below the
+        # dedupe, forking the shared subtree (NULL keys hold no kept rows)
+        stats = stats.withColumnRenamed(key, "_k")
+        return facts.join(stats, facts[key].eqNullSafe(stats["_k"]), "left")
     if cfg.outlier_strategy == "iqr":
         fences = (
             parsed.groupBy("Warehouse")
@@ -171,7 +178,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         )
         q1, q3 = F.col("_q")[0], F.col("_q")[1]
         m = F.lit(cfg.iqr_multiplier)
-        joined = attach_stats(parsed, fences, ["Warehouse"], cfg.broadcast_max_rows)
+        joined = attach(parsed, fences, "Warehouse")
         flag = _outside(x, q1 - m * (q3 - q1), q3 + m * (q3 - q1))
     elif cfg.outlier_strategy == "zscore":
         pos = F.when(keep & (x > 0), x)
@@ -180,7 +187,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
             .agg(F.avg(pos).alias("_mean"), F.stddev_samp(pos).alias("_std"))
             .filter(F.col("_mean").isNotNull())
         )
-        joined = attach_stats(parsed, moments, ["Warehouse"], cfg.broadcast_max_rows)
+        joined = attach(parsed, moments, "Warehouse")
         z = F.when(F.col("_std") > 0, F.abs(x - F.col("_mean")) / F.col("_std")).otherwise(F.lit(0.0))
         flag = z > F.lit(cfg.zscore_threshold)
     else:
@@ -191,7 +198,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         .agg(F.count(kept_x).alias("_records"))
         .filter(F.col("_records") > 0)
     )
-    flagged = attach_stats(flagged, counts, ["Product_Code"], cfg.broadcast_max_rows).select(
+    flagged = attach(flagged, counts, "Product_Code").select(
         *cols, "is_outlier", (F.col("_records") < cfg.min_records_per_product).alias("is_sparse_product")
     )
 

@@ -41,3 +41,21 @@ def test_lag_and_rolling_share_one_window_shuffle(spark):
 def test_dropped_flags_prune_the_stat_joins(spark):
     plan = K.q_clean_demand(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join LeftOuter" not in plan
+
+
+def _dedupe_exchanges(plan: str) -> int:
+    final = plan.split("== Initial Plan ==")[0]
+    return sum(
+        1 for line in final.splitlines()
+        if "Exchange hashpartitioning(_raw_" in line and "ReusedExchange" not in line
+    )
+
+
+def test_flagship_runs_one_dedupe_shuffle(spark):
+    df = K.q_warehouse_outliers(spark, SF_SMALL)
+    assert _dedupe_exchanges(executed(df)) == 1
+
+
+def test_two_stage_summary_runs_one_dedupe_shuffle(spark):
+    df = K.q_quality_summary(spark, SF_SMALL)
+    assert _dedupe_exchanges(executed(df)) == 1
