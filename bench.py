@@ -61,10 +61,15 @@ def main() -> None:
     t0 = time.time()
     landed_raw_demand(spark, sf_dir)
     times["land_raw_demand"] = round(time.time() - t0, 3)
+    failed = {}
     for key in only or HEADLINE:
         t0 = time.time()
-        QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.time() - t0, 3)
+        try:
+            QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[key] = round(time.time() - t0, 3)
+        except Exception as exc:  # keep measuring the others; report it
+            failed[key] = repr(exc)[:300]
+            print(f"bench: {key} failed: {failed[key]}", file=sys.stderr)
         spark.catalog.clearCache()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
@@ -75,6 +80,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": times,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+                **({"failed": failed} if failed else {}),
             }
         )
     )
