@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bpe_tree, ef_ids, packing
+from demandlens.llm import bpe_tree, ef_ids, golay, langid, packing, pii
 from demandlens.llm.common import table
 
 
@@ -18,10 +18,25 @@ def op4_ef_ids(spark, sf_dir):
     return ef_ids.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op7_pii_lstm(spark, sf_dir):
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op9_langid(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_golay(spark, sf_dir):
+    return golay.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe_tree": op2_bpe_tree,
     "op3_packing": op3_packing,
     "op4_ef_ids": op4_ef_ids,
+    "op7_pii_lstm": op7_pii_lstm,
+    "op9_langid": op9_langid,
+    "op10_golay": op10_golay,
 }
 
 ORACLE: dict[str, str] = {}
