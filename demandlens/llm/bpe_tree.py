@@ -151,7 +151,10 @@ def loaded(name: str) -> tuple[TreeBpe, ChunkEncoder]:
         tree = TreeBpe(load_ranks(public_tokenizers.path(name)))
         matches = regex.compile(public_tokenizers.PATTERN).findall
         _LOADED[name] = tree, ChunkEncoder(
-            lambda xs: [[t for m in matches(x) for t in tree.encode(m.encode())] for x in xs],
+            lambda xs: [
+                np.array([t for m in matches(x) for t in tree.encode(m.encode())], "<u4").tobytes()
+                for x in xs
+            ],
             byte_chunks,
         )
     return _LOADED[name]

@@ -14,7 +14,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 #: Distinct chunks that a worker remembers; then it starts anew (memory bound).
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_200_000
 
 # white space besides blank and line feed, and the separator used below
 _OTHER_SPACE = re.compile(
@@ -45,33 +45,61 @@ def word_chunks(text: str) -> list[str]:
 class ChunkEncoder:
     """Texts to little-endian ids (as bytes) through a cache of chunks.
 
-    ``encode_many`` maps a list of strings to a list of id lists; ``cut``
-    maps a text to chunks whose ids may be concatenated, or to None."""
+    ``encode_many`` maps strings to the bytes of their ids; ``cut`` maps a
+    text to chunks whose ids may be concatenated, or to None: such a text is
+    encoded whole."""
 
     def __init__(
         self,
-        encode_many: Callable[[list[str]], list],
+        encode_many: Callable[[list[str]], list[bytes]],
         cut: Callable[[str], list[str] | None],
-        dtype: str = "<u4",
         entries: int = CACHE_ENTRIES,
     ):
-        self.encode_many, self.cut, self.dtype, self.entries = encode_many, cut, dtype, entries
+        self.encode_many, self.cut, self.entries = encode_many, cut, entries
         self.cache: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self.cut(t) for t in texts]
-        cut = [[t] if c is None else c for c, t in zip(cut, texts)]
         cache = self.cache
         if len(cache) > self.entries:
             cache.clear()
-        out = []
-        for at in range(0, len(cut), 16):
-            part = cut[at : at + 16]
-            new = list(set().union(*part).difference(cache))
-            if new:
-                for chunk, ids in zip(new, self.encode_many(new)):
-                    cache[chunk] = np.asarray(ids, dtype=self.dtype).tobytes()
-            out += [b"".join([cache[c] for c in chunks]) for chunks in part]
+        cut = [self.cut(t) for t in texts]
+        new = list(set().union(*[c for c in cut if c]).difference(cache))
+        if new:
+            cache.update(zip(new, self.encode_many(new)))
+        return [
+            self.encode_many([t])[0] if c is None else b"".join([cache[x] for x in c])
+            for t, c in zip(texts, cut)
+        ]
+
+
+class LibraryCoder:
+    """Ids from a tokenizers file. Many short strings go through the library
+    as one text with its special token between them, which ends a segment."""
+
+    def __init__(self, path: str, dtype: str):
+        self.dtype = np.dtype(dtype)
+        self.whole = Tokenizer.from_file(path)
+        self.whole.encode_special_tokens = True  # special strings in a text are text
+        self.split = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in self.split.get_added_tokens_decoder().items() if t.special}
+        self.mark, self.mark_id = min(special.items(), key=lambda x: x[1])
+        self.special = tuple(special)
+
+    def __call__(self, strings: list[str]) -> list[bytes]:
+        if len(strings) == 1 or any(s in x for x in strings for s in self.special):
+            coded = self.whole.encode_batch_fast(strings, add_special_tokens=False)
+            return [np.array(e.ids, self.dtype).tobytes() for e in coded]
+        out: list[bytes] = []
+        for at in range(0, len(strings), 1000):
+            text = self.mark.join(strings[at : at + 1000])
+            ids = np.array(
+                self.split.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32
+            )
+            size = self.dtype.itemsize
+            ends = (np.flatnonzero(ids == self.mark_id) * size).tolist()
+            data = ids.astype(self.dtype).tobytes()
+            begins = [0, *[e + size for e in ends]]
+            out += [data[a:b] for a, b in zip(begins, [*ends, len(data)])]
         return out
 
 
@@ -82,11 +110,6 @@ def library_encoder(name: str, cut: str, dtype: str = "<u4") -> ChunkEncoder:
     """The encoder of a tokenizers file, one per Python worker."""
     key = (name, cut, dtype)
     if key not in _LOADED:
-        tok = Tokenizer.from_file(public_tokenizers.path(name))
-        tok.encode_special_tokens = True  # special strings in a text are text
-        _LOADED[key] = ChunkEncoder(
-            lambda xs: [e.ids for e in tok.encode_batch_fast(xs, add_special_tokens=False)],
-            {"byte": byte_chunks, "word": word_chunks}[cut],
-            dtype,
-        )
+        coder = LibraryCoder(public_tokenizers.path(name), dtype)
+        _LOADED[key] = ChunkEncoder(coder, {"byte": byte_chunks, "word": word_chunks}[cut])
     return _LOADED[key]
