@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bpe_tree, ef_ids, golay, langid, packing, pii
+from demandlens.llm import bpe_tree, ef_ids, golay, katz, langid, lz, packing, pii
 from demandlens.llm.common import table
 
 
+def op1_lz(spark, sf_dir):
+    return lz.compare(table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_tree(spark, sf_dir):
     return bpe_tree.encode_decode(table(spark, sf_dir, "documents"))
 
@@ -18,6 +22,10 @@ def op4_ef_ids(spark, sf_dir):
     return ef_ids.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op6_katz(spark, sf_dir):
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op7_pii_lstm(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -31,9 +39,11 @@ def op10_golay(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_lz": op1_lz,
     "op2_bpe_tree": op2_bpe_tree,
     "op3_packing": op3_packing,
     "op4_ef_ids": op4_ef_ids,
+    "op6_katz": op6_katz,
     "op7_pii_lstm": op7_pii_lstm,
     "op9_langid": op9_langid,
     "op10_golay": op10_golay,
