@@ -1,25 +1,69 @@
-"""The corpus pipeline: stages of training-data operators over documents."""
+"""The corpus pipeline: stages of training-data operators over documents.
+
+Each stage gets what its predecessor kept, works on all of it and is written
+as Parquet in the shared folder before the next one reads it:
+
+1. language identification: documents without any letter (no language) go;
+   the others carry the language found;
+2. SimHash near-duplicates: of each group the document with the smallest id
+   stays (rows that repeat an id are one document; rows without an id stay);
+3. personal data: spans are replaced by the name of their kind;
+4. best-fit packing: one row per piece of at most 1024 tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandlens.llm import packing
+from demandlens.llm import golay, langid, packing, pii
 from demandlens.session import scratch_path
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns from the labelled documents; keeps those with a language."""
+    columns = docs.columns
+    typed = docs.withColumn("lang", F.col("lang").cast("string"))
+    found = langid.predict(typed, langid.train(typed), columns, ("__language", "__score"))
+    kept = found.filter(F.col("__language") != langid.UNKNOWN)
+    return kept.withColumn("lang", F.col("__language")).select(*columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of linked fingerprints."""
+    path = scratch_path(spark, "groups")
+    golay.near_duplicates(docs).select("doc_id", "component_id").write.parquet(path)
+    groups = spark.read.parquet(path)
+    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    out = docs.join(kept, "doc_id", "left_semi")
+    if groups.filter("doc_id = component_id").count() > kept.count():
+        out = out.dropDuplicates(["doc_id"])  # an id occurs more than once
+    out = out.union(docs.filter("doc_id is null").select(*out.columns))
+    return out.select(*docs.columns)
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Masks personal data in the texts and sets their sizes anew."""
+    return pii.redact(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
 STAGES = [
-    ("best_fit_packing", pack_stage),
+    ("language_id", language_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("pii", personal_data_stage),
+    ("best_fit_packing", packing_stage),
 ]
 
+#: Learned stages have no SQL; tests/llm hold the pipeline against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir; the pieces of the last one."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"stage-{k}-{name}")

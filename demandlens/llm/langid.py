@@ -204,16 +204,17 @@ class LanguageModel:
 def train(
     labelled: DataFrame, vocabulary: str = "byte_bpe_multi_50k.tiktoken", sample_docs: int = SAMPLE_DOCS
 ) -> LanguageModel:
-    """Fits on (doc_id, text, lang) rows. About ``sample_docs`` documents of
-    each language are drawn by a hash of the id; only their distinct words
+    """Fits on (text, lang) rows. About ``sample_docs`` documents of each
+    language are drawn at random with a fixed seed; only their distinct words
     reach the driver."""
     rows = labelled.filter("lang is not null").groupBy("lang").count().orderBy("lang").collect()
     langs, counts = [r[0] for r in rows], [r[1] for r in rows]
     if not langs:
         return LanguageModel([], np.zeros((1, 0)), np.zeros(0), vocabulary)
     share = F.create_map(*[x for k, n in zip(langs, counts) for x in (F.lit(k), F.lit(sample_docs / n))])
-    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30) < share[F.col("lang")]
-    sample = labelled.filter("lang is not null and text is not null").filter(drawn)
+    sample = labelled.filter("lang is not null and text is not null").filter(
+        F.rand(seed=11) < share[F.col("lang")]
+    )
 
     def count_words(batches):
         for batch in batches:
@@ -244,8 +245,13 @@ def train(
     return LanguageModel(langs, fit_pieces(table, langs, vocabulary), prior, vocabulary)
 
 
-def predict(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None) -> DataFrame:
-    """The kept columns (default doc_id) with lang_pred and score, from text."""
+def predict(
+    docs: DataFrame,
+    model: LanguageModel,
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("lang_pred", "score"),
+) -> DataFrame:
+    """The kept columns (default doc_id) with language and score, from text."""
     keep = ["doc_id"] if keep is None else keep
     shared = docs.sparkSession.sparkContext.broadcast(model)  # pieces x languages
 
@@ -257,13 +263,13 @@ def predict(docs: DataFrame, model: LanguageModel, keep: list[str] | None = None
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in keep]
                 + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
-                [*keep, "lang_pred", "score"],
+                [*keep, *names],
             )
 
     kinds = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     source = docs.select(*dict.fromkeys([*keep, "text"]))
-    return arrow_map(source, run, f"{schema}, lang_pred string, score double")
+    return arrow_map(source, run, f"{schema}, `{names[0]}` string, `{names[1]}` double")
 
 
 def remainder(id_col: str = "doc_id", parts: int = 4):

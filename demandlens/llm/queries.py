@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bpe_tree, ef_ids, golay, katz, langid, lz, packing, pii
+from demandlens.llm import bpe_tree, ef_ids, golay, html_tree, katz, langid, lz, packing, pca_dedup, pii
 from demandlens.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op4_ef_ids(spark, sf_dir):
     return ef_ids.write_and_read(table(spark, sf_dir, "documents"))
 
 
+def op5_html_tree(spark, sf_dir):
+    return html_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_katz(spark, sf_dir):
     return katz.score(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,10 @@ def op7_pii_lstm(spark, sf_dir):
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+def op8_pca_dedup(spark, sf_dir):
+    return pca_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_langid(spark, sf_dir):
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -43,8 +51,10 @@ QUERIES = {
     "op2_bpe_tree": op2_bpe_tree,
     "op3_packing": op3_packing,
     "op4_ef_ids": op4_ef_ids,
+    "op5_html_tree": op5_html_tree,
     "op6_katz": op6_katz,
     "op7_pii_lstm": op7_pii_lstm,
+    "op8_pca_dedup": op8_pca_dedup,
     "op9_langid": op9_langid,
     "op10_golay": op10_golay,
 }
