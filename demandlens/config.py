@@ -37,20 +37,20 @@ FEATURE_COLUMNS = (
 # Identifiers that never enter a model.
 META_COLUMNS = ("Product_Code", "Product_Category", "Warehouse", "Date")
 
-# Contenders of the forecasting tournament, in run order.
+# Contenders of the forecasting tournament, in run order, named for what runs.
 DEFAULT_MODELS = (
-    "Baseline Linear",
-    "Prophet (Time Series)",
-    "Random Forest",
-    "XGBoost",
-    "LightGBM",
+    "Ridge on log demand",
+    "Trend and seasonality",
+    "Random forest",
+    "Boosted trees, absolute loss",
+    "Boosted trees, squared loss",
 )
 
 
 @dataclass(frozen=True)
 class CleanConfig:
     date_formats: tuple[str, ...] = DEFAULT_DATE_FORMATS
-    lenient_dates: bool = False
+    lenient_dates: bool = True
     null_demand_strategy: str = "drop"  # drop | zero | median
     impute_before_filter: bool = False
     outlier_strategy: str = "iqr"  # iqr | zscore
@@ -59,14 +59,12 @@ class CleanConfig:
     min_records_per_product: int = 10
     quantile_accuracy: int = 10000
     keep_flags: bool = False
-    # Stats tables (per warehouse / per product): None = AQE decides from
-    # the measured size; N = count first, broadcast when at most N rows.
-    broadcast_max_rows: int | None = None
+    # Statistics (per warehouse / per product) are written, measured and
+    # broadcast when they take at most so many bytes.
+    broadcast_max_bytes: int = 64 << 20
     # Materialise the parsed base in the shared checkpoint folder before
     # the statistics are computed from it (jobs; avoids recomputation).
     checkpoint_base: bool = False
-    # Output layout for the write: Warehouse x product-hash buckets.
-    write_buckets_per_warehouse: int = 16
     output_format: str = "parquet"
 
 
@@ -78,7 +76,7 @@ class FeatureConfig:
     # Rows per window block: a series longer than this is split into blocks
     # with a halo of preceding rows so no task holds a whole hot series.
     block_rows: int = 2_000_000
-    broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 64 << 20
     category_first: bool = False
 
 

@@ -42,9 +42,11 @@ def demand_to_long(c: Column) -> Column:
 
 def legacy_tolerant(fmt: str) -> str:
     """Java pattern that also accepts one-digit month/day (``MM`` -> ``M``,
-    ``dd`` -> ``d``); under the CORRECTED parser a single letter takes one
-    or two digits."""
-    return fmt.replace("MM", "M").replace("dd", "d")
+    ``dd`` -> ``d``, runs of exactly two letters; month names keep theirs).
+    Under the CORRECTED parser a single letter takes one or two digits."""
+    if re.search(r"[yMd]{8}", fmt):
+        return fmt  # no separators: the widths tell the fields apart
+    return re.sub(r"(?<!M)MM(?!M)", "M", re.sub(r"(?<!d)dd(?!d)", "d", fmt))
 
 
 def format_shape(fmt: str) -> str | None:
@@ -71,17 +73,17 @@ def format_shape(fmt: str) -> str | None:
     return "".join(out)
 
 
-def multi_format_date(c: Column, formats: Iterable[str], lenient: bool = False) -> Column:
+def multi_format_date(c: Column, formats: Iterable[str], lenient: bool = True) -> Column:
     """First format that parses wins (coalesce in list order). Each attempt
     is guarded by a cheap shape match: a failed parse takes the slow
     exception path inside the parser, so text of another layout skips it."""
-    text = F.trim(c)
-    if lenient:
-        # cut trailing text such as a time of day at the first blank
-        text = F.substring_index(text, " ", 1)
+    trimmed = F.trim(c)
     attempts = []
     for f in formats:
         pattern = legacy_tolerant(f)
+        # text after the date, such as a time of day, is cut off: as many
+        # blank-separated words are kept as the layout has
+        text = F.substring_index(trimmed, " ", pattern.count(" ") + 1) if lenient else trimmed
         parsed = F.try_to_date(text, pattern)
         shape = format_shape(pattern)
         attempts.append(F.when(text.rlike(shape), parsed) if shape else parsed)

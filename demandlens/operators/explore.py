@@ -19,11 +19,6 @@ from demandlens.operators.features import series_blocks
 
 # Two-sided 95% normal quantile used for the ACF band.
 Z_95 = 1.959963984540054
-ROUND = 4
-
-
-def _r(c: Column) -> Column:
-    return F.round(c, ROUND)
 
 
 def describe_demand(
@@ -66,8 +61,8 @@ def describe_demand(
         )
     )
     return long.select(
-        "column_name", "count", _r(F.col("mean")).alias("mean"),
-        _r(F.col("stddev")).alias("stddev"), "min", "max", "min_text", "max_text",
+        "column_name", "count", "mean",
+        "stddev", "min", "max", "min_text", "max_text",
     )
 
 
@@ -88,7 +83,7 @@ def month_dow_heatmap(df: DataFrame) -> DataFrame:
     """Average demand, month rows x day-of-week columns ``dow_1..dow_7``."""
     days = list(range(1, 8))
     piv = df.groupBy("month").pivot("day_of_week", days).agg(F.avg("Order_Demand"))
-    return piv.select("month", *[_r(F.col(str(d))).alias(f"dow_{d}") for d in days]).orderBy(
+    return piv.select("month", *[F.col(str(d)).alias(f"dow_{d}") for d in days]).orderBy(
         "month"
     )
 
@@ -102,7 +97,7 @@ def warehouse_impact(df: DataFrame, day_of_week: int = MONDAY) -> DataFrame:
         q4_day_filter(df, day_of_week)
         .groupBy("Warehouse")
         .agg(
-            _r(F.avg("Order_Demand")).alias("avg_monday_demand"),
+            F.avg("Order_Demand").alias("avg_monday_demand"),
             F.count(F.lit(1)).alias("row_count"),
         )
         .orderBy(F.desc("avg_monday_demand"), "Warehouse")
@@ -130,7 +125,7 @@ def pareto_categories(df: DataFrame) -> DataFrame:
         F.row_number().over(w).alias("rank"),
         "Product_Category",
         "total_demand",
-        _r(F.try_divide(cum * 100.0, grand)).alias("cumulative_percentage"),
+        F.try_divide(cum * 100.0, grand).alias("cumulative_percentage"),
     )
 
 
@@ -139,16 +134,21 @@ def slice_rows(df: DataFrame, warehouse: str, category: str) -> DataFrame:
 
 
 def seasonal_boxplot_stats(
-    df: DataFrame, warehouse: str, category: str, accuracy: int = 10000, whisker: float = 1.5
+    df: DataFrame, warehouse: str, category: str, whisker: float = 1.5
 ) -> DataFrame:
     """Box statistics of demand per (month, day_of_week) cell of a slice:
-    quartiles (sketch), whiskers = most extreme values within
-    ``whisker * IQR`` of the box, and the count of points beyond them."""
-    s = slice_rows(df, warehouse, category).select("month", "day_of_week", "Order_Demand")
-    x = F.col("Order_Demand")
+    exact interpolated quartiles, whiskers = most extreme values within
+    ``whisker * IQR`` of the box, and the count of points beyond them. Equal
+    values are counted first, so a cell's state is its distinct values."""
+    s = (
+        slice_rows(df, warehouse, category)
+        .groupBy("month", "day_of_week", "Order_Demand")
+        .agg(F.count(F.lit(1)).alias("_times"))
+    )
+    x, times = F.col("Order_Demand"), F.col("_times")
     q = (
         s.groupBy("month", "day_of_week")
-        .agg(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias("_q"))
+        .agg(F.percentile(x, [0.25, 0.5, 0.75], times).alias("_q"))
         .select(
             "month", "day_of_week",
             F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
@@ -161,10 +161,10 @@ def seasonal_boxplot_stats(
     hi = F.col("q3") + F.lit(whisker) * iqr
     inside = (x >= lo) & (x <= hi)
     return j.groupBy("month", "day_of_week", "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum(times).alias("n"),
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"),
+        F.sum(F.when(inside, 0).otherwise(times)).alias("n_outliers"),
     )
 
 
@@ -182,7 +182,7 @@ def lag_pairs(df: DataFrame, product: str, cfg: FeatureConfig = FeatureConfig())
     s = df.filter(F.col("Product_Code") == product).select(
         "Product_Code", "Warehouse", "Product_Category", "Date", "Order_Demand"
     )
-    b = series_blocks(s, ["Product_Code"], "Date", 1, cfg.block_rows, cfg.broadcast_max_rows)
+    b = series_blocks(s, ["Product_Code"], "Date", 1, cfg.block_rows, cfg.broadcast_max_bytes)
     w = Window.partitionBy("Product_Code", "_blk").orderBy(
         "Date", "Order_Demand", "Warehouse", "Product_Category"
     )
@@ -193,6 +193,14 @@ def lag_pairs(df: DataFrame, product: str, cfg: FeatureConfig = FeatureConfig())
     )
 
 
+def lag_pair_correlation(pairs: DataFrame) -> DataFrame:
+    """Number of the lag pairs and the correlation of their two values."""
+    return pairs.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.corr("demand_t", "demand_t_plus_1").alias("correlation"),
+    )
+
+
 def demand_acf(daily: DataFrame, nlags: int = 31) -> DataFrame:
     """Autocorrelation of the observed daily series for lags 0..nlags with
     the Bartlett 95% band. ``daily`` has (Date, daily_demand)."""
@@ -232,18 +240,30 @@ def demand_acf(daily: DataFrame, nlags: int = 31) -> DataFrame:
     )
     return acf.select(
         F.col("k").cast("int").alias("lag"),
-        _r(F.col("acf")).alias("acf"),
-        _r(F.lit(Z_95) * F.sqrt(var)).alias("conf_band"),
+        "acf",
+        (F.lit(Z_95) * F.sqrt(var)).alias("conf_band"),
     )
 
 
+def decomposition_exclusions(
+    df: DataFrame, period: int = 12, keys: Sequence[str] = ("Product_Code",)
+) -> DataFrame:
+    """Series that are too short to decompose: their observed months and how
+    many a decomposition needs."""
+    keys = list(keys)
+    months = df.select(*keys, year_month(F.col("Date")).alias("year_month")).distinct()
+    counted = months.groupBy(*keys).agg(F.count(F.lit(1)).alias("months"))
+    return counted.filter(F.col("months") < 2 * period).withColumn("required", F.lit(2 * period))
+
+
 def seasonal_decompose(
     df: DataFrame, period: int = 12, keys: Sequence[str] = ("Product_Code",)
 ) -> DataFrame:
     """Classical additive decomposition of every monthly series at once.
     Trend: centred moving average (2 x period for even periods); seasonal:
     per-phase mean of the detrended values, centred to sum 0; residual.
-    Series shorter than two periods are excluded."""
+    Series shorter than two periods are left to
+    :func:`decomposition_exclusions`."""
     keys = list(keys)
     monthly = df.groupBy(*keys, year_month(F.col("Date")).alias("year_month")).agg(
         F.sum("Order_Demand").alias("observed")
@@ -275,7 +295,7 @@ def seasonal_decompose(
         *keys,
         "year_month",
         "observed",
-        _r(F.col("trend")).alias("trend"),
-        _r(F.col("seasonal")).alias("seasonal"),
-        _r(x - F.col("trend") - F.col("seasonal")).alias("resid"),
+        "trend",
+        "seasonal",
+        (x - F.col("trend") - F.col("seasonal")).alias("resid"),
     )

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from demandlens.config import FeatureConfig
 from demandlens.functions.calendar import is_monday, is_q4
-from demandlens.operators.joins import attach_stats
+from demandlens.operators.joins import BROADCAST_BYTES, attach_stats
+from demandlens.session import shared_dir
 
 SERIES_KEYS = ("Product_Code", "Warehouse")
 # Deterministic order of rows that share a date.
@@ -32,7 +33,7 @@ def series_blocks(
     order_col: str,
     lookback: int,
     block_rows: int,
-    broadcast_max_rows: int | None = 1_000_000,
+    broadcast_max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``_blk`` (block id within the series) and ``_halo`` (row is a copy
     that only serves as preceding context of block ``_blk``)."""
@@ -68,7 +69,11 @@ def series_blocks(
             F.lit(True).alias("_halo"),
         )
         membership = own.unionByName(halo)
-    joined = attach_stats(df, membership, [*keys, order_col], broadcast_max_rows)
+    shared_dir(df.sparkSession)
+    membership = membership.checkpoint()  # small next to the facts, often empty
+    if membership.isEmpty():
+        return df.withColumns({"_blk": F.lit(0).cast("long"), "_halo": F.lit(False)})
+    joined = attach_stats(df, membership, [*keys, order_col], broadcast_max_bytes)
     return joined.withColumns(
         {
             "_blk": F.coalesce(F.col("_blk"), F.lit(0).cast("long")),
@@ -90,7 +95,7 @@ def add_lag_rolling(
     frame_lo, frame_hi = (-(n - 1), 0) if cfg.include_current else (-n, -1)
     lookback = max(cfg.lag if lag else 0, -frame_lo if rolling else 0)
     blocked = series_blocks(
-        df, SERIES_KEYS, "Date", lookback, cfg.block_rows, cfg.broadcast_max_rows
+        df, SERIES_KEYS, "Date", lookback, cfg.block_rows, cfg.broadcast_max_bytes
     )
     w = Window.partitionBy(*SERIES_KEYS, "_blk").orderBy("Date", *TIE_BREAK)
     frame = w.rowsBetween(frame_lo, frame_hi)
@@ -118,12 +123,13 @@ def add_binary_indicators(df: DataFrame) -> DataFrame:
     )
 
 
-def handle_feature_nulls(df: DataFrame) -> DataFrame:
-    cols = [c for c in df.columns if "demand_T" in c or "rolling" in c]
+def handle_feature_nulls(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    made = {f"demand_T_minus_{cfg.lag}", *(f"rolling_{cfg.window_size}d_{s}" for s in ("stddev", "mean"))}
+    cols = [c for c in df.columns if c in made]
     return df.fillna(0, subset=cols) if cols else df
 
 
 def engineer_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     df = add_lag_rolling(df, cfg)
     df = add_binary_indicators(df)
-    return handle_feature_nulls(df)
+    return handle_feature_nulls(df, cfg)

@@ -10,21 +10,23 @@ be saved and reloaded for batch scoring.
 from __future__ import annotations
 
 import math
+import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from demandlens.config import FEATURE_COLUMNS, TrainConfig
+from demandlens.config import DEFAULT_MODELS, FEATURE_COLUMNS, TrainConfig
 from demandlens.operators.clean import not_null
 from demandlens.operators.evaluate import forecast_metrics, leaderboard
 from demandlens.operators.explore import slice_rows
+from demandlens.session import shared_dir
 
 LABEL = "Order_Demand"
 
@@ -134,6 +136,7 @@ def random_forest_pipeline(num_trees: int = 200, seed: int = 42) -> Pipeline:
                 labelCol=LABEL,
                 numTrees=num_trees,
                 maxDepth=10,
+                maxBins=256,
                 minInstancesPerNode=5,
                 featureSubsetStrategy="all",
                 seed=seed,
@@ -143,22 +146,21 @@ def random_forest_pipeline(num_trees: int = 200, seed: int = 42) -> Pipeline:
 
 
 def gbt_pipeline(
-    iters: int = 500, seed: int = 42, subsampling: float = 1.0, step: float = 0.05
+    iters: int = 500, seed: int = 42, loss: str = "absolute", depth: int = 6, step: float = 0.05
 ) -> Pipeline:
-    """Gradient-boosted trees with absolute-error loss (robust to the huge
-    demand spikes); predictions are not clipped, like the boosted
-    contenders they stand for."""
+    """Gradient-boosted trees; the absolute loss is robust to the huge demand
+    spikes, the squared one follows them. Predictions are not clipped."""
     return Pipeline(
         stages=[
             _assembler(),
             GBTRegressor(
                 featuresCol="features",
                 labelCol=LABEL,
-                lossType="absolute",
+                lossType=loss,
                 maxIter=iters,
                 stepSize=step,
-                maxDepth=6,
-                subsamplingRate=subsampling,
+                maxDepth=depth,
+                maxBins=256,
                 seed=seed,
             ),
         ]
@@ -218,44 +220,69 @@ def seasonal_trend_pipeline(train: DataFrame, reg: float = 0.05) -> Pipeline:
 
 
 def build_contender(name: str, train: DataFrame, cfg: TrainConfig) -> Pipeline:
-    if name == "Baseline Linear":
+    ridge, trend, forest, absolute, squared = DEFAULT_MODELS
+    if name == ridge:
         return ridge_pipeline(train)
-    if name == "Prophet (Time Series)":
+    if name == trend:
         return seasonal_trend_pipeline(train)
-    if name == "Random Forest":
+    if name == forest:
         return random_forest_pipeline(cfg.num_trees, cfg.seed)
-    if name == "XGBoost":
+    if name == absolute:
         return gbt_pipeline(cfg.boost_iters, cfg.seed)
-    if name == "LightGBM":
-        return gbt_pipeline(cfg.boost_iters, cfg.seed, subsampling=0.8)
-    raise ValueError(f"Unknown model '{name}'")
+    if name == squared:
+        return gbt_pipeline(cfg.boost_iters, cfg.seed, loss="squared", depth=5)
+    raise ValueError(f"no such contender: {name!r}; there are {', '.join(DEFAULT_MODELS)}")
+
+
+def fit(name: str, train: DataFrame, cfg: TrainConfig) -> PipelineModel:
+    train_in = train.withColumn("label_log", F.log1p(F.col(LABEL).cast("double")))
+    return build_contender(name, train_in, cfg).fit(train_in)
+
+
+def ridge_residuals(train: DataFrame, cfg: TrainConfig, alpha: float = 1.0) -> DataFrame:
+    """(feature, residual): how far the fitted ridge is from solving its
+    normal equations, relative to the largest term of each."""
+    model = fit(DEFAULT_MODELS[0], train, cfg)
+    weights = [float(w) for w in model.stages[3].coefficients]
+    y = F.log1p(F.col(LABEL).cast("double"))
+    rows = model.transform(train).select(
+        vector_to_array("features").alias("x"), (y - F.col("prediction_log")).alias("e"), y.alias("y")
+    )
+    n = len(weights)
+    sums = rows.agg(
+        *[F.sum(F.col("x")[k] * F.col("e")).alias(f"e{k}") for k in range(n)],
+        *[F.sum(F.abs(F.col("x")[k] * F.col("y"))).alias(f"s{k}") for k in range(n)],
+    )
+    parts = ", ".join(
+        f"'{c}', (e{k} - {alpha * weights[k]!r}D) / greatest(s{k}, 1.0D)" for k, c in enumerate(FEATURE_COLUMNS)
+    )
+    return sums.select(F.expr(f"stack({n}, {parts}) AS (feature, residual)"))
 
 
 def fit_predict(
     name: str, train: DataFrame, test: DataFrame, cfg: TrainConfig
 ) -> tuple[PipelineModel, DataFrame]:
-    train_in = train.withColumn("label_log", F.log1p(F.col(LABEL).cast("double")))
-    model = build_contender(name, train_in, cfg).fit(train_in)
+    model = fit(name, train, cfg)
     pred = model.transform(test).select(
         F.lit(name).alias("model"), *test.columns, F.col("prediction").cast("double").alias("prediction")
     )
     return model, pred
 
 
-def right_size(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
-    """Persist a training frame with a partition count fitted to its row
-    count: iterative learners launch jobs per iteration, and a small slice
-    spread over many near-empty partitions pays that overhead per task.
-    Large slices keep (at least) their partitioning."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    want = max(1, -(-n // rows_per_partition))
-    if want < df.rdd.getNumPartitions():
-        small = df.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
-        small.count()
-        df.unpersist()
-        return small
-    return df
+def _timed_fit(
+    name: str, train: DataFrame, test: DataFrame, cfg: TrainConfig
+) -> tuple[PipelineModel, DataFrame, float]:
+    began = time.monotonic()
+    model, pred = fit_predict(name, train, test, cfg)
+    return model, pred, time.monotonic() - began
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """A training frame written once to the shared folder: iterative learners
+    read it again and again, and nothing stays cached afterwards. Adaptive
+    execution sets the number of partitions by bytes."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
 
 
 def run_tournament(
@@ -263,20 +290,23 @@ def run_tournament(
 ) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
     """Fit every configured contender on the train split of the slice,
     predict the test split, score them. Returns (leaderboard, models,
-    predictions). Train/test are persisted once and reused by all models."""
+    predictions). Train and test are written once and read by all models; the
+    leaderboard also has each contender's fit time in seconds."""
     s = whale_slice(featured, cfg.target_warehouse, cfg.target_category)
     train, test = train_test(s, cfg.test_year, observation)
-    train = right_size(train)
-    test = right_size(test)
+    train, test = materialise(train), materialise(test)
     # contenders are independent, seeded Spark jobs: fit them concurrently
     # so a small slice does not leave most cores idle
     with ThreadPoolExecutor(max_workers=max(1, min(len(cfg.models), 8))) as pool:
-        futures = {name: pool.submit(fit_predict, name, train, test, cfg) for name in cfg.models}
+        futures = {name: pool.submit(_timed_fit, name, train, test, cfg) for name in cfg.models}
         fitted = {name: f.result() for name, f in futures.items()}
     models: dict[str, PipelineModel] = {name: fitted[name][0] for name in cfg.models}
     preds = None
     for name in cfg.models:
         p = fitted[name][1]
         preds = p if preds is None else preds.unionByName(p)
-    board = leaderboard(forecast_metrics(preds, cfg.high_demand_threshold))
+    metrics = forecast_metrics(preds, cfg.high_demand_threshold)
+    # one entry per contender
+    seconds = F.create_map(*[F.lit(x) for name in cfg.models for x in (name, fitted[name][2])])
+    board = leaderboard(metrics).withColumn("fit_seconds", seconds[F.col("model")])
     return board, models, preds

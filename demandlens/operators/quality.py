@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.config import CleanConfig
-from demandlens.operators.joins import attach_stats
+from demandlens.operators.joins import BROADCAST_BYTES, attach_stats
 
 
 def _positive(x: Column) -> Column:
@@ -65,13 +65,13 @@ def flag_outliers_iqr(
     multiplier: float = 3.0,
     accuracy: int = 10000,
     exact: bool = False,
-    broadcast_max_rows: int | None = None,
+    broadcast_max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     fences = warehouse_fences(df, multiplier, accuracy, exact).select(
         "Warehouse", "lower_fence", "upper_fence"
     )
     cols = df.columns
-    joined = attach_stats(df, fences, ["Warehouse"], broadcast_max_rows)
+    joined = attach_stats(df, fences, ["Warehouse"], broadcast_max_bytes)
     flag = _outside(F.col("Order_Demand"), F.col("lower_fence"), F.col("upper_fence"))
     return joined.select(*cols, flag.alias("is_outlier"))
 
@@ -86,10 +86,10 @@ def warehouse_moments(df: DataFrame) -> DataFrame:
 
 
 def flag_outliers_zscore(
-    df: DataFrame, threshold: float = 4.0, broadcast_max_rows: int | None = None
+    df: DataFrame, threshold: float = 4.0, broadcast_max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     cols = df.columns
-    joined = attach_stats(df, warehouse_moments(df), ["Warehouse"], broadcast_max_rows)
+    joined = attach_stats(df, warehouse_moments(df), ["Warehouse"], broadcast_max_bytes)
     std = F.col("std_demand")
     z = F.when(std > 0, F.abs(F.col("Order_Demand") - F.col("mean_demand")) / std).otherwise(
         F.lit(0.0)
@@ -100,10 +100,10 @@ def flag_outliers_zscore(
 def flag_outliers(df: DataFrame, cfg: CleanConfig) -> DataFrame:
     if cfg.outlier_strategy == "iqr":
         return flag_outliers_iqr(
-            df, cfg.iqr_multiplier, cfg.quantile_accuracy, broadcast_max_rows=cfg.broadcast_max_rows
+            df, cfg.iqr_multiplier, cfg.quantile_accuracy, broadcast_max_bytes=cfg.broadcast_max_bytes
         )
     if cfg.outlier_strategy == "zscore":
-        return flag_outliers_zscore(df, cfg.zscore_threshold, cfg.broadcast_max_rows)
+        return flag_outliers_zscore(df, cfg.zscore_threshold, cfg.broadcast_max_bytes)
     raise ValueError(f"Unknown outlier strategy '{cfg.outlier_strategy}'.")
 
 
@@ -118,10 +118,15 @@ def product_record_counts(df: DataFrame) -> DataFrame:
 
 
 def flag_sparse_products(
-    df: DataFrame, min_records: int = 10, broadcast_max_rows: int | None = None
+    df: DataFrame,
+    min_records: int = 10,
+    broadcast_max_bytes: int = BROADCAST_BYTES,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
+    """``counted`` has the rows to count (default: the flagged rows)."""
     cols = df.columns
-    joined = attach_stats(df, product_record_counts(df), ["Product_Code"], broadcast_max_rows)
+    stats = product_record_counts(df if counted is None else counted)
+    joined = attach_stats(df, stats, ["Product_Code"], broadcast_max_bytes)
     return joined.select(*cols, (F.col("record_count") < min_records).alias("is_sparse_product"))
 
 

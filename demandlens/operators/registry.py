@@ -7,8 +7,11 @@ load "the Production model" without a tracking server.
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -31,21 +34,31 @@ REGISTRY_SCHEMA = StructType(
 )
 
 
-def safe_name(name: str) -> str:
-    return name.lower().replace(" ", "_").replace("(", "").replace(")", "")
+def slug(name: str) -> str:
+    """Lower-case words of a model's name, joined by hyphens."""
+    return "-".join(re.findall(r"[a-z0-9]+", name.lower()))
 
 
-def save_models(models: dict[str, PipelineModel], winner: str, model_dir: str) -> dict[str, str]:
-    """Every model under ``model_dir/<safe name>[_best]``."""
+def save_models(
+    models: dict[str, PipelineModel], winner: str, model_dir: str, run: str | None = None
+) -> dict[str, str]:
+    """Every model under ``model_dir/<run>/<slug>[_best]``; each run has a
+    folder of its own, so registered versions keep pointing at their models."""
+    root = f"{model_dir.rstrip('/')}/{run or uuid.uuid4().hex[:12]}"
     paths = {}
     for name, model in models.items():
-        suffix = "_best" if name == winner else ""
-        path = f"{model_dir.rstrip('/')}/{safe_name(name)}{suffix}"
-        model.write().overwrite().save(path)
+        path = f"{root}/{slug(name)}{'_best' if name == winner else ''}"
+        model.write().save(path)
         paths[name] = path
     return paths
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(target)
+
+
 def register(
     spark: SparkSession,
     registry_path: str,
@@ -54,15 +67,14 @@ def register(
     paths: dict[str, str],
     alias: str = "Production",
 ) -> DataFrame:
-    """Append one new version of every model; the winner (rank 1) gets the
-    alias, which is removed from older versions. Returns the new table."""
-    try:
-        old = spark.read.parquet(registry_path)
-        old = old.filter(F.col("registry_name") == registry_name)
-        start = (old.agg(F.max("version")).first()[0] or 0) + 1
-        old_all = spark.read.parquet(registry_path)
-    except Exception:  # first registration: no table yet
-        start, old_all = 1, spark.createDataFrame([], REGISTRY_SCHEMA)
+    """Append one new version of every model; the winner (rank 1) carries the
+    alias. Rows are only ever added, each call as files of its own: nothing is
+    replaced, so a failure or another writer loses no row, and an unreadable
+    table raises. The alias belongs to the latest version that carries it."""
+    start = 1
+    if _exists(spark, registry_path):
+        own = spark.read.parquet(registry_path).filter(F.col("registry_name") == registry_name)
+        start = (own.agg(F.max("version")).first()[0] or 0) + 1
     rows = board.select("model", "mae", "f1", "rank").collect()  # one row per model
     new = [
         (
@@ -76,18 +88,17 @@ def register(
         )
         for i, r in enumerate(sorted(rows, key=lambda r: r["rank"]))
     ]
-    new_df = spark.createDataFrame(new, REGISTRY_SCHEMA)
-    demoted = old_all.withColumn(
-        "alias",
-        F.when(
-            (F.col("registry_name") == registry_name) & (F.col("alias") == alias), F.lit(None)
-        ).otherwise(F.col("alias")),
+    spark.createDataFrame(new, REGISTRY_SCHEMA).coalesce(1).write.mode("append").parquet(registry_path)
+    return current_versions(spark, registry_path)
+
+
+def current_versions(spark: SparkSession, registry_path: str) -> DataFrame:
+    """The registry with each alias on its latest version only."""
+    table = spark.read.parquet(registry_path)
+    latest = F.max(F.when(F.col("alias").isNotNull(), F.col("version"))).over(
+        Window.partitionBy("registry_name", "alias")
     )
-    # the new table reads the old one: write it aside first, then replace
-    staged = f"{registry_path.rstrip('/')}.staged"
-    demoted.unionByName(new_df).coalesce(1).write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).write.mode("overwrite").parquet(registry_path)
-    return spark.read.parquet(registry_path)
+    return table.withColumn("alias", F.when(F.col("version") == latest, F.col("alias")))
 
 
 def load_by_alias(

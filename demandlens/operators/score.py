@@ -20,6 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from demandlens.config import FEATURE_COLUMNS
 from demandlens.functions.calendar import is_monday, is_q4
+from demandlens.functions.parsing import multi_format_date
 
 REQUEST_SCHEMA = StructType(
     [
@@ -29,16 +30,17 @@ REQUEST_SCHEMA = StructType(
     ]
 )
 HISTORY = 7
-ROUND = 4
+#: Layouts of a request's date, tried in this order; a time of day may follow.
+TARGET_DATE_FORMATS = ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy", "yyyyMMdd", "d MMM yyyy", "MMM d, yyyy")
 
 
 def validate_requests(requests: DataFrame) -> DataFrame:
     """Schema check (raises on missing fields) and a per-row validity flag:
-    the target date must parse as yyyy-M-d."""
+    the target date must parse under one of ``TARGET_DATE_FORMATS``."""
     missing = [f.name for f in REQUEST_SCHEMA if f.name not in requests.columns]
     if missing:
         raise ValueError(f"Request fields missing: {missing}")
-    t = F.try_to_date(F.trim(F.col("target_date").cast("string")), "yyyy-M-d")
+    t = multi_format_date(F.col("target_date").cast("string"), TARGET_DATE_FORMATS, lenient=True)
     return requests.withColumns(
         {
             "warehouse": F.upper(F.trim("warehouse")),
@@ -119,9 +121,9 @@ def request_features(requests: DataFrame, cleaned: DataFrame, n: int = HISTORY)
         F.month(t).alias("month"),
         F.dayofweek(t).alias("day_of_week"),
         F.weekofyear(t).alias("week_of_year"),
-        F.round("h_second_last", ROUND).alias("demand_T_minus_2"),
-        F.round("h_std", ROUND).alias("rolling_7d_stddev"),
-        F.round("h_mean", ROUND).alias("rolling_7d_mean"),
+        F.col("h_second_last").alias("demand_T_minus_2"),
+        F.col("h_std").alias("rolling_7d_stddev"),
+        F.col("h_mean").alias("rolling_7d_mean"),
         is_q4(F.month(t)).alias("is_q4"),
         is_monday(F.dayofweek(t)).alias("is_monday"),
         cnt.alias("history_days"),

@@ -39,7 +39,6 @@ def clean_job(
         cfg = replace(
             cfg,
             checkpoint_base=True,
-            broadcast_max_rows=cfg.broadcast_max_rows or 1_000_000,
         )
     cleaned = clean(read_raw(spark, raw_uri, header=header), cfg)
     obs = Observation("clean_job")
@@ -49,7 +48,7 @@ def clean_job(
         F.min("Date").alias("min_date"),
         F.max("Date").alias("max_date"),
     )
-    write_cleaned(observed, output_uri, cfg.output_format, buckets_per_warehouse=cfg.write_buckets_per_warehouse)
+    write_cleaned(observed, output_uri, cfg.output_format)
     metrics = dict(obs.get)
     metrics.update(output=output_uri, seconds=round(time.time() - t0, 2))
     return metrics

@@ -3,6 +3,7 @@ correctness oracle). Tables lineitem / orders / part are pre-registered."""
 
 from __future__ import annotations
 
+from demandlens.config import DEFAULT_MODELS, FEATURE_COLUMNS
 from demandlens.plans import catalog as K
 from demandlens.sources.fixture import RAW_DEMAND_DUCKDB
 
@@ -74,8 +75,8 @@ lagged AS (
 featured AS (
   SELECT Product_Code, Warehouse, Product_Category, Order_Demand, Date, year, month, day_of_week,
          week_of_year, coalesce(demand_T_minus_2, 0) AS demand_T_minus_2,
-         round(coalesce(rolling_7d_stddev, 0), 4) AS rolling_7d_stddev,
-         round(coalesce(rolling_7d_mean, 0), 4) AS rolling_7d_mean,
+         coalesce(rolling_7d_stddev, 0) AS rolling_7d_stddev,
+         coalesce(rolling_7d_mean, 0) AS rolling_7d_mean,
          CASE WHEN month IN (10, 11, 12) THEN 1 ELSE 0 END AS is_q4,
          CASE WHEN day_of_week = 2 THEN 1 ELSE 0 END AS is_monday
   FROM lagged),
@@ -90,11 +91,11 @@ ref_preds AS (
   UNION ALL
   SELECT 'rolling_7d_mean' AS model, Order_Demand, rolling_7d_mean AS prediction FROM test_rows),
 metrics AS (
-  SELECT model, round(mae, 4) AS mae,
-    round(coalesce((tp + tn) / nullif(n, 0), 0), 4) AS accuracy,
-    round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 4) AS f1,
-    round(coalesce(tp / nullif(tp + fp, 0), 0), 4) AS precision,
-    round(coalesce(tp / nullif(tp + fn, 0), 0), 4) AS recall
+  SELECT model, mae,
+    coalesce((tp + tn) / nullif(n, 0), 0) AS accuracy,
+    coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1,
+    coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+    coalesce(tp / nullif(tp + fn, 0), 0) AS recall
   FROM (SELECT model, avg(abs(Order_Demand - prediction)) AS mae, CAST(count(*) AS DOUBLE) AS n,
           CAST(count(*) FILTER (WHERE Order_Demand > {K.THRESHOLD} AND prediction > {K.THRESHOLD}) AS DOUBLE) AS tp,
           CAST(count(*) FILTER (WHERE NOT Order_Demand > {K.THRESHOLD} AND prediction > {K.THRESHOLD}) AS DOUBLE) AS fp,
@@ -106,6 +107,9 @@ slice_rows AS (
 daily AS (SELECT Date, CAST(sum(Order_Demand) AS BIGINT) AS daily_demand FROM slice_rows GROUP BY Date)
 """
 
+_ROUNDED = ", ".join(f"round({c}, 4) AS {c}" for c in K.METRICS)
+
+
 def _q(body: str) -> str:
     return f"WITH {CTES}\n{body}"
 
@@ -213,7 +217,9 @@ ORACLE: dict[str, str] = {
         "SELECT *, CASE WHEN month IN (10, 11, 12) THEN 1 ELSE 0 END AS is_q4, "
         "CASE WHEN day_of_week = 2 THEN 1 ELSE 0 END AS is_monday FROM cleaned"
     ),
-    "demand_features": _q("SELECT * FROM featured"),
+    "demand_features": _q(
+        "SELECT * REPLACE (round(rolling_7d_stddev, 4) AS rolling_7d_stddev, round(rolling_7d_mean, 4) AS rolling_7d_mean) FROM featured"
+    ),
     "describe_demand": _q(
         """SELECT column_name, count, round(mean, 4) AS mean, round(stddev, 4) AS stddev, min, max,
                   min_text, max_text FROM (
@@ -267,8 +273,8 @@ ORACLE: dict[str, str] = {
     ),
     "seasonal_boxplot_stats": _q(
         """, q AS (
-          SELECT month, day_of_week, quantile_disc(Order_Demand, 0.25) AS q1,
-                 quantile_disc(Order_Demand, 0.5) AS median, quantile_disc(Order_Demand, 0.75) AS q3
+          SELECT month, day_of_week, quantile_cont(Order_Demand, 0.25) AS q1,
+                 quantile_cont(Order_Demand, 0.5) AS median, quantile_cont(Order_Demand, 0.75) AS q3
           FROM slice_rows GROUP BY month, day_of_week)
         SELECT s.month, s.day_of_week, q.q1, q.median, q.q3, count(*) AS n,
           min(s.Order_Demand) FILTER (WHERE s.Order_Demand >= q.q1 - 1.5 * (q.q3 - q.q1)
@@ -327,13 +333,52 @@ ORACLE: dict[str, str] = {
                round(sc.seasonal, 4) AS seasonal, round(t.observed - t.trend - sc.seasonal, 4) AS resid
         FROM t JOIN sc ON t.Product_Code = sc.Product_Code AND t.phase = sc.phase"""
     ),
-    "whale_slice": _q("SELECT * FROM whale"),
-    "train_test_split": _q("SELECT * FROM split"),
-    "forecast_metrics": _q("SELECT * FROM metrics"),
+    "whale_slice": _q(
+        "SELECT * REPLACE (round(rolling_7d_stddev, 4) AS rolling_7d_stddev, round(rolling_7d_mean, 4) AS rolling_7d_mean) FROM whale"
+    ),
+    "train_test_split": _q(
+        "SELECT * REPLACE (round(rolling_7d_stddev, 4) AS rolling_7d_stddev, round(rolling_7d_mean, 4) AS rolling_7d_mean) FROM split"
+    ),
+    "forecast_metrics": _q(f"SELECT model, {_ROUNDED} FROM metrics"),
     "leaderboard": _q(
-        "SELECT CAST(row_number() OVER (ORDER BY mae, model) AS INTEGER) AS rank, *, "
+        f"SELECT CAST(row_number() OVER (ORDER BY mae, model) AS INTEGER) AS rank, model, {_ROUNDED}, "
         "row_number() OVER (ORDER BY mae, model) = 1 AS is_winner FROM metrics"
     ),
+    "scan_csv_reordered": _q("SELECT * FROM raw_demand"),
+    "seasonal_decompose_excluded": _q(
+        """SELECT Product_Code, count(DISTINCT strftime(Date, '%Y-%m')) AS months, 24 AS required
+        FROM cleaned GROUP BY Product_Code HAVING count(DISTINCT strftime(Date, '%Y-%m')) < 24"""
+    ),
+    "lag_pair_correlation": _q(
+        f"""SELECT count(*) AS n_pairs, round(corr(demand_t, demand_t_plus_1), 4) AS correlation FROM (
+          SELECT lag(Order_Demand, 1) OVER (ORDER BY Date, Order_Demand, Warehouse, Product_Category)
+                 AS demand_t, Order_Demand AS demand_t_plus_1
+          FROM cleaned WHERE Product_Code = '{K.PRODUCT}') WHERE demand_t IS NOT NULL"""
+    ),
+    "forest_within_labels": _q(
+        "SELECT Product_Code, Warehouse, Date, Order_Demand, true AS within_labels FROM test_rows"
+    ),
+    "ridge_normal_equations": "SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in FEATURE_COLUMNS)
+    + "]) AS feature, true AS solved",
+    "tournament_test_rows": _q(
+        "SELECT m.model, t.* FROM (SELECT unnest(["
+        + ", ".join(f"'{m}'" for m in DEFAULT_MODELS)
+        + f"""]) AS model) m, (SELECT count(*) AS test_rows,
+          count(*) FILTER (WHERE Order_Demand > {K.THRESHOLD}) AS high_demand_rows,
+          CAST(0 AS BIGINT) AS without_prediction FROM test_rows) t"""
+    ),
+    "score_requests_echo": _q(
+        f"""SELECT r.warehouse, r.product_category, r.target_date,
+          CASE WHEN count(DISTINCT h.Date) < 7 THEN 'insufficient history' END AS error,
+          count(DISTINCT h.Date) >= 7 AS has_prediction
+        FROM (SELECT DISTINCT Warehouse AS warehouse, Product_Category AS product_category,
+                     strftime(Date, '%Y-%m-%d') AS target_date, Date AS t
+              FROM cleaned WHERE year = {K.TEST_YEAR}) r
+        LEFT JOIN (SELECT DISTINCT Warehouse, Product_Category, Date FROM cleaned) h
+          ON r.warehouse = h.Warehouse AND r.product_category = h.Product_Category AND h.Date < r.t
+        GROUP BY 1, 2, 3"""
+    ),
     "score_request_features": _q(
         f""", reqs AS (
           SELECT DISTINCT Warehouse AS warehouse, Product_Category AS product_category,

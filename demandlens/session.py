@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -14,8 +15,8 @@ _S3A_STATIC = {
     "spark.hadoop.fs.s3a.path.style.access": "true",
     "spark.hadoop.fs.s3a.connection.ssl.enabled": "false",
     "spark.hadoop.fs.s3a.connection.timeout": "60000",
-    "spark.hadoop.fs.s3a.connection.establish.timeout": "5000",
-    "spark.hadoop.fs.s3a.attempts.maximum": "3",
+    "spark.hadoop.fs.s3a.connection.establish.timeout": "60000",
+    "spark.hadoop.fs.s3a.threads.keepalivetime": "60000",
 }
 
 DEFAULT_CONF = {
@@ -26,7 +27,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -62,6 +62,8 @@ def build_session(
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if os.environ.get("S3_ENDPOINT") or os.environ.get("S3_ACCESS_KEY"):
+        conf.update(s3a_conf())
     conf.update(extra_conf or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -85,6 +87,10 @@ def shared_dir(spark: SparkSession) -> str:
         if existing:
             path = existing
         else:
+            if not re.match(r"local(\[|$)", sc.master):
+                raise RuntimeError(
+                    "set spark.checkpoint.dir to a folder that the driver and all executors share"
+                )
             path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():

@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 
 from demandlens.session import ensure_parallelism, scratch_path
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _padded(text: Column, width: int) -> Column:
+    """Zero-padded to at least ``width`` characters, never shortened."""
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def _code(prefix: str, key: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), 4, "0"))
+    return F.concat(F.lit(prefix), _padded(key.cast("string"), 4))
 
 
 def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(sk % 4 == 2, F.lit("WHSE_J "))
         .otherwise(F.lit("Whse_S"))
     )
-    category = F.concat(F.lit("Category_"), F.lpad(F.substring("p_brand", 7, 1 << 20), 3, "0"))
+    category = F.concat(F.lit("Category_"), _padded(F.expr("substring(p_brand, 7)"), 3))
     date = (
         F.when(ok % 97 == 0, F.lit("not-a-date"))
         .when(ok % 101 == 0, F.lit(None).cast("string"))
@@ -87,32 +92,36 @@ def raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def landed_raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw view landed once per session as an all-string Parquet table
-    in the shared checkpoint folder, the way raw CSV files land before
-    cleaning. Later queries scan plain string columns instead of
-    re-deriving the view (whose expressions would otherwise be inlined
-    into every pushed-down predicate)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A table derived from the driver's tables, written once per session to
+    the shared folder by ``build(spark, sf_dir)`` and read from there: raw
+    files land before they are cleaned, cleaned tables before they are
+    explored, trained on and scored."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     path = _LANDED.get(key)
     if path is None:
-        path = scratch_path(spark, "raw_demand")
-        raw_demand(spark, sf_dir).write.mode("overwrite").parquet(path)
+        path = scratch_path(spark, name)
+        build(spark, sf_dir).write.mode("overwrite").parquet(path)
         _LANDED[key] = path
-    return ensure_parallelism(spark.read.parquet(path))
+    return spark.read.parquet(path)
+
+
+def landed_raw_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw view as an all-string table, the way raw CSV files land."""
+    return ensure_parallelism(landed(spark, sf_dir, "raw_demand", raw_demand))
 
 
 # DuckDB text of the same view (used by the oracle SQL of every query).
 RAW_DEMAND_DUCKDB = r"""
 SELECT
-  CASE WHEN l_partkey % 7 = 0 THEN concat(' product_', lpad(CAST(l_partkey AS VARCHAR), 4, '0'))
-       ELSE concat('Product_', lpad(CAST(l_partkey AS VARCHAR), 4, '0')) END AS Product_Code,
+  CASE WHEN l_partkey % 7 = 0 THEN concat(' product_', lpad(CAST(l_partkey AS VARCHAR), greatest(4, length(CAST(l_partkey AS VARCHAR)))::INTEGER, '0'))
+       ELSE concat('Product_', lpad(CAST(l_partkey AS VARCHAR), greatest(4, length(CAST(l_partkey AS VARCHAR)))::INTEGER, '0')) END AS Product_Code,
   CASE WHEN l_orderkey % 211 = 0 THEN NULL
        WHEN l_suppkey % 4 = 0 THEN 'Whse_A'
        WHEN l_suppkey % 4 = 1 THEN ' whse_c'
        WHEN l_suppkey % 4 = 2 THEN 'WHSE_J '
        ELSE 'Whse_S' END AS Warehouse,
-  concat('Category_', lpad(substring(p_brand, 7), 3, '0')) AS Product_Category,
+  concat('Category_', lpad(substring(p_brand, 7), greatest(3, length(substring(p_brand, 7)))::INTEGER, '0')) AS Product_Category,
   CASE WHEN l_orderkey % 97 = 0 THEN 'not-a-date'
        WHEN l_orderkey % 101 = 0 THEN NULL
        WHEN l_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y/%-m/%-d')

@@ -13,41 +13,70 @@ from demandlens.config import RAW_COLUMNS
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
 
 
-def read_raw(
-    spark: SparkSession,
-    uri: str,
-    header: bool = True,
-    infer_schema: bool = False,
-    schema: StructType | None = RAW_SCHEMA,
-) -> DataFrame:
-    """Header CSV, ``"`` as quote and escape, one record per line.
-
-    With the default explicit all-string schema there is no inference job
-    and the file splits across tasks; ``infer_schema=True`` drops the
-    schema (one extra pass over the data)."""
-    reader = (
+def _csv(spark: SparkSession, header: bool):
+    return (
         spark.read.option("header", str(header).lower())
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", "false")
         .option("mode", "PERMISSIVE")
     )
-    if infer_schema:
-        reader = reader.option("inferSchema", "true")
-    elif schema is not None:
-        if header:
-            # match by position: raw headers may carry blanks around names
-            reader = reader.option("enforceSchema", "true")
-        reader = reader.schema(schema)
-    return reader.csv(uri)
 
 
-def read_cleaned(spark: SparkSession, uri: str, fmt: str = "parquet") -> DataFrame:
+def header_columns(spark: SparkSession, uri: str) -> list[str]:
+    """Column names of a header CSV, from its first line alone."""
+    first = _csv(spark, False).csv(uri).first()
+    return [(c or "").strip() for c in first or ()]
+
+
+def read_raw(
+    spark: SparkSession,
+    uri: str,
+    header: bool = True,
+    infer_schema: bool = False,
+    schema: StructType | None = RAW_SCHEMA,
+) -> DataFrame:
+    """CSV with ``"`` as quote and escape, one record per line.
+
+    The columns of a file with a header are found by name: its first line is
+    read on its own, names are stripped of blanks, columns that ``schema``
+    asks for must all be there (in any order, beside others), and the file is
+    read with an explicit all-string schema in its own order, so it is not
+    scanned to infer one and splits across tasks. All files under ``uri``
+    share the first one's layout. Without a header, columns go by position.
+    ``infer_schema=True`` ignores ``schema`` (one extra pass over the data)."""
+    reader = _csv(spark, header)
+    if infer_schema or schema is None:
+        reader = reader.option("inferSchema", str(infer_schema).lower())
+        return reader.csv(uri)
+    if not header:
+        return reader.schema(schema).csv(uri)
+    names = header_columns(spark, uri)
+    missing = [f.name for f in schema if f.name not in names]
+    if missing:
+        raise ValueError(f"{uri} lacks the columns {missing}; its header has {names}")
+    kinds = {f.name: f.dataType for f in schema}
+    layout = StructType([StructField(c, kinds.get(c, StringType()), True) for c in names])
+    rows = reader.option("enforceSchema", "true").schema(layout).csv(uri)
+    return rows.select(*[f.name for f in schema])
+
+
+#: Columns of a cleaned table that is not self-describing.
+CLEANED_SCHEMA = (
+    "Product_Code string, Product_Category string, Order_Demand bigint, Date date, year int, "
+    "month int, day_of_week int, week_of_year int, Warehouse string"
+)
+
+
+def read_cleaned(
+    spark: SparkSession, uri: str, fmt: str = "parquet", schema: str | StructType = CLEANED_SCHEMA
+) -> DataFrame:
     """Cleaned table root; ``Warehouse=...`` directories become a column
-    and filters on it prune directories."""
+    and filters on it prune directories. ``schema`` serves CSV only: no pass
+    over the data to infer one."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true").option("inferSchema", "true")
+        reader = reader.option("header", "true").schema(schema)
     return reader.load(uri)
 
 
@@ -74,7 +103,7 @@ def source_uri(cfg: SourceConfig) -> str:
         if not cfg.namenode:
             raise ValueError("hdfs source needs a namenode or an hdfs:// path")
         return f"hdfs://{cfg.namenode}/{cfg.path.lstrip('/')}"
-    raise ValueError(f"Unknown data source '{cfg.kind}'")
+    raise ValueError(f"no such kind of store: {cfg.kind!r} (local, s3, minio or hdfs)")
 
 
 def read_source(spark: SparkSession, cfg: SourceConfig, **kw) -> DataFrame:

@@ -21,7 +21,8 @@ def write_table(
 ) -> None:
     if fmt not in SUPPORTED_FORMATS:
         raise ValueError(f"Unsupported output format '{fmt}'")
-    w = df.write.mode("overwrite").format(fmt)
+    # the whole table is replaced, whatever the session says about partitions
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if fmt == "csv":
         w = w.option("header", "true")
     if partition_cols:
@@ -29,16 +30,12 @@ def write_table(
     w.save(uri)
 
 
-def layout_for_write(df: DataFrame, buckets_per_warehouse: int = 16) -> DataFrame:
-    """Spread each warehouse over several tasks before a Warehouse-partitioned
-    write: hashing on Warehouse alone would put a whole warehouse (there are
-    only a handful) into one task and one huge file. The bucket hashes the
-    whole row, so even a product holding a large share of the rows spreads
-    over all buckets of its warehouse (rows are distinct after cleaning)."""
-    if buckets_per_warehouse <= 1:
-        return df
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets_per_warehouse))
-    return df.repartition("Warehouse", bucket)
+def layout_for_write(df: DataFrame) -> DataFrame:
+    """Gather each warehouse's rows before a Warehouse-partitioned write, in
+    pieces of the advisory partition size: adaptive execution splits large
+    warehouses by bytes and joins small ones, so neither one task nor a fixed
+    number of them has to write a whole warehouse."""
+    return df.hint("rebalance", "Warehouse")
 
 
 def write_cleaned(
@@ -46,9 +43,8 @@ def write_cleaned(
     uri: str,
     fmt: str = "parquet",
     partition_cols: Sequence[str] = ("Warehouse",),
-    buckets_per_warehouse: int = 16,
 ) -> None:
-    write_table(layout_for_write(df, buckets_per_warehouse), uri, fmt, partition_cols)
+    write_table(layout_for_write(df), uri, fmt, partition_cols)
 
 
 def write_to(df: DataFrame, cfg: SourceConfig, fmt: str = "parquet", **kw) -> str:

@@ -4,7 +4,7 @@ import json
 import numpy as np
 import pytest
 
-from demandlens.config import FEATURE_COLUMNS, TrainConfig
+from demandlens.config import DEFAULT_MODELS, FEATURE_COLUMNS, TrainConfig
 from demandlens.operators import evaluate as EV
 from demandlens.operators import forecast as FC
 from demandlens.operators import registry as RG
@@ -29,7 +29,7 @@ def featured(spark, n=120, seed=0):
 def test_ridge_matches_closed_form(spark):
     df = featured(spark)
     train, test = FC.train_test(df, 2000)
-    _, pred = FC.fit_predict("Baseline Linear", train, test, TrainConfig(test_year=2000))
+    _, pred = FC.fit_predict(DEFAULT_MODELS[0], train, test, TrainConfig(test_year=2000))
     tr, te = train.toPandas(), test.toPandas()
     X = tr[list(FEATURE_COLUMNS)].to_numpy(float)
     mu, sd = X.mean(0), X.std(0)
@@ -43,7 +43,7 @@ def test_ridge_matches_closed_form(spark):
     assert np.allclose(got, want, rtol=1e-6, atol=1e-6)
 
 
-@pytest.mark.parametrize("name", ["Random Forest", "XGBoost", "LightGBM", "Prophet (Time Series)"])
+@pytest.mark.parametrize("name", [DEFAULT_MODELS[2], DEFAULT_MODELS[3], DEFAULT_MODELS[4], DEFAULT_MODELS[1]])
 def test_contenders_fit_and_predict(spark, name):
     df = featured(spark, 80)
     train, test = FC.train_test(df, 2000)
@@ -52,7 +52,7 @@ def test_contenders_fit_and_predict(spark, name):
     rows = pred.collect()
     assert len(rows) == test.count() > 0
     assert all(r.prediction is not None for r in rows)
-    if name == "Prophet (Time Series)":
+    if name == DEFAULT_MODELS[1]:
         assert all(r.prediction >= 0 for r in rows)
     # deterministic with the seed
     _, again = FC.fit_predict(name, train, test, cfg)
@@ -74,7 +74,7 @@ def test_metrics_values(spark):
 
 def test_tournament_and_registry(spark, tmp_path):
     df = featured(spark, 80)
-    cfg = TrainConfig(test_year=2000, num_trees=3, boost_iters=3, models=("Baseline Linear", "Random Forest"))
+    cfg = TrainConfig(test_year=2000, num_trees=3, boost_iters=3, models=(DEFAULT_MODELS[0], DEFAULT_MODELS[2]))
     board, models, _ = FC.run_tournament(df, cfg)
     rows = board.orderBy("rank").collect()
     assert [r.rank for r in rows] == [1, 2] and rows[0].is_winner
@@ -86,9 +86,36 @@ def test_tournament_and_registry(spark, tmp_path):
     RG.register(spark, reg, "demand", board, paths)
     table = spark.read.parquet(reg)
     assert table.count() == 4
-    assert table.filter("alias = 'Production'").count() == 1
+    assert RG.current_versions(spark, reg).filter("alias = 'Production'").count() == 1
     doc = json.loads(leaderboard_document(board).first().value)
     assert list(doc) == [r.model for r in rows] and set(doc[rows[0].model]) == {"MAE", "Accuracy", "F1", "Precision", "Recall"}
     model, version = RG.load_by_alias(spark, reg, "demand")
     assert "@Production" in version
     assert model.transform(df).count() == df.count()
+
+
+def test_registry_versions_keep_their_models_and_errors_lose_nothing(spark, tmp_path):
+    df = featured(spark, 80)
+    reg = str(tmp_path / "registry")
+    seen = []
+    for trees in (1, 4):
+        cfg = TrainConfig(test_year=2000, num_trees=trees, models=(DEFAULT_MODELS[2],))
+        board, models, _ = FC.run_tournament(df, cfg)
+        paths = RG.save_models(models, DEFAULT_MODELS[2], str(tmp_path / "models"))
+        RG.register(spark, reg, "demand", board, paths)
+        model, version = RG.load_by_alias(spark, reg, "demand")
+        seen.append((version, model.stages[1].getNumTrees))
+    assert [n for _, n in seen] == [1, 4] and seen[0][0] != seen[1][0]
+    first = spark.read.parquet(reg).filter("version = 1").first()
+    assert RG.PipelineModel.load(first.path).stages[1].getNumTrees == 1
+    before = sorted(tmp_path.joinpath("registry").glob("*.parquet"))
+    before[0].write_bytes(b"damaged")
+    with pytest.raises(Exception):
+        RG.register(spark, reg, "demand", board, paths)
+    assert sorted(tmp_path.joinpath("registry").glob("*.parquet")) == before
+
+
+def test_rank_uses_the_full_precision(spark):
+    rows = [("b", 0, 0.00001), ("a", 0, 0.00002)]
+    preds = spark.createDataFrame(rows, "model string, Order_Demand bigint, prediction double")
+    assert [r.model for r in EV.leaderboard(EV.forecast_metrics(preds, 1)).orderBy("rank").collect()] == ["b", "a"]

@@ -2,7 +2,8 @@ import pytest
 
 from demandlens.session import s3a_conf, scratch_path
 from demandlens.sources.readers import SourceConfig, read_cleaned, read_raw, source_uri
-from demandlens.sources.sinks import write_cleaned, write_table
+from demandlens.plans.jobs import clean_job
+from demandlens.sources.sinks import write_cleaned, write_table, write_to
 
 
 def test_source_uris():
@@ -30,15 +31,52 @@ def test_csv_read_padded_header_and_quotes(spark, tmp_path):
     assert rows[0].Order_Demand == "(1,200)" and rows[1].Product_Code == 'P"2' and rows[1].Order_Demand is None
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    p = tmp_path / "reordered.csv"
+    p.write_text("Warehouse, Product_Code ,note,Product_Category,Order_Demand,Date\nW9,P7,x,C3,12,2016/2/3\n")
+    row = read_raw(spark, str(p)).first()
+    assert row.asDict() == {"Product_Code": "P7", "Warehouse": "W9", "Product_Category": "C3",
+                            "Date": "2016/2/3", "Order_Demand": "12"}
+    few = tmp_path / "few.csv"
+    few.write_text("Warehouse,Date\nW9,2016/2/3\n")
+    with pytest.raises(ValueError, match="Order_Demand"):
+        read_raw(spark, str(few))
+    with pytest.raises(ValueError, match="Order_Demand"):
+        clean_job(spark, str(few), scratch_path(spark, "never"))
+    bare = tmp_path / "bare.csv"
+    bare.write_text("P7,W9,C3,2016/2/3,12\n")
+    assert read_raw(spark, str(bare), header=False).first().Order_Demand == "12"
+
+
+def test_overwrite_replaces_every_partition(spark):
+    path = scratch_path(spark, "t")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for rows in ([("P", "W1", 1), ("Q", "W2", 2)], [("P", "W1", 3)]):
+            write_cleaned(spark.createDataFrame(rows, "Product_Code string, Warehouse string, v int"), path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert [(r.Warehouse, r.v) for r in read_cleaned(spark, path).collect()] == [("W1", 3)]
+
+
+def test_sink_dispatch_by_kind(spark, tmp_path):
+    df = spark.createDataFrame([("P", "W1", 1)], "Product_Code string, Warehouse string, v int")
+    uri = write_to(df, SourceConfig("local", path=str(tmp_path / "out")))
+    assert read_cleaned(spark, uri).count() == 1
+    with pytest.raises(ValueError):
+        write_to(df, SourceConfig("tape", path="x"))
+
+
 def test_partitioned_roundtrip(spark):
     df = spark.createDataFrame([("P", "W1", 1), ("Q", "W2", 2)], "Product_Code string, Warehouse string, v int")
     path = scratch_path(spark, "t")
-    write_cleaned(df, path, buckets_per_warehouse=2)
+    write_cleaned(df, path)
     back = read_cleaned(spark, path)
     assert back.columns[-1] == "Warehouse"
     assert back.filter("Warehouse = 'W2'").collect()[0].v == 2
     csv = scratch_path(spark, "c")
     write_table(df, csv, "csv", ["Warehouse"])
-    assert read_cleaned(spark, csv, "csv").count() == 2
+    assert read_cleaned(spark, csv, "csv", "Product_Code string, v int, Warehouse string").count() == 2
     with pytest.raises(ValueError):
         write_table(df, path, "xls")

@@ -1,5 +1,5 @@
 from conftest import SF_SMALL
-from demandlens.config import CleanConfig, TrainConfig
+from demandlens.config import DEFAULT_MODELS, CleanConfig, TrainConfig
 from demandlens.plans import catalog as K
 from demandlens.plans.jobs import clean_job, train_job
 from demandlens.session import scratch_path
@@ -24,10 +24,10 @@ def test_clean_and_train_jobs(spark):
     m2 = clean_job(spark, raw_csv, flagged_out, CleanConfig(min_records_per_product=20, keep_flags=True))
     flagged = read_cleaned(spark, flagged_out)
     assert m2["rows"] == expected and "is_outlier" in flagged.columns
-    want = K._cleaned(spark, SF_SMALL, keep_flags=True).filter("is_outlier").count()
+    want = K._clean_from_raw(spark, SF_SMALL, keep_flags=True).filter("is_outlier").count()
     assert flagged.filter("is_outlier").count() == want
     cfg = TrainConfig(test_year=2001, num_trees=3, boost_iters=3, high_demand_threshold=4000.0,
-                      models=("Baseline Linear", "Random Forest"))
+                      models=(DEFAULT_MODELS[0], DEFAULT_MODELS[2]))
     res = train_job(spark, out, cfg)
     assert res["winner"] in cfg.models and len(res["leaderboard"]) == 2
     assert res["slice"]["slice_rows"] > 0 and res["slice"]["incomplete_rows"] == 0
