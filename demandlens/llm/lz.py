@@ -15,6 +15,7 @@ without id come first, equal ids are ordered by a hash of the text.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -64,23 +65,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS, _INVERSES
 
 
-def signature(codes: np.ndarray, ends: list[int]) -> np.ndarray:
-    """The smallest phrase hashes (uint32, ascending, distinct). A phrase's
-    hash is a polynomial in its code points, mixed at the end; all phrases of
-    a text come from one running sum."""
+def running_hash(codes: np.ndarray, start: int = 0, before: int = 0) -> np.ndarray:
+    """Running sums of the polynomial hash: entry k covers ``start + k`` code
+    points, ``before`` being the sum of those before ``start``."""
+    powers, _ = _powers(start + len(codes) + 1)
+    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= powers[start : start + len(codes)]
+    out = np.empty(len(codes) + 1, np.uint64)
+    out[0] = before
+    np.cumsum(mixed, out=out[1:])
+    out[1:] += out[0]
+    return out
+
+
+def phrase_hashes(total: np.ndarray, ends: list[int], offset: int = 0, begin: int = 0) -> np.ndarray:
+    """32-bit hashes of the phrases that begin at ``begin`` and end at
+    ``ends``; ``total`` holds running sums from ``offset`` on. A phrase's hash
+    is a polynomial in its code points, mixed at the end."""
     if not ends:
         return np.zeros(0, np.uint32)
     last = np.asarray(ends)
-    first = np.concatenate([[0], last[:-1]])
-    powers, inverses = _powers(len(codes) + 1)
-    mixed = (codes.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX)
-    mixed ^= mixed >> np.uint64(29)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * powers[: len(codes)])])
-    h = (total[last] - total[first]) * inverses[first] + (last - first).astype(np.uint64)
+    first = np.concatenate([[begin], last[:-1]])
+    _, inverses = _powers(int(last[-1]) + 1)
+    h = (total[last - offset] - total[first - offset]) * inverses[first]
+    h += (last - first).astype(np.uint64)
     h ^= h >> np.uint64(32)
     h *= np.uint64(MIX)
     h ^= h >> np.uint64(32)
-    h = (h * np.uint64(BASE) >> np.uint64(32)).astype(np.uint32)
+    return (h * np.uint64(BASE) >> np.uint64(32)).astype(np.uint32)
+
+
+def signature(h: np.ndarray) -> np.ndarray:
+    """The smallest hashes (ascending, distinct)."""
     if len(h) > 4 * SIZE:
         h = np.partition(h, 2 * SIZE)[: 2 * SIZE]
     return np.unique(h)[:SIZE]
@@ -91,20 +108,24 @@ def to_hex(sig: np.ndarray) -> str:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    if not len(a) or not len(b):
-        return float(len(a) == len(b))
-    both = np.union1d(a, b)[:SIZE]
-    return float((np.isin(both, a) & np.isin(both, b)).sum() / len(both))
+    x, y = set(a.tolist()), set(b.tolist())
+    if not x or not y:
+        return float(len(x) == len(y))
+    both, common = sorted(x | y)[:SIZE], x & y
+    return sum(v in common for v in both) / len(both)
 
 
 class Parsed:
     """A text with its phrases and signature."""
 
     def __init__(self, text: str):
-        self.text, self.codes = text, code_points(text)
-        self.list, self.trie, self.ends = self.codes.tolist(), {}, []
-        parse(self.list, 0, self.trie, self.ends)
-        self.signature = signature(self.codes, self.ends)
+        self.text, self.trie, self.ends = text, {}, []
+        codes = code_points(text)
+        self.codes = codes.tolist()
+        parse(self.codes, 0, self.trie, self.ends)
+        self.total = running_hash(codes)
+        self.hashes = phrase_hashes(self.total, self.ends)
+        self.signature = signature(self.hashes)
 
     def edited(self, following: str) -> tuple[str, np.ndarray]:
         """The text whose last quarter gives way to the beginning of the
@@ -114,13 +135,16 @@ class Parsed:
         n = len(self.text)
         cut = n - n // 4
         tail = following[: n // 4]
-        kept = int(np.searchsorted(self.ends, cut, "right"))
+        kept = bisect_right(self.ends, cut)
         for _ in range(len(self.ends) - kept):
             self.trie.popitem()  # the latest phrases
-        ends = self.ends[:kept]
-        codes = np.concatenate([self.codes[:cut], code_points(tail)])
-        parse(codes.tolist(), ends[-1] if ends else 0, self.trie, ends)
-        return self.text[:cut] + tail, signature(codes, ends)
+        begin = self.ends[kept - 1] if kept else 0
+        new = code_points(tail)
+        ends: list[int] = []
+        parse(self.codes[:cut] + new.tolist(), begin, self.trie, ends)
+        total = np.concatenate([self.total[begin:cut], running_hash(new, cut, self.total[cut])])
+        added = phrase_hashes(total, ends, begin, begin)
+        return self.text[:cut] + tail, signature(np.concatenate([self.hashes[:kept], added]))
 
 
 def fingerprint(text: str) -> str:
