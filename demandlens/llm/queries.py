@@ -59,4 +59,26 @@ QUERIES = {
     "op10_golay": op10_golay,
 }
 
-ORACLE: dict[str, str] = {}
+#: SQL of the one operator whose result plain SQL can give on these tables.
+ORACLE: dict[str, str] = {
+    "op8_pca_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (
+  SELECT * FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND list_count(e) = len(e)
+    AND list_bool_and(list_transform(e, lambda x: isfinite(x))) AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e)) / sqrt(list_dot_product(b.e, b.e)) >= 0.98),
+reach AS (
+  SELECT vec_id AS v, vec_id AS r FROM v
+  UNION
+  SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v
+JOIN (SELECT v AS vec_id, min(r) AS component_id FROM reach GROUP BY v) c ON c.vec_id = v.vec_id
+LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n ON n.vec_id = v.vec_id
+""",
+}
