@@ -39,7 +39,7 @@ from demandlens.session import scratch_path
 #: Counts up to this one are discounted.
 K = 5
 #: Tokens of a part, and tokens of the input for each bucket.
-PART_TOKENS, BUCKET_TOKENS = 1 << 21, 1 << 20
+PART_TOKENS, BUCKET_TOKENS = 1 << 20, 1 << 20
 #: Hashes of the end token and of the place before a text; no word has white space.
 END, START = xxhash.xxh64_intdigest(b"\n"), xxhash.xxh64_intdigest(b"\t")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
