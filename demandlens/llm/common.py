@@ -17,8 +17,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch hands to a Python worker: texts can be long.
-ARROW_ROWS = 256
+#: Bytes that one Arrow batch hands to a Python worker (a longer row is a batch
+#: of its own): texts, parts and tiles can be long.
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +39,8 @@ def arrow_map(
     fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str,
 ) -> DataFrame:
-    """``mapInArrow`` with batches small enough for long texts."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    """``mapInArrow`` with batches bounded by bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return df.mapInArrow(fn, schema)
 
 

@@ -236,8 +236,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 8)
-    return placed.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return arrow_map(placed, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, **options) -> DataFrame:

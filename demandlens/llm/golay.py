@@ -130,7 +130,7 @@ def _keys(prints: DataFrame, stored: bool) -> DataFrame:
                 [pa.array(np.concatenate(keys)), pa.array(np.concatenate(owners))], ["key", "fp"]
             )
 
-    return prints.select("fp").mapInArrow(run, "key long, fp long")
+    return arrow_map(prints.select("fp"), run, "key long, fp long")
 
 
 def links(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:

@@ -205,13 +205,7 @@ def _ask_counts(parts: DataFrame, order: int, buckets: int) -> DataFrame:
                         ))
                 yield _batch(out, _ASKED)
 
-    return _by_part(parts).mapInArrow(run, _ASK)
-
-
-def _by_part(parts: DataFrame) -> DataFrame:
-    """Parts are large rows: hand them over one at a time."""
-    parts.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
-    return parts
+    return arrow_map(parts, run, _ASK)
 
 
 def _answer_counts(key: tuple, asked: pa.Table) -> pa.Table:

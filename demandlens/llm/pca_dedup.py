@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from demandlens.llm.common import arrow_map
 from demandlens.llm.components import components
 from demandlens.session import scratch_path
 
@@ -53,7 +54,8 @@ def principal_axes(vectors: DataFrame, size: int) -> np.ndarray:
             "s": pa.array(total.ravel(), pa.float64()),
         })
 
-    sums = vectors.select("v").mapInArrow(run, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s").alias("s"))
+    sums = arrow_map(vectors.select("v"), run, "i int, j int, s double")
+    sums = sums.groupBy("i", "j").agg(F.sum("s").alias("s"))
     moments = np.zeros((size, size))
     for i, j, s in sums.collect():  # size x size numbers
         moments[i, j] = s
@@ -148,8 +150,10 @@ def links(nodes: DataFrame, threshold: float) -> DataFrame:
                     [*batch.columns, pa.array(lead)], [*batch.schema.names, "lead"]
                 )
 
-        led = own.select("node", "label", "copies", "v").mapInArrow(
-            rotate, "node long, label string, copies long, v array<double>, lead double"
+        led = arrow_map(
+            own.select("node", "label", "copies", "v"),
+            rotate,
+            "node long, label string, copies long, v array<double>, lead double",
         )
         led = led.withColumn("cell", F.floor(F.col("lead") / reach).cast("long")).drop("lead")
         here = f"{path}-{size}"
@@ -185,9 +189,8 @@ def links(nodes: DataFrame, threshold: float) -> DataFrame:
                     found = tile_links((na, nb), vectors, (ca, cb), axes.value, threshold, same.as_py())
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["node", "links", "root"])
 
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 4)
         here = f"{here}-links"
-        pairs.mapInArrow(compare, "node long, links long, root long").write.parquet(here)
+        arrow_map(pairs, compare, "node long, links long, root long").write.parquet(here)
         out = out.union(spark.read.parquet(here))
     return out
 
