@@ -18,6 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,15 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from demandlens.llm.chunks import CACHE_ENTRIES, ChunkEncoder, byte_chunks
+from demandlens.llm.chunks import ChunkEncoder, byte_chunks
 from demandlens.llm.common import arrow_map, id_text
 
 #: Bytes of a leaf, and ids of a leaf when decoding.
 LEAF, DECODE_LEAF = 8, 4096
+#: Bytes of spans whose encoding is remembered, and entries of the memories of
+#: spans and seams, pretokens, and chunks (each starts anew when full).
+MEMO_BYTES, MEMO_ENTRIES = 10, 300_000
+PRETOKENS, CHUNKS = 500_000, 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,15 +50,27 @@ class TreeBpe:
         for data, rank in ranks.items():
             self.bytes_of[rank] = data
         self._stable: dict[tuple[int, int], bool] = {}
+        self._merged: dict[bytes, list[int]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Plain BPE of a span: the neighbours of lowest rank merge first, the
-        leftmost of equals."""
+        leftmost of equals. Short spans, which words share, are remembered."""
         ranks = self.ranks
         if data in ranks:
             return [ranks[data]]
         if len(data) > 4 * self.leaf:
             return self._merge_long(data)
+        if len(data) > MEMO_BYTES:
+            return self._merge_short(data)
+        found = self._merged.get(data)
+        if found is None:
+            if len(self._merged) > MEMO_ENTRIES:
+                self._merged.clear()
+            found = self._merged[data] = self._merge_short(data)
+        return found
+
+    def _merge_short(self, data: bytes) -> list[int]:
+        ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
         pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
         while True:
@@ -103,7 +121,7 @@ class TreeBpe:
     def stable(self, a: int, b: int) -> bool:
         key = (a, b)
         if key not in self._stable:
-            if len(self._stable) > CACHE_ENTRIES:
+            if len(self._stable) > MEMO_ENTRIES:
                 self._stable.clear()
             self._stable[key] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return self._stable[key]
@@ -142,6 +160,14 @@ class TreeBpe:
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
+def _little(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 _LOADED: dict[str, tuple[TreeBpe, ChunkEncoder]] = {}
 
 
@@ -150,13 +176,23 @@ def loaded(name: str) -> tuple[TreeBpe, ChunkEncoder]:
     if name not in _LOADED:
         tree = TreeBpe(load_ranks(public_tokenizers.path(name)))
         matches = regex.compile(public_tokenizers.PATTERN).findall
-        _LOADED[name] = tree, ChunkEncoder(
-            lambda xs: [
-                np.array([t for m in matches(x) for t in tree.encode(m.encode())], "<u4").tobytes()
-                for x in xs
-            ],
-            byte_chunks,
-        )
+        known: dict[str, bytes] = {}  # of pretokens, which chunks share
+
+        def encode_many(chunks: list[str]) -> list[bytes]:
+            if len(known) > PRETOKENS:
+                known.clear()
+            out = []
+            for chunk in chunks:
+                parts = []
+                for m in matches(chunk):
+                    ids = known.get(m)
+                    if ids is None:
+                        ids = known[m] = _little(tree.encode(m.encode()))
+                    parts.append(ids)
+                out.append(b"".join(parts))
+            return out
+
+        _LOADED[name] = tree, ChunkEncoder(encode_many, byte_chunks, CHUNKS)
     return _LOADED[name]
 
 
