@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandlens.llm.bpe_tree import load_ranks
-from demandlens.llm.chunks import CACHE_ENTRIES
 from demandlens.llm.common import arrow_map
 
 UNKNOWN = "und"
@@ -34,6 +33,8 @@ SAMPLE_DOCS = 400
 ROUNDS = 4
 #: Shares of the mean of all languages and of the uniform distribution.
 SHARED, UNIFORM = 0.02, 0.01
+#: Distinct chunks that a worker remembers; then it starts anew (memory bound).
+CACHE_ENTRIES = 500_000
 #: Words above these bytes take the rescaled forward pass.
 LONG_WORD = 40
 
