@@ -198,12 +198,12 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
     else:
         raise ValueError(f"Unknown outlier strategy '{cfg.outlier_strategy}'.")
     flagged = joined.select(*cols, flag.alias("is_outlier"))
-    counts = (
+    records = (
         parsed.groupBy("Product_Code")
         .agg(F.count(kept_x).alias("_records"))
         .filter(F.col("_records") > 0)
     )
-    flagged = attach(flagged, counts, "Product_Code").select(
+    flagged = attach(flagged, records, "Product_Code").select(
         *cols, "is_outlier", (F.col("_records") < cfg.min_records_per_product).alias("is_sparse_product")
     )
 
@@ -213,10 +213,10 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
     def kept_if(c: Column) -> Column:
         return F.count_if(keep & c)
 
-    wide = flagged.agg(
+    # additive figures per (product, warehouse) first: the distinct counts
+    # then run over that small table instead of expanding every fact
+    small = flagged.groupBy("Product_Code", "Warehouse").agg(
         F.count(F.lit(1)).alias("p_total"),
-        F.count_distinct("Product_Code").alias("p_products"),
-        F.count_distinct("Warehouse").alias("p_warehouses"),
         F.min("Date").alias("p_min"),
         F.max("Date").alias("p_max"),
         F.count_if(x.isNull()).alias("p_null"),
@@ -224,8 +224,6 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         F.count_if(F.col("is_zero_demand")).alias("p_zero"),
         F.count_if(F.col("date_parse_failed")).alias("p_datefail"),
         F.count_if(keep).alias("c_total"),
-        F.count_distinct(kept(F.col("Product_Code"))).alias("c_products"),
-        F.count_distinct(kept(F.col("Warehouse"))).alias("c_warehouses"),
         F.min(kept(F.col("Date"))).alias("c_min"),
         F.max(kept(F.col("Date"))).alias("c_max"),
         kept_if(x.isNull()).alias("c_null"),
@@ -235,6 +233,19 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         kept_if(F.col("is_sparse_product")).alias("c_sparse"),
         kept_if(F.col("date_parse_failed")).alias("c_datefail"),
     )
+    counts = [c for c, t in small.dtypes if t == "bigint"]
+    some = F.col("c_total") > 0
+    wide = small.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+        F.min("p_min").alias("p_min"),
+        F.max("p_max").alias("p_max"),
+        F.min("c_min").alias("c_min"),
+        F.max("c_max").alias("c_max"),
+        F.count_distinct("Product_Code").alias("p_products"),
+        F.count_distinct("Warehouse").alias("p_warehouses"),
+        F.count_distinct(F.when(some, F.col("Product_Code"))).alias("c_products"),
+        F.count_distinct(F.when(some, F.col("Warehouse"))).alias("c_warehouses"),
+    )
     nb = "CAST(NULL AS BIGINT)"
     return wide.select(
         F.expr(
