@@ -149,7 +149,8 @@ def gbt_pipeline(
     iters: int = 500, seed: int = 42, loss: str = "absolute", depth: int = 6, step: float = 0.05
 ) -> Pipeline:
     """Gradient-boosted trees; the absolute loss is robust to the huge demand
-    spikes, the squared one follows them. Predictions are not clipped."""
+    spikes, the squared one follows them. Predictions are not clipped. Rounds
+    are checkpointed (see ``materialise``), so lineage does not grow with them."""
     return Pipeline(
         stages=[
             _assembler(),
@@ -162,6 +163,8 @@ def gbt_pipeline(
                 maxDepth=depth,
                 maxBins=256,
                 seed=seed,
+                checkpointInterval=10,
+                cacheNodeIds=True,
             ),
         ]
     )

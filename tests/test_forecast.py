@@ -119,3 +119,31 @@ def test_rank_uses_the_full_precision(spark):
     rows = [("b", 0, 0.00001), ("a", 0, 0.00002)]
     preds = spark.createDataFrame(rows, "model string, Order_Demand bigint, prediction double")
     assert [r.model for r in EV.leaderboard(EV.forecast_metrics(preds, 1)).orderBy("rank").collect()] == ["b", "a"]
+
+
+def test_registered_learners_run_in_full(spark, monkeypatch):
+    """The boosted queries fit TrainConfig's default rounds, and the companion
+    of the tournament is taken from the tournament's own configuration."""
+    from demandlens.plans import catalog
+
+    seen = []
+
+    class Fitted(Exception):
+        pass
+
+    def caught(*args):
+        seen.append(args[-1])
+        raise Fitted
+
+    monkeypatch.setattr(catalog, "_split", lambda spark, sf: (None, None))
+    monkeypatch.setattr(catalog, "_featured", lambda spark, sf: None)
+    monkeypatch.setattr(FC, "fit_predict", caught)
+    monkeypatch.setattr(FC, "run_tournament", caught)
+    for key in ("gbt_forecast", "gbt_subsampled_forecast", "forecast_tournament", "tournament_test_rows"):
+        with pytest.raises(Fitted):
+            catalog.QUERIES[key](spark, "")
+    full = TrainConfig(test_year=0)
+    assert [(c.boost_iters, c.num_trees) for c in seen] == [(full.boost_iters, full.num_trees)] * 4
+    for name in DEFAULT_MODELS[3:]:
+        learner = FC.build_contender(name, None, seen[0]).getStages()[-1]
+        assert learner.getMaxIter() == 500 and learner.getCheckpointInterval() == 10 and learner.getCacheNodeIds()
