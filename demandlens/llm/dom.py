@@ -13,9 +13,16 @@ INLINE = frozenset(
 #: Elements without content, and elements whose text is never page text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
-    "script style noscript template iframe object svg math canvas head title textarea select "
+    "script style noscript noframes template iframe object svg math canvas title textarea select "
     "audio video".split()
 )
+#: Tags that make no block: what a head holds is unseen or without content, and
+#: text or a block in a head whose end is left out belongs to the page.
+SKIPPED = frozenset("head basefont bgsound".split())
+#: Start tags that end an unseen element whose own end never comes.
+BREAKS = frozenset(
+    "article section main p h1 h2 h3 h4 h5 h6 div blockquote pre ul ol dl table".split()
+)
 #: Elements that a start tag of the same group closes.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -24,7 +31,7 @@ CLOSES = {
 _SCOPE = frozenset("html body div article section main table ul ol dl td th form aside".split())
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|iframe|template)\b"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|textarea|title|noscript|noframes|iframe|template)\b"
     r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)",
@@ -55,6 +62,20 @@ def _names(rest: str) -> tuple[str, ...]:
     return tuple(words)
 
 
+def _unended(tokens: list[re.Match]) -> set[int]:
+    """Where unseen elements start whose end tags never come."""
+    open_at: dict[str, list[int]] = {}
+    for m in tokens:
+        tag = (m["tag"] or "").lower()
+        if tag in UNSEEN:
+            if m["end"]:
+                if open_at.get(tag):
+                    open_at[tag].pop()
+            elif not m["rest"].endswith("/"):
+                open_at.setdefault(tag, []).append(m.start())
+    return {at for own in open_at.values() for at in own}
+
+
 def parse(page: str) -> list[Node]:
     """Nodes in page order, parents before children; the first is the root.
     White space in a text block is one blank; empty blocks are left out."""
@@ -62,6 +83,9 @@ def parse(page: str) -> list[Node]:
     stack = [("html", 0)]  # open elements and their block node
     hidden: str | None = None
     depth_hidden = in_link = 0
+    lost: set[int] | None = None
+    inner: dict[str, int] = {}  # elements opened in the hidden one
+    breaks: frozenset[str] = frozenset()
     pieces: list[str] = []
     linked = links = 0
 
@@ -85,7 +109,8 @@ def parse(page: str) -> list[Node]:
             linked += len(text)
 
     at = 0
-    for m in _MARKUP.finditer(page):
+    tokens = list(_MARKUP.finditer(page))
+    for m in tokens:
         if m.start() > at and hidden is None:
             take(page[at : m.start()])
         at = m.end()
@@ -94,14 +119,23 @@ def parse(page: str) -> list[Node]:
             continue
         tag = tag.lower()
         if hidden is not None:
-            if tag == hidden and not m["rest"].endswith("/"):
-                depth_hidden += -1 if m["end"] else 1
-                if not depth_hidden:
-                    hidden = None
-            elif tag == "body" and not m["end"]:
-                hidden = None  # an unclosed head
-            if hidden is not None or tag in UNSEEN:
+            if tag == hidden:
+                if not m["rest"].endswith("/"):
+                    depth_hidden += -1 if m["end"] else 1
+                    if not depth_hidden:
+                        hidden = None
                 continue
+            if m["end"]:
+                if inner.get(tag):
+                    inner[tag] -= 1
+                    continue
+                if tag in INLINE or all(t != tag for t, _ in stack[1:]):
+                    continue
+            elif tag != "body" and tag not in breaks:
+                if tag not in VOID and not m["rest"].endswith("/"):
+                    inner[tag] = inner.get(tag, 0) + 1
+                continue
+            hidden = None  # an enclosing block ends, or its own end never comes
         if m["end"]:
             if tag == "a":
                 in_link = 0
@@ -117,7 +151,12 @@ def parse(page: str) -> list[Node]:
         if tag in UNSEEN:
             if not m["rest"].endswith("/"):
                 flush()
-                hidden, depth_hidden = tag, 1
+                hidden, depth_hidden, inner = tag, 1, {}
+                lost = _unended(tokens) if lost is None else lost
+                breaks = BREAKS if m.start() in lost else frozenset()
+            continue
+        if tag in SKIPPED:
+            flush()
             continue
         if tag in INLINE:
             if tag == "br":

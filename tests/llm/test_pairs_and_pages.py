@@ -272,3 +272,25 @@ def test_pipeline_on_the_documents(spark):
     )
     want = {letters[k][0] for k in set(label.values())}
     assert {r.doc_id for r in corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()} == want
+
+
+def _seen(page):
+    return [n.text for n in dom.parse(page) if n.tag == "#text"]
+
+
+def test_a_head_without_end_hides_no_article():
+    assert _seen("<html><head><title>T</title><p>first</p><p>second") == ["first", "second"]
+    assert _seen("<head><meta charset=u><link href=x><style>p{}</style><div>in a block</div>") == ["in a block"]
+    assert _seen("<html><head><title>T</title>\n only text") == ["only text"]
+    assert _seen("<head><script>x</script><title>T</title></head><body><p>first") == ["first"]
+
+
+def test_unseen_elements_without_end_hide_no_article():
+    for tag in ("select", "object", "svg", "canvas", "audio", "video"):
+        for start in ("<p>", "<h2>", "<article>", "<section><p>"):
+            assert _seen(f"<body><{tag}><g>unseen{start}first</p><p>second") == ["first", "second"], (tag, start)
+        assert _seen(f"<body><div><{tag}>unseen</div>first<p>second") == ["first", "second"], tag
+        twice = f"<body><{tag}>unseen<p>first</p><{tag}>unseen</{tag}><p>second"
+        assert _seen(twice) == ["first", "second"], tag
+        whole = f"<body><div><{tag}><div><p>unseen</p></div><{tag}>too</{tag}></{tag}>first</div><p>second"
+        assert _seen(whole) == ["first", "second"], tag
