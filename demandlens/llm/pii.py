@@ -3,13 +3,13 @@
 The base spans (email, ip, card, phone) come from fixed patterns and always
 stay. The tagger is trained from labelled spans: base spans of a bounded
 sample of documents, and written forms that the patterns miss (numbers in
-local notation, other separators) put into sampled contexts, beside look-alike
-strings labelled as nothing. A span must hold a digit or an at sign, so only
-text around such characters is tagged; every other character is outside for
-certain. Overlapping windows give emissions, which are averaged per character
-(weighted towards window centres) and decoded by one Viterbi pass per
-contiguous stretch. Tagger spans are added where they are confident, well
-formed for their kind and clear of base spans.
+local notation, other separators, digits of other scripts, addresses and
+numbers spelled out in words) put into sampled contexts, beside look-alike
+strings labelled as nothing. Overlapping windows over the whole text give
+emissions, which are averaged per character (weighted towards window centres);
+the best path of the whole text is decoded where it can leave "outside".
+Tagger spans are added where they are confident, of a form of their kind
+(spelled-out and short ones too) and clear of base spans.
 
 Results for odd input: null and empty texts have no spans (hash of the empty
 string); texts of any length are read whole, in windows; repeated rows stay.
@@ -18,7 +18,9 @@ string); texts of any length are read whole, in windows; repeated rows stay.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +31,12 @@ from demandlens.llm.common import arrow_map, id_text
 from demandlens.llm.lstm_crf import BiLstmCrf
 
 KINDS = ("email", "ip", "card", "phone")
-#: Window length and step of the tagger, characters looked at around an anchor.
+#: Window length and step of the tagger, characters decoded around what may be a span.
 WINDOW, STEP, REACH = 64, 32, 32
 #: Windows tagged together (memory bound) and mean marginal of an added span.
 TOGETHER, CONFIDENT = 1024, 0.95
+#: Characters whose emissions are held together, unless one text has more.
+HELD = 1 << 17
 #: Documents that training contexts and labelled spans are drawn from.
 SAMPLE_DOCS = 400
 
@@ -115,12 +119,23 @@ def _allowed() -> tuple[np.ndarray, np.ndarray]:
     return ok, start
 
 
+def _symbol(c: str) -> int:
+    digit = unicodedata.decimal(c, None)
+    if digit is not None:
+        return 48 + digit
+    if "\uff01" <= c <= "\uff5e":  # wide forms of ASCII
+        return ord(c) - 0xFEE0
+    return 130 if not c.isalpha() else 129 if c.isupper() else 128
+
+
 def symbols(text: str) -> np.ndarray:
-    """ASCII as it is; other letters by case, other characters as one."""
-    code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
-    for k in np.flatnonzero(code >= 128):
-        c = chr(code[k])
-        code[k] = 130 if not c.isalpha() else 129 if c.isupper() else 128
+    """ASCII as it is; digits of any script and wide forms as their ASCII
+    character; other letters by case, other characters as one."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    other = np.flatnonzero(code >= 128)
+    if len(other):
+        distinct, where = np.unique(code[other], return_inverse=True)
+        code[other] = np.array([_symbol(chr(x)) for x in distinct])[where]
     return code
 
 
@@ -150,28 +165,63 @@ def _grouped(s: str, sizes, sep: str) -> str:
     return sep.join(x for x in [*out, s[at:]] if x)
 
 
+_WORDS = "zero one two three four five six seven eight nine".split()
+_SCRIPTS = [chr(0x660), chr(0x6F0), chr(0x966), chr(0xFF10)]  # their zeros
+
+
+def _spelled_email(rng, word) -> str:
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    at = pick(" (at) ", " [at] ", " at ", "(at)", " AT ", "[at]", " (at) ")
+    dot = pick(" (dot) ", " [dot] ", "(dot)", "[dot]", " DOT ") if at.strip() != "at" else " dot "
+    name = lambda: pick(word(), "".join(chr(97 + x) for x in rng.integers(0, 26, int(rng.integers(2, 9)))))
+    user = pick(name(), name(), name().capitalize(), f"{name()}.{name()}", name() + dot + name())
+    domain = pick("example", "mail", name(), name())
+    return user + at + domain + dot + pick("com", "org", "net", "de")
+
+
 def _example(rng, words: list[str]) -> tuple[str, int | None]:
     """A string and its kind, or None for a look-alike."""
     pick = lambda *xs: xs[rng.integers(len(xs))]
     word = lambda: words[rng.integers(len(words))]
     quad = ".".join(str(rng.integers(0, 256)) for _ in range(4))
-    kind = int(rng.integers(0, 9))
+    kind = int(rng.integers(0, 14))
     if kind == 0:
         user = pick(word(), f"{word()}.{rng.integers(100)}", f"{word()}_{word()}")
         return f"{user}@{word()}{pick('', str(rng.integers(10)))}.{pick('example.com', 'org', 'net', 'de')}", 0
     if kind == 1:
         six = ":".join(f"{x:x}" for x in rng.integers(0, 65536, 8))
-        return pick(quad, quad, six), 1
+        few = [f"{x:x}" for x in rng.integers(0, 65536, int(rng.integers(1, 4)))]
+        short = pick("::" + ":".join(few), "fe80::" + ":".join(few), "::1", "fe80::1", f"2001:db8::{few[0]}")
+        return pick(quad, quad, six, short), 1
     if kind == 2:
         s = _with_luhn(rng, 16)
         return pick(s, _grouped(s, (4, 4, 4), pick(" ", "-", ".", "/"))), 2
-    if kind in (3, 4):
+    if kind in (3, 4, 13):
+        a, b, c = _number(rng, 3), _number(rng, 3), _number(rng, 4)
+        plain = pick(f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b}{c}", f"00{a[:2]} {b} {c}", a + b + c)
+        return pick(f"+{rng.integers(1, 99)} ({a}) {b}-{c}", plain, plain), 3
+    if kind in (5, 6):
+        return _spelled_email(rng, word), 0
+    if kind == 7:
+        return pick(" ", " ", "-").join(_WORDS[x] for x in rng.integers(0, 10, pick(7, 10, 10))), 3
+    if kind == 8:
         a, b, c = _number(rng, 3), _number(rng, 3), _number(rng, 4)
-        plain = pick(f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b}{c}", f"00{a[:2]} {b} {c}")
-        return pick(f"+{rng.integers(1, 99)} ({a}) {b}-{c}", plain), 3
+        zero = ord(pick(*_SCRIPTS))
+        wide = str.maketrans({str(d): chr(zero + d) for d in range(10)})
+        s, k = pick((f"{a}-{b}-{c}", 3), (f"+{a[:2]} {b} {c}{a}", 3), (f"({a}) {b}-{c}", 3), (quad, 1), (_with_luhn(rng, 16), 2))
+        return s.translate(wide), k
     hexes = "".join("0123456789abcdef"[x] for x in rng.integers(0, 16, rng.integers(8, 40)))
     date = f"{rng.integers(1990, 2030)}-{rng.integers(1, 13):02d}-{rng.integers(1, 29):02d}"
     small = f"{rng.integers(0, 50)}.{rng.integers(0, 50)}{pick('', f'.{rng.integers(50)}')}"
+    if rng.random() < 0.35:  # words that also stand in spelled-out data
+        few = " ".join(_WORDS[x] for x in rng.integers(0, 10, int(rng.integers(1, 4))))
+        return pick(
+            few, f"{few} {word()}", f"{word()} at {word()}", f"{word()} at {few} {word()}", f"the dot {word()}",
+            f"{word()} dot", f"at the {word()}", f"({word()})", f"{word()} (at {word()})", "dot com",
+            f"{pick(word(), word(), 'at', 'dot')} " * int(rng.integers(4, 12)), f"{word()} at at at at at {word()}",
+            chr(97 + rng.integers(26)) * int(rng.integers(4, 40)) + f" {word()}" * int(rng.integers(1, 9)),
+            f"{word()} at {word()} {word()}", f"one {word()} at {word()}", f"{word()}: {word()}", f"{word()}::{word()}",
+        ), None
     return pick(
         hexes, f'"{hexes}"', date, small, f"{rng.integers(0, 99999)}", f"{word()}{rng.integers(99)}",
         _number(rng, int(rng.integers(5, 9))), f"{word()}@{word()}", f"{rng.integers(24)}:{rng.integers(60):02d}",
@@ -179,7 +229,7 @@ def _example(rng, words: list[str]) -> tuple[str, int | None]:
     ), None
 
 
-def training_windows(texts: list[str], n: int = 1500, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+def training_windows(texts: list[str], n: int = 3000, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Windows (ids, tags) with one or two labelled strings each, and windows
     around the base spans of the texts."""
     rng = np.random.default_rng(seed)
@@ -211,6 +261,8 @@ def training_windows(texts: list[str], n: int = 1500, seed: int = 5) -> tuple[np
         if any(a < cut < b for a, _, b in spans):
             cut = 0
         add(text[cut:], [(a - cut, k, b - cut) for a, k, b in spans if a >= cut])
+    for _ in range(n // 4):  # most of a text is neither
+        add(context(WINDOW), [])
     for t in source:
         for a, _, b in base_spans(t)[:4]:
             at = max(0, a - int(rng.integers(8, 24)))
@@ -219,7 +271,7 @@ def training_windows(texts: list[str], n: int = 1500, seed: int = 5) -> tuple[np
     return np.stack(ids), np.stack(tags)
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 300) -> BiLstmCrf:
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 1200) -> BiLstmCrf:
     """A tagger from (doc_id, text) rows: about ``sample_docs`` whole texts,
     drawn at random with a fixed seed, give the contexts and base spans."""
     drawn = docs.filter(F.rand(seed=7) < sample_docs / max(1, docs.count())).select("text")
@@ -229,16 +281,32 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 300) ->
     return model
 
 
-def _stretches(text: str) -> list[tuple[int, int]]:
-    """Contiguous parts of the text within REACH of an anchor."""
-    out: list[list[int]] = []
-    for m in _ANCHOR.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
-        else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+def unsure(model: BiLstmCrf, emit: np.ndarray) -> np.ndarray:
+    """Per character whether the best path of the whole text may hold a span
+    there. A span gains over "outside" at most its begin, the sum of its
+    insides and the transitions; where no such sum is positive, none is."""
+    trans = model.p["t"] + model.mask
+    begin, inside = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
+    after = np.concatenate([[0], begin])
+    enter = (trans[:, begin] - trans[:, :1]).max(0)
+    inner = np.maximum(trans[begin, inside], trans[inside, inside]) - trans[0, 0]
+    leave = np.maximum((trans[begin][:, after] - trans[0, after]).max(1), (trans[inside][:, after] - trans[0, after]).max(1))
+    first = (emit[:, begin] - emit[:, :1]).astype(np.float64) + enter
+    first[0] += np.maximum(enter, 0) - enter  # no transition at the ends
+    total = np.cumsum((emit[:, inside] - emit[:, :1]).astype(np.float64) + inner, axis=0)
+    upper = np.maximum.accumulate(total[::-1])[::-1]
+    lower = np.maximum.accumulate(first - total)
+    return (upper + lower + np.maximum(leave, 0) > -1e-3).any(1)  # and what rounding may take
+
+
+def _around(marked: np.ndarray) -> list[tuple[int, int]]:
+    """Contiguous parts within REACH of a marked character."""
+    at = np.flatnonzero(marked)
+    if not len(at):
+        return []
+    cuts = np.flatnonzero(np.diff(at) > 2 * REACH)
+    first, last = at[np.concatenate([[0], cuts + 1])], at[np.concatenate([cuts, [len(at) - 1]])]
+    return [(max(0, int(a) - REACH), min(len(marked), int(b) + 1 + REACH)) for a, b in zip(first, last)]
 
 
 _WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
@@ -246,55 +314,86 @@ _WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(
 
 def _emissions(model: BiLstmCrf, parts: list[str]) -> list[np.ndarray]:
     """Per part (characters, tags): the windows' emissions, averaged."""
-    windows, places = [], []
-    coded = [symbols(p) for p in parts]
-    for k, code in enumerate(coded):
+    windows, places, sizes = [], [], []
+    for p in parts:
+        code = symbols(p)
+        sizes.append(len(code))
+        padded = np.full(max(WINDOW, len(code)), 32, np.uint8)
+        padded[: len(code)] = code
         last = max(0, len(code) - WINDOW)
-        for at in sorted({*range(0, last + 1, STEP), last}):
-            own = np.full(WINDOW, 32)
-            own[: min(WINDOW, len(code) - at)] = code[at : at + WINDOW]
-            windows.append(own)
-            places.append((k, at))
-    sums = [np.zeros((len(c), TAGS), np.float32) for c in coded]
-    weights = [np.zeros(len(c), np.float32) for c in coded]
-    for first in range(0, len(windows), TOGETHER):
-        emit = model.emissions(np.stack(windows[first : first + TOGETHER]))
-        for j, (k, at) in enumerate(places[first : first + TOGETHER]):
-            n = min(WINDOW, len(coded[k]) - at)
-            sums[k][at : at + n] += emit[:n, j] * _WEIGHT[:n, None]
-            weights[k][at : at + n] += _WEIGHT[:n]
-    return [s / w[:, None] for s, w in zip(sums, weights)]
-
-
-def plausible(kind: int, s: str) -> bool:
-    """Whether a tagged string is well formed for its kind."""
-    digits = _digits(s)
-    if kind == 0:
-        user, _, domain = s.partition("@")
-        return bool(user) and "." in domain.strip(".") and "@" not in domain and not re.search(r"\s", s)
-    if kind == 1:
-        if ":" in s:
-            return 2 <= s.count(":") <= 7 and not re.search(r"[^0-9A-Fa-f:]", s) and len(s) >= 9
-        parts = s.split(".")
-        return len(parts) == 4 and all(re.fullmatch("[0-9]{1,3}", p) and int(p) <= 255 for p in parts)
-    if re.search(r"[^0-9 ()./+-]", s) or not s[-1].isdigit():
-        return False
-    if kind == 2:
-        return 12 <= len(digits) <= 19 and luhn(digits)
-    separators = len(re.findall(r"[^0-9]+", s))
-    return 9 <= len(digits) <= 15 and separators >= 1
+        at = np.arange(0, last + 1, STEP)
+        if at[-1] != last:
+            at = np.append(at, last)
+        windows.append(np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[at])
+        places.append(at)
+    ids = np.concatenate(windows)
+    emit = np.empty((len(ids), WINDOW, TAGS), np.float32)
+    for first in range(0, len(ids), TOGETHER):
+        got = model.emissions(ids[first : first + TOGETHER].astype(np.int64))
+        emit[first : first + TOGETHER] = got.transpose(1, 0, 2)
+    emit *= _WEIGHT[:, None]
+    out, first = [], 0
+    for n, at in zip(sizes, places):
+        own = emit[first : first + len(at)]
+        first += len(at)
+        sums = np.zeros((max(n, WINDOW), TAGS), np.float32)
+        weights = np.zeros(len(sums), np.float32)
+        for k in range(0, WINDOW, STEP):  # the k-th parts of windows do not overlap, but for the last window
+            size = min(STEP, WINDOW - k)
+            even = len(at) - 1
+            if even and size == STEP:
+                sums[k : k + even * STEP] += own[:even, k : k + STEP].reshape(-1, TAGS)
+                weights[k : k + even * STEP] += np.tile(_WEIGHT[k : k + STEP], even)
+            else:
+                for j in range(even):
+                    sums[at[j] + k : at[j] + k + size] += own[j, k : k + size]
+                    weights[at[j] + k : at[j] + k + size] += _WEIGHT[k : k + size]
+        sums[at[-1] : at[-1] + WINDOW] += own[-1]
+        weights[at[-1] : at[-1] + WINDOW] += _WEIGHT
+        out.append((sums / weights[:, None])[:n])
+    return out
 
 
-def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """Spans that the tagger finds in each text, all kinds, sorted."""
-    where = [(k, a, b) for k, t in enumerate(texts) for a, b in _stretches(t)]
-    found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    emissions = _emissions(model, [texts[k][a:b] for k, a, b in where]) if where else []
-    for (k, a, _), emit in zip(where, emissions):
-        tags = model.viterbi(emit)
+_SPELLED = re.compile(r"[\s(\[]*\bdot\b[\s)\]]*", re.I)
+_WORD = re.compile("|".join(_WORDS), re.I)
+_DOT = r"(?:\.|\s*[(\[]\s*dot\s*[)\]]\s*|\s+dot\s+)"
+_AT = r"(?:@|\s*[(\[]\s*at\s*[)\]]\s*|\s+at\s+)"
+_FORMS = {
+    0: re.compile(rf"[^\s@()\[\]]+(?:{_DOT}[\w-]+)*{_AT}[\w-]+(?:{_DOT}[\w-]+)+", re.I),
+    3: re.compile(rf"\+?\(?(?>(?:[0-9]|{'|'.join(_WORDS)}|oh\b)(?:[\s().,/+-]*(?:[0-9]|{'|'.join(_WORDS)}|oh\b))*)(?![\w:])", re.I),
+}
+
+
+def formed(kind: int, s: str) -> int:
+    """Length of the well-formed beginning of a tagged string, 0 if it is none
+    of its kind. Digits may be of any script or spelled out, at signs and dots
+    too; card numbers have their check digit, IP addresses valid parts."""
+    s = "".join(chr(x) for x in symbols(s))
+    digits = lambda x: len(_digits(_WORD.sub("0", x)))
+    if kind in _FORMS:
+        m = _FORMS[kind].match(s)
+        return m.end() if m and (kind == 0 or 7 <= digits(m.group()) <= 15) else 0
+    if kind == 1:
+        s1 = _SPELLED.sub(".", s)
+        if ":" not in s1:
+            s1 = ".".join(p.lstrip("0") or p[:1] for p in s1.split("."))
+        try:
+            ipaddress.ip_address(s1)
+        except ValueError:
+            return 0
+        return len(s)
+    number = _digits(_WORD.sub(lambda m: str(_WORDS.index(m[0].lower())), s))
+    return len(s) if 12 <= len(number) <= 19 and luhn(number) else 0
+
+
+def _decoded(model: BiLstmCrf, text: str, emit: np.ndarray) -> list[tuple[int, int, int]]:
+    """Spans on the best path of the whole text."""
+    found = []
+    for a, b in _around(unsure(model, emit)):
+        tags = model.viterbi(emit[a:b])
         if not tags.any():
             continue
-        sure = model.marginals(emit[:, None])[:, 0]
+        sure = model.marginals(emit[a:b, None].astype(np.float64))[:, 0]
         at = 0
         while at < len(tags):
             if tags[at] % 2 == 0:
@@ -305,22 +404,37 @@ def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int
                 end += 1
             kind = int(tags[at] - 1) // 2
             mean = sure[np.arange(at, end), tags[at:end]].mean()
-            if mean >= CONFIDENT and plausible(kind, texts[k][a + at : a + end]):
-                found[k].append((a + at, kind, a + end))
+            size = formed(kind, text[a + at : a + end]) if mean >= CONFIDENT else 0
+            if size:
+                found.append((a + at, kind, a + at + size))
             at = end
     return found
 
 
+def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int, int]]]:
+    """Spans that the tagger finds in each text, all kinds, sorted."""
+    found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    own: list[int] = []
+    held = 0
+    for k, text in enumerate(texts):
+        if text:
+            own.append(k)
+            held += len(text)
+        if own and (held >= HELD or k == len(texts) - 1):
+            for j, emit in zip(own, _emissions(model, [texts[j] for j in own])):
+                found[j] = _decoded(model, texts[j], emit)
+            own, held = [], 0
+    return found
+
+
 def annotate(model: BiLstmCrf | None, texts: list[str]) -> list[tuple[list, list]]:
     """(base spans, all spans) of each text."""
-    some = [k for k, t in enumerate(texts) if _ANCHOR.search(t)]
-    base: list[list] = [[] for _ in texts]
-    full: list[list] = [[] for _ in texts]
-    more = tagged_spans(model, [texts[k] for k in some]) if model else [[] for _ in some]
-    for k, extra in zip(some, more):
-        base[k] = base_spans(texts[k])
-        clear = [s for s in extra if all(s[2] <= a or b <= s[0] for a, _, b in base[k])]
-        full[k] = sorted(base[k] + clear)
+    base = [base_spans(t) for t in texts]
+    more = tagged_spans(model, texts) if model else [[] for _ in texts]
+    full = []
+    for own, extra in zip(base, more):
+        clear = [s for s in extra if all(s[2] <= a or b <= s[0] for a, _, b in own)]
+        full.append(sorted(own + clear))
     return list(zip(base, full))
 
 

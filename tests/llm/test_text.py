@@ -320,3 +320,46 @@ def test_language_on_odd_rows(odd_docs, no_docs):
     assert langid.identify(no_docs).count() == 0
     blind = langid.identify(odd_docs.withColumn("lang", odd_docs["lang"].substr(9, 0)).filter("lang is null"))
     assert {r.lang_pred for r in blind.collect()} == {"und"}
+
+
+# -- personal data, whole texts -----------------------------------------------
+
+
+def test_best_path_of_the_whole_text_is_found_in_parts():
+    """What is skipped is outside on the best path of the whole text."""
+    rng = np.random.default_rng(4)
+    skipped = 0
+    for seed in range(6):
+        model = BiLstmCrf(pii.SYMBOLS, *pii._allowed(), seed=seed)
+        model.p["t"] = rng.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+        emit = rng.standard_normal((600, pii.TAGS)).astype(np.float32) * 4
+        emit[:, 0] += rng.choice([0, 14], (12, 1), p=[0.2, 0.8]).repeat(50, 0)[:, 0]
+        whole = model.viterbi(emit)
+        parts = np.zeros_like(whole)
+        for a, b in pii._around(pii.unsure(model, emit)):
+            parts[a:b] = model.viterbi(emit[a:b])
+        assert (parts == whole).all() and whole.any()
+        skipped += (~pii.unsure(model, emit)).sum()
+    assert skipped > 100
+
+
+def test_fast_emissions_equal_those_of_training():
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    ids = np.random.default_rng(1).integers(0, pii.SYMBOLS, (5, pii.WINDOW))
+    assert np.abs(model.emissions(ids) - model._run(ids)[0]).max() < 1e-4
+
+
+def test_tagger_reads_whole_texts():
+    """Spelled-out data, digits of other scripts and short forms, also where no
+    ASCII digit or at sign is near; ordinary words stay."""
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    source = ["some plain words of a text, nothing else. At home one of the two dogs sat near three cats. " * 4]
+    model.fit(*pii.training_windows(source), steps=1200)
+    plain = "some plain words of a text, nothing else. At home one of the two dogs sat near three cats. "
+    for kind, span in (
+        (0, "jane (at) example (dot) com"), (3, "five five five one two three four five six seven"),
+        (3, "٨٣٠-٥٥٥-٥٤٣٣"), (3, "8305555433"), (1, "fe80::1"), (1, "::1"),
+    ):
+        text = f"{plain}call {span} now. {plain}"
+        assert pii.annotate(model, [text])[0] == ([], [(len(plain) + 5, kind, len(plain) + 5 + len(span))]), span
+    assert pii.annotate(model, [plain * 30, "", "x"]) == [([], [])] * 3
