@@ -6,11 +6,15 @@ text repeats its words, so most chunks come from the cache."""
 
 from __future__ import annotations
 
+import json
 import re
+import sys
+from array import array
 from collections.abc import Callable
 
 import numpy as np
 import public_tokenizers
+import tiktoken
 from tokenizers import Tokenizer
 
 #: Distinct chunks that a worker remembers; then it starts anew (memory bound).
@@ -113,3 +117,109 @@ def library_encoder(name: str, cut: str, dtype: str = "<u4") -> ChunkEncoder:
         coder = LibraryCoder(public_tokenizers.path(name), dtype)
         _LOADED[key] = ChunkEncoder(coder, {"byte": byte_chunks, "word": word_chunks}[cut])
     return _LOADED[key]
+
+
+# --------------------------------------------------------------------------
+# byte-level vocabularies whose ids are their merge ranks
+# --------------------------------------------------------------------------
+
+#: Bytes of keys and values that one memory of chunks may hold in a worker, and
+#: the longest chunk (in characters) that is remembered at all.
+MEMORY_BYTES, MEMORY_CHARS = 192 << 20, 64
+#: What an entry of a dict of short strings takes besides its characters.
+ENTRY_BYTES = 200
+
+
+def byte_characters() -> dict[str, int]:
+    """Byte of each character in byte-level vocabulary files: printable Latin-1
+    stands for itself, the other bytes follow from U+0100 on in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(rest)}
+
+
+def byte_vocabulary(path: str) -> dict[bytes, int]:
+    """Bytes of each ordinary entry of a byte-level tokenizers file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    special = {t["content"] for t in spec["added_tokens"] if t["special"]}
+    of = byte_characters()
+    return {
+        bytes([of[c] for c in piece]): i
+        for piece, i in spec["model"]["vocab"].items()
+        if piece not in special
+    }
+
+
+class RankCoder:
+    """Ids of a byte-level tokenizers file through merge ranks. The file's ids
+    must grow in merge order, which is checked; then the lowest rank merges
+    first in both libraries, and the ids are the same."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        vocabulary, merges = spec["model"]["vocab"], spec["model"]["merges"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]
+        ranks = [vocabulary[a + b] for a, b in pairs]
+        if ranks != sorted(ranks):
+            raise ValueError(f"the ids of {path} do not grow in merge order")
+        self.code = tiktoken.Encoding(
+            "ranks",
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=byte_vocabulary(path),
+            special_tokens={},
+        ).encode_ordinary
+
+    def __call__(self, text: str) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        ids = array("I", self.code(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+
+class ChunkMemory(dict):
+    """What was made of short chunks; starts anew when its bytes are used up."""
+
+    def __init__(self, limit: int = MEMORY_BYTES):
+        super().__init__()
+        self.limit, self.used = limit, 0
+
+    def keep(self, chunk: str, value, size: int) -> None:
+        if len(chunk) <= MEMORY_CHARS:
+            if self.used > self.limit:
+                self.clear()
+                self.used = 0
+            self[chunk] = value
+            self.used += ENTRY_BYTES + len(chunk) + size
+
+
+class RankedEncoder:
+    """Texts to ids, each distinct short chunk coded once while remembered."""
+
+    def __init__(self, path: str, limit: int = MEMORY_BYTES):
+        self.code, self.memory = RankCoder(path), ChunkMemory(limit)
+
+    def __call__(self, text: str) -> bytes:
+        chunks = byte_chunks(text)
+        if chunks is None:
+            return self.code(text)
+        found = list(map(self.memory.get, chunks))
+        if None in found:
+            for k, data in enumerate(found):
+                if data is None:
+                    chunk = chunks[k]
+                    found[k] = data = self.code(chunk)
+                    self.memory.keep(chunk, data, len(data))
+        return b"".join(found)
+
+
+_RANKED: dict[str, RankedEncoder] = {}
+
+
+def ranked_encoder(name: str) -> RankedEncoder:
+    """The encoder of a byte-level tokenizers file, one per Python worker."""
+    if name not in _RANKED:
+        _RANKED[name] = RankedEncoder(public_tokenizers.path(name))
+    return _RANKED[name]

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from demandlens.llm import bpe_tree, ef_ids, golay, html_tree, katz, langid, lz, packing, pca_dedup, pii
+from demandlens.llm import (
+    align,
+    best_fit,
+    bpe_tree,
+    ef_ids,
+    golay,
+    html_tree,
+    katz,
+    langid,
+    lexical,
+    lz,
+    packing,
+    pca_dedup,
+    pii,
+)
 from demandlens.llm.common import table
 
 
@@ -46,6 +60,18 @@ def op10_golay(spark, sf_dir):
     return golay.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_align(spark, sf_dir):
+    return align.align_corpus(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit(spark, sf_dir):
+    return best_fit.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_lz": op1_lz,
     "op2_bpe_tree": op2_bpe_tree,
@@ -57,9 +83,12 @@ QUERIES = {
     "op8_pca_dedup": op8_pca_dedup,
     "op9_langid": op9_langid,
     "op10_golay": op10_golay,
+    "op11_lexical": op11_lexical,
+    "op12_align": op12_align,
+    "op13_best_fit": op13_best_fit,
 }
 
-#: SQL of the one operator whose result plain SQL can give on these tables.
+#: SQL of the operators whose results plain SQL can give on these tables.
 ORACLE: dict[str, str] = {
     "op8_pca_dedup": """
 WITH RECURSIVE v AS (
@@ -80,5 +109,34 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, v.vec_id = c.compo
 FROM v
 JOIN (SELECT v AS vec_id, min(r) AS component_id FROM reach GROUP BY v) c ON c.vec_id = v.vec_id
 LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) n ON n.vec_id = v.vec_id
+""",
+    "op11_lexical": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sizes AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+tf AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) GROUP BY ALL),
+q AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT item, item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark))
+  GROUP BY ALL),
+w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term),
+scores AS (
+  SELECT item, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, CAST(sum(
+      times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN sizes USING (row), corpus
+  GROUP BY item, row),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }
