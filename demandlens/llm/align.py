@@ -7,8 +7,10 @@
 2. Consecutive texts of a written file form blocks. Per block the links of
    each (A id, B id) pair are added up, weighted by multiplicity; the sums over
    all blocks are the pair counts, the largest per B id marks the best pairs.
-3. Each block gets back the counts of its own pairs, and with them the measures
-   of its texts. A pair that nearly every text holds is one row per block.
+3. The measures of a text come from the counts of its pairs. Up to
+   ``BROADCAST_PAIRS`` pairs (counted first) go to every task; of more, each
+   block gets back the counts of its own pairs, and a pair that nearly every
+   text holds is one row per block.
 4. The measures are joined to all documents by the SHA-256 of the text. Texts
    with at least one in ``HOT_SHARE`` of all documents (so at most that many
    texts) are broadcast, the others are shuffled.
@@ -46,6 +48,8 @@ from demandlens.session import scratch_path
 BLOCK_LINKS = 1 << 20
 #: What a text counts in a block at least, so that blocks are bounded in texts.
 LEAST_LINKS = 64
+#: Pairs, of 17 bytes each, up to which their counts are sent to every task.
+BROADCAST_PAIRS = 2_000_000
 #: Texts with at least this share of all documents are broadcast.
 HOT_SHARE = 1024
 #: Bytes of remembered alignments in a worker.
@@ -260,34 +264,60 @@ def pair_counts(parts: DataFrame) -> DataFrame:
     )
 
 
-def measure(aligned: DataFrame, answers: DataFrame) -> DataFrame:
-    """The measures of each distinct text from its block's counts."""
-    names = ["key", "copies", "n_a", "n_b", "n_groups", "groups_sha256"]
+#: Columns that a text's measures are added to.
+_KEPT = ["key", "copies", "n_a", "n_b", "n_groups", "groups_sha256"]
+_MEASURES_SQL = (
+    "key string, copies long, n_a long, n_b long, n_groups long, groups_sha256 string, "
+    "n_links long, n_best long, count_sum long"
+)
 
-    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
-        known = known.sort_by("pair")
-        at = known.column("pair").to_numpy()
-        count = known.column("count").to_numpy()
-        best = known.column("best").to_numpy().astype(np.int64)
-        lists = texts.column("pairs").combine_chunks()
-        pairs = lists.flatten().to_numpy()
+
+class PairCounts:
+    """Counts of pairs, looked up by their number."""
+
+    def __init__(self, table: pa.Table):
+        table = table.select(["pair", "count", "best"]).sort_by("pair")
+        self.pair = table.column("pair").to_numpy()
+        self.count = table.column("count").to_numpy()
+        self.best = table.column("best").to_numpy().astype(np.int64)
+
+    def measure(self, texts: pa.Table | pa.RecordBatch) -> pa.Table:
+        """The measures of texts, all of whose pairs are known here."""
+        texts = texts if isinstance(texts, pa.Table) else pa.Table.from_batches([texts])
+        pairs = texts.column("pairs").combine_chunks()
         uses = texts.column("uses").combine_chunks().flatten().to_numpy().astype(np.int64)
-        sizes = texts.column("pairs").combine_chunks().value_lengths().to_numpy()
+        sizes = pairs.value_lengths().to_numpy()
         ends = np.cumsum(sizes)
-        where = np.searchsorted(at, pairs)
+        where = np.searchsorted(self.pair, pairs.flatten().to_numpy())
 
         def per_text(values: np.ndarray) -> pa.Array:
-            upto = np.concatenate([[0], np.cumsum(values)])
+            upto = np.concatenate([[0], np.cumsum(values)]).astype(np.int64)
             return pa.array(upto[ends] - upto[ends - sizes])
 
-        out = texts.select(names)
-        out = out.append_column("n_links", per_text(uses))
-        out = out.append_column("n_best", per_text(uses * best[where] if len(at) else uses))
-        return out.append_column("count_sum", per_text(uses * count[where] if len(at) else uses))
+        out = texts.select(_KEPT).append_column("n_links", per_text(uses))
+        out = out.append_column("n_best", per_text(uses * self.best[where]))
+        return out.append_column("count_sum", per_text(uses * self.count[where]))
+
+
+def measure_everywhere(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """The measures of each distinct text, with all counts in every task."""
+    known = aligned.sparkSession.sparkContext.broadcast(PairCounts(counts.toArrow()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from known.value.measure(batch).to_batches()
+
+    return arrow_map(aligned, run, _MEASURES_SQL)
+
+
+def measure_by_block(aligned: DataFrame, parts: DataFrame, counts: DataFrame) -> DataFrame:
+    """The same with each block's own counts only."""
+    answers = parts.select("block", "pair").distinct().join(counts, "pair")
+
+    def run(texts: pa.Table, known: pa.Table) -> pa.Table:
+        return PairCounts(known).measure(texts)
 
-    columns = "key string, copies long, n_a long, n_b long, n_groups long, groups_sha256 string"
-    grouped = aligned.groupBy("block").cogroup(answers.groupBy("block"))
-    return grouped.applyInArrow(run, f"{columns}, n_links long, n_best long, count_sum long")
+    return aligned.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, _MEASURES_SQL)
 
 
 def align_corpus(
@@ -297,6 +327,7 @@ def align_corpus(
     vocabulary_a: str = "byte_bpe_50k.json",
     vocabulary_b: str = "piece_bpe_32k.model",
     block_links: int = BLOCK_LINKS,
+    broadcast_pairs: int = BROADCAST_PAIRS,
 ) -> DataFrame:
     """Per document: n_a, n_b, n_groups, n_links, n_best, count_sum and the
     SHA-256 of its groups."""
@@ -314,8 +345,11 @@ def align_corpus(
     )
     aligned = written(align_texts(distinct, vocabulary_a, vocabulary_b, block_links), "aligned")
     parts = written(block_pairs(aligned.filter(F.size("pairs") > 0)), "block-pairs")
-    answers = parts.select("block", "pair").distinct().join(pair_counts(parts), "pair")
-    measures = written(measure(aligned, answers), "measures")
+    counts = written(pair_counts(parts), "pair-counts")
+    if counts.count() <= broadcast_pairs:
+        measures = written(measure_everywhere(aligned, counts), "measures")
+    else:
+        measures = written(measure_by_block(aligned, parts, counts), "measures")
 
     ids = written(source.select("doc_id", F.sha2("text", 256).alias("key")), "document-keys")
     hot = F.col("copies") >= max(1, math.ceil(ids.count() / HOT_SHARE))

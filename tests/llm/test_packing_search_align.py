@@ -161,13 +161,12 @@ def _align_plainly(docs, libraries):
             continue
         ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]), np.cumsum([len(x) for x in bytes_b])
         both = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
-        groups, links, low = [], [], 0
-        for end in both:
-            left = [i for i, e in zip(ids_a, ends_a) if low < e <= end]
-            right = [i for i, e in zip(ids_b, ends_b) if low < e <= end]
+        groups, links = [], []
+        cut_a, cut_b = [0, *np.searchsorted(ends_a, both) + 1], [0, *np.searchsorted(ends_b, both) + 1]
+        for k in range(len(both)):
+            left, right = ids_a[cut_a[k] : cut_a[k + 1]], ids_b[cut_b[k] : cut_b[k + 1]]
             groups.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
             links.append((left[-1], right[-1]))
-            low = end
         aligned.append((doc, (ids_a, ids_b), groups, links))
     counts = Counter(link for _, _, _, links in aligned for link in links)
     most = Counter()
@@ -185,15 +184,15 @@ def _align_plainly(docs, libraries):
 MEASURES = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-@pytest.mark.parametrize("block_links", [1 << 20, 100, 1])
-def test_alignment_equals_brute_force(spark, libraries, block_links, monkeypatch):
+@pytest.mark.parametrize(("block_links", "broadcast_pairs"), [(1 << 20, 1 << 20), (100, 0), (1, 0)])
+def test_alignment_equals_brute_force(spark, libraries, block_links, broadcast_pairs, monkeypatch):
     monkeypatch.setattr(align, "HOT_SHARE", 30)
     words = ["the", "The", "naïve", "'s", "中文", "<|endoftext|>", "</s>", "<0x41>", "▁x", "a1b", "\t", "😀", ",", "fox"]
     texts = _texts(80, 3, words) + _texts(40, 4, ["the", "quick", "fox", "été."])
     docs = [(k, t) for k, t in enumerate(texts)] + [(500 + k, texts[100]) for k in range(20)]
     docs += [(d, t) for d, t, _ in ODD]
     table = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    got = align.align_corpus(table, block_links=block_links)
+    got = align.align_corpus(table, block_links=block_links, broadcast_pairs=broadcast_pairs)
     assert _rows(got, *MEASURES) == _align_plainly(docs, libraries)
 
 
@@ -203,6 +202,7 @@ def test_alignment_of_odd_and_empty_tables(spark, libraries, odd_docs, no_docs):
     got = _rows(align.align_corpus(odd_docs), *MEASURES)
     assert got == _align_plainly([(d, t) for d, t, _ in ODD], libraries)
     assert align.align_corpus(no_docs).collect() == []
+    assert align.align_corpus(no_docs, broadcast_pairs=-1).collect() == []
     blank = odd_docs.filter("text is null or text = ''")
     assert all(r[1:] == (0,) * 6 + ("",) for r in _rows(align.align_corpus(blank), *MEASURES))
 
