@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # The five raw columns, the key columns and the default date
 # patterns (one-or-two digit month/day, tried in this order).
@@ -42,8 +42,8 @@ DEFAULT_MODELS = (
     "Ridge on log demand",
     "Trend and seasonality",
     "Random forest",
-    "Boosted trees, absolute loss",
-    "Boosted trees, squared loss",
+    "Boosted trees by level",
+    "Boosted trees, best leaf first",
 )
 
 
@@ -90,7 +90,8 @@ class TrainConfig:
     num_trees: int = 200
     boost_iters: int = 500
     seed: int = 42
+    # One model per group of these columns (run_group_tournament) instead of
+    # one slice; empty: the slice.
     group_cols: tuple[str, ...] = ()
     model_dir: str | None = None
     report_dir: str | None = None
-    extra: dict = field(default_factory=dict)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from demandlens.config import FeatureConfig
 from demandlens.functions.calendar import MONDAY, Q4_MONTHS
 from demandlens.operators.features import series_blocks
+from demandlens.operators.quantiles import exact_quantiles
 
 # Two-sided 95% normal quantile used for the ACF band.
 Z_95 = 1.959963984540054
@@ -138,33 +139,24 @@ def seasonal_boxplot_stats(
 ) -> DataFrame:
     """Box statistics of demand per (month, day_of_week) cell of a slice:
     exact interpolated quartiles, whiskers = most extreme values within
-    ``whisker * IQR`` of the box, and the count of points beyond them. Equal
-    values are counted first, so a cell's state is its distinct values."""
-    s = (
-        slice_rows(df, warehouse, category)
-        .groupBy("month", "day_of_week", "Order_Demand")
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    x, times = F.col("Order_Demand"), F.col("_times")
-    q = (
-        s.groupBy("month", "day_of_week")
-        .agg(F.percentile(x, [0.25, 0.5, 0.75], times).alias("_q"))
-        .select(
-            "month", "day_of_week",
-            F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"),
-        )
-    )
+    ``whisker * IQR`` of the box, and the count of points beyond them. The
+    quartiles come from counting passes, so a cell has no list of its values."""
+    cell = ["month", "day_of_week"]
+    s = slice_rows(df, warehouse, category).select(*cell, "Order_Demand")
+    x = F.col("Order_Demand")
+    quartiles = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    q = exact_quantiles(s, cell, x, quartiles, interpolate=True).drop("n")
     # at most 12 x 7 = 84 cells: a proven bound for the broadcast
-    j = s.join(F.broadcast(q), ["month", "day_of_week"])
+    j = s.join(F.broadcast(q), cell)
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - F.lit(whisker) * iqr
     hi = F.col("q3") + F.lit(whisker) * iqr
     inside = (x >= lo) & (x <= hi)
-    return j.groupBy("month", "day_of_week", "q1", "median", "q3").agg(
-        F.sum(times).alias("n"),
+    return j.groupBy(*cell, "q1", "median", "q3").agg(
+        F.count(x).alias("n"),
         F.min(F.when(inside, x)).alias("whisker_low"),
         F.max(F.when(inside, x)).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(times)).alias("n_outliers"),
+        F.count_if(~inside).alias("n_outliers"),
     )
 
 
@@ -182,10 +174,9 @@ def lag_pairs(df: DataFrame, product: str, cfg: FeatureConfig = FeatureConfig())
     s = df.filter(F.col("Product_Code") == product).select(
         "Product_Code", "Warehouse", "Product_Category", "Date", "Order_Demand"
     )
-    b = series_blocks(s, ["Product_Code"], "Date", 1, cfg.block_rows, cfg.broadcast_max_bytes)
-    w = Window.partitionBy("Product_Code", "_blk").orderBy(
-        "Date", "Order_Demand", "Warehouse", "Product_Category"
-    )
+    order = ["Date", "Order_Demand", "Warehouse", "Product_Category"]
+    b = series_blocks(s, ["Product_Code"], order, 1, cfg.block_rows, cfg.broadcast_max_bytes)
+    w = Window.partitionBy("Product_Code", "_blk").orderBy(*order, "_pos")
     return (
         b.withColumn("demand_t", F.lag("Order_Demand", 1).over(w))
         .filter(~F.col("_halo") & F.col("demand_t").isNotNull())

@@ -1,31 +1,40 @@
 """Forecasting contenders as Spark ML pipelines and the tournament.
 
-Training data stays distributed: the slice is filtered from the feature
-table, split chronologically, persisted, and every contender is an MLlib
-``Pipeline`` (assembler -> [scaler] -> estimator -> post-processing), so a
-slice of any size trains on the cluster and a fitted ``PipelineModel`` can
-be saved and reloaded for batch scoring.
+The slice is filtered from the feature table, split chronologically, written
+once, and every contender is a ``Pipeline``: MLlib's ridge and forest, and the
+library's own boosting under absolute error (``boosting``) and additive trend
+(``moments``). A slice of any size trains on the cluster, and a fitted
+``PipelineModel`` can be saved and reloaded for batch scoring.
+
+``run_group_tournament`` trains one model per group instead of one slice:
+every group's linear contenders from one aggregation, every group's boosted
+trees in one job. The forest is a contender of the slice only.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import ElementwiseProduct, SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Observation
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from demandlens.config import DEFAULT_MODELS, FEATURE_COLUMNS, TrainConfig
+from demandlens.operators import boosting, moments
 from demandlens.operators.clean import not_null
 from demandlens.operators.evaluate import forecast_metrics, leaderboard
 from demandlens.operators.explore import slice_rows
+from demandlens.operators.joins import attach_stats
 from demandlens.session import shared_dir
 
 LABEL = "Order_Demand"
@@ -82,12 +91,6 @@ def _assembler(cols: Sequence[str] = FEATURE_COLUMNS, out: str = "features") ->
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep")
 
 
-def _clip(src: str) -> SQLTransformer:
-    return SQLTransformer(
-        statement=f"SELECT *, greatest(CAST({src} AS DOUBLE), 0.0D) AS prediction FROM __THIS__"
-    )
-
-
 def ridge_pipeline(train: DataFrame, alpha: float = 1.0) -> Pipeline:
     """Ridge on log1p(demand) with population-std scaling, expm1 and clip.
 
@@ -145,95 +148,38 @@ def random_forest_pipeline(num_trees: int = 200, seed: int = 42) -> Pipeline:
     )
 
 
-def gbt_pipeline(
-    iters: int = 500, seed: int = 42, loss: str = "absolute", depth: int = 6, step: float = 0.05
-) -> Pipeline:
-    """Gradient-boosted trees; the absolute loss is robust to the huge demand
-    spikes, the squared one follows them. Predictions are not clipped. Rounds
-    are checkpointed (see ``materialise``), so lineage does not grow with them."""
-    return Pipeline(
-        stages=[
-            _assembler(),
-            GBTRegressor(
-                featuresCol="features",
-                labelCol=LABEL,
-                lossType=loss,
-                maxIter=iters,
-                stepSize=step,
-                maxDepth=depth,
-                maxBins=256,
-                seed=seed,
-                checkpointInterval=10,
-                cacheNodeIds=True,
-            ),
-        ]
-    )
+def boost_params(name: str, cfg: TrainConfig) -> boosting.BoostParams:
+    """By level, or best leaf first with at most 31 leaves of 20 rows or more."""
+    if name == LEAFWISE:
+        return boosting.BoostParams(cfg.boost_iters, leaves=31, l2=0.0, min_rows=20)
+    return boosting.BoostParams(cfg.boost_iters)
 
 
-# Trend knots, seasonal periods and Fourier orders of the
-# additive trend + seasonality contender.
-N_CHANGEPOINTS = 25
-CHANGEPOINT_RANGE = 0.8
-YEARLY_PERIOD, YEARLY_ORDER = 365.25, 10
-WEEKLY_PERIOD, WEEKLY_ORDER = 7.0, 3
+def boosted_pipeline(params: boosting.BoostParams) -> Pipeline:
+    """Boosting under absolute error, robust to the huge demand spikes.
+    Predictions are not clipped."""
+    learner = boosting.AbsoluteBoosting(features=list(FEATURE_COLUMNS), label=LABEL)
+    return Pipeline(stages=[learner.using(params)])
 
 
-def seasonal_trend_pipeline(train: DataFrame, reg: float = 0.05) -> Pipeline:
-    """Additive piecewise-linear trend (hinges at changepoints on the first
-    80% of the history) + yearly and weekly Fourier terms + the feature
-    regressors, fitted as one L1-regularised linear model. It follows the
-    published additive trend+seasonality decomposition; it is not a Bayesian
-    fit, so numbers differ from a sampling-based fit."""
-    bounds = train.agg(
-        F.min(F.datediff("Date", F.lit("1970-01-01"))).alias("t0"),
-        F.max(F.datediff("Date", F.lit("1970-01-01"))).alias("t1"),
-    ).first()
-    t0 = int(bounds["t0"])
-    span = max(int(bounds["t1"]) - t0, 1)
-    day = "CAST(datediff(Date, DATE'1970-01-01') AS DOUBLE)"
-    t = f"(({day} - {t0}) / {span}.0)"
-    terms = [f"{t} AS _trend"]
-    names = ["_trend"]
-    for j in range(N_CHANGEPOINTS):
-        s = CHANGEPOINT_RANGE * (j + 1) / (N_CHANGEPOINTS + 1)
-        terms.append(f"greatest({t} - {s!r}, 0.0D) AS _cp{j}")
-        names.append(f"_cp{j}")
-    for label, period, order in (("y", YEARLY_PERIOD, YEARLY_ORDER), ("w", WEEKLY_PERIOD, WEEKLY_ORDER)):
-        for k in range(1, order + 1):
-            ang = f"(2.0D * pi() * {k} * {day} / {period})"
-            terms += [f"sin({ang}) AS _{label}s{k}", f"cos({ang}) AS _{label}c{k}"]
-            names += [f"_{label}s{k}", f"_{label}c{k}"]
-    design = SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
-    return Pipeline(
-        stages=[
-            design,
-            _assembler(cols=[*names, *FEATURE_COLUMNS]),
-            LinearRegression(
-                featuresCol="features",
-                labelCol=LABEL,
-                predictionCol="raw_prediction",
-                elasticNetParam=1.0,
-                regParam=reg,
-                standardization=True,
-                maxIter=200,
-            ),
-            _clip("raw_prediction"),
-        ]
-    )
+def seasonal_trend_pipeline() -> Pipeline:
+    """Additive piecewise-linear trend, yearly and weekly terms and regressors
+    with separate priors; the largest posterior, not a sample of it."""
+    return Pipeline(stages=[moments.LinearTrend()])
+
+
+RIDGE, TREND, FOREST, BY_LEVEL, LEAFWISE = DEFAULT_MODELS
 
 
 def build_contender(name: str, train: DataFrame, cfg: TrainConfig) -> Pipeline:
-    ridge, trend, forest, absolute, squared = DEFAULT_MODELS
-    if name == ridge:
+    if name == RIDGE:
         return ridge_pipeline(train)
-    if name == trend:
-        return seasonal_trend_pipeline(train)
-    if name == forest:
+    if name == TREND:
+        return seasonal_trend_pipeline()
+    if name == FOREST:
         return random_forest_pipeline(cfg.num_trees, cfg.seed)
-    if name == absolute:
-        return gbt_pipeline(cfg.boost_iters, cfg.seed)
-    if name == squared:
-        return gbt_pipeline(cfg.boost_iters, cfg.seed, loss="squared", depth=5)
+    if name in (BY_LEVEL, LEAFWISE):
+        return boosted_pipeline(boost_params(name, cfg))
     raise ValueError(f"no such contender: {name!r}; there are {', '.join(DEFAULT_MODELS)}")
 
 
@@ -262,6 +208,40 @@ def ridge_residuals(train: DataFrame, cfg: TrainConfig, alpha: float = 1.0) -> D
     return sums.select(F.expr(f"stack({n}, {parts}) AS (feature, residual)"))
 
 
+def first_stumps(train: DataFrame, params: boosting.BoostParams, ways: Sequence[str]) -> DataFrame:
+    """The first boosting round's single best split of the training rows, with
+    the median residuals of its two sides: one row per way of training ('one
+    task', 'distributed'), none where no split helps."""
+    spark, out = train.sparkSession, None
+    for way in ways:
+        local = params.local_rows if way == "one task" else 0
+        one = dataclasses.replace(params, rounds=1, step=1.0, depth=1, local_rows=local)
+        model = boosting.fit_table(train, list(FEATURE_COLUMNS), LABEL, one)
+        tree = model.trees[0] if model.trees else boosting.Tree()
+        if tree.feature[0] < 0:
+            continue
+        name, threshold = FEATURE_COLUMNS[tree.feature[0]], float(model.edges[tree.feature[0]][tree.cut[0]])
+        goes_left = F.col(name).cast("double") <= threshold
+        found = train.filter(not_null([*FEATURE_COLUMNS, LABEL])).agg(
+            F.lit(way).alias("way"),
+            F.lit(model.base).alias("base"),
+            F.lit(name).alias("feature"),
+            F.lit(threshold).alias("threshold"),
+            F.count_if(goes_left).alias("left_rows"),
+            F.count_if(~goes_left).alias("right_rows"),
+            F.lit(tree.value[tree.left[0]]).alias("left_median"),
+            F.lit(tree.value[tree.right[0]]).alias("right_median"),
+        )
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame(
+            [],
+            "way string, base double, feature string, threshold double, left_rows long, "
+            "right_rows long, left_median double, right_median double",
+        )
+    return out
+
+
 def fit_predict(
     name: str, train: DataFrame, test: DataFrame, cfg: TrainConfig
 ) -> tuple[PipelineModel, DataFrame]:
@@ -313,3 +293,86 @@ def run_tournament(
     seconds = F.create_map(*[F.lit(x) for name in cfg.models for x in (name, fitted[name][2])])
     board = leaderboard(metrics).withColumn("fit_seconds", seconds[F.col("model")])
     return board, models, preds
+
+
+# --------------------------------------------------------------------------
+# one model per group
+# --------------------------------------------------------------------------
+
+#: Test rows of a group that one task predicts with the group's trees.
+PREDICT_ROWS = 200_000
+LINEAR = {RIDGE: "ridge", TREND: "trend"}
+
+
+def predict_boosted(test: DataFrame, models: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``prediction`` by each group's trees (null without any). A group's rows
+    are dealt to blocks, and its model goes to each of them."""
+    keys = list(keys)
+    blocks = test.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / PREDICT_ROWS).cast("int").alias("__blocks"))
+    rows = attach_stats(test, blocks, keys).withColumn(
+        "__block", F.pmod(F.monotonically_increasing_id(), F.col("__blocks")).cast("int")
+    )
+    fitted = models.join(blocks, keys).select(
+        *keys, "ensemble", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__block")
+    )
+    names, columns = list(FEATURE_COLUMNS), test.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in test.schema)
+
+    def run(got: pa.Table, model: pa.Table) -> pa.Table:
+        out = got.select(columns)
+        if not model.num_rows:
+            return out.append_column("prediction", pa.nulls(len(out), pa.float64()))
+        ensemble = boosting.Ensemble.from_json(model.column("ensemble")[0].as_py())
+        values = np.column_stack([got.column(c).cast(pa.float64()).to_numpy() for c in names])
+        return out.append_column("prediction", pa.array(ensemble.predict(values)))
+
+    by = [*keys, "__block"]
+    return rows.groupBy(*by).cogroup(fitted.groupBy(*by)).applyInArrow(run, f"{schema}, prediction double")
+
+
+def fit_predict_groups(
+    name: str, train: DataFrame, test: DataFrame, cfg: TrainConfig
+) -> tuple[DataFrame, DataFrame]:
+    """(models, predictions) of one contender, a model per group of
+    ``cfg.group_cols``."""
+    keys = list(cfg.group_cols)
+    if name in LINEAR:
+        models = materialise(moments.fit(train, keys, LINEAR[name]))
+        predicted = moments.predict(test, models, keys, LINEAR[name])
+    elif name in (BY_LEVEL, LEAFWISE):
+        models = materialise(
+            boosting.fit_groups(train, keys, FEATURE_COLUMNS, LABEL, boost_params(name, cfg))
+        )
+        predicted = predict_boosted(test, models, keys)
+    else:
+        raise ValueError(f"{name!r} is not trained per group")
+    return models, predicted.select(F.lit(name).alias("model"), *test.columns, "prediction")
+
+
+def run_group_tournament(
+    featured: DataFrame, cfg: TrainConfig
+) -> tuple[DataFrame, dict[str, DataFrame], DataFrame]:
+    """(leaderboard per group, models by contender, predictions) over all
+    groups of ``cfg.group_cols`` at once. Rows of a group without training rows
+    have no prediction and no part in the metrics."""
+    keys = list(cfg.group_cols)
+    if not keys:
+        raise ValueError("group_cols names no column to train by")
+    train, test = train_test(featured, cfg.test_year)
+    train, test = materialise(train), materialise(test)
+    models, predictions = {}, None
+    for name in cfg.models:
+        if name == FOREST:
+            continue  # of the slice only
+        models[name], found = fit_predict_groups(name, train, test, cfg)
+        predictions = found if predictions is None else predictions.unionByName(found)
+    if predictions is None:
+        raise ValueError("no contender that is trained per group")
+    predictions = materialise(predictions)
+    scored = predictions.filter("prediction is not null").withColumn("entry", F.struct(*keys, "model"))
+    metrics = forecast_metrics(scored, cfg.high_demand_threshold, model_col="entry").select(
+        "model.*", *[c for c in ("mae", "accuracy", "f1", "precision", "recall")]
+    )
+    best = F.row_number().over(Window.partitionBy(*keys).orderBy("mae", "model"))
+    board = metrics.withColumn("rank", best).withColumn("is_winner", F.col("rank") == 1)
+    return board, models, predictions

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from demandlens.config import CleanConfig
 from demandlens.operators.joins import BROADCAST_BYTES, attach_stats
+from demandlens.operators.quantiles import exact_quantiles
 
 
 def _positive(x: Column) -> Column:
@@ -27,15 +28,11 @@ def warehouse_fences(
 ) -> DataFrame:
     """Q1/Q3 of positive demand per warehouse and the fences
     ``Q1 - m*IQR`` / ``Q3 + m*IQR``. One sketch yields both quartiles;
-    ``exact=True`` uses the exact (memory-heavier) discrete percentile.
+    ``exact=True`` finds the exact discrete ones in a few counting passes.
     Warehouses without positive demand get no row."""
     x = _positive(F.col("Order_Demand"))
     if exact:
-        pos = "CASE WHEN Order_Demand > 0 THEN Order_Demand END"
-        stats = df.groupBy("Warehouse").agg(
-            F.expr(f"percentile_disc(0.25) WITHIN GROUP (ORDER BY {pos})").alias("Q1"),
-            F.expr(f"percentile_disc(0.75) WITHIN GROUP (ORDER BY {pos})").alias("Q3"),
-        )
+        stats = exact_quantiles(df, ["Warehouse"], x, {"Q1": 0.25, "Q3": 0.75}).drop("n")
     else:
         stats = (
             df.groupBy("Warehouse")

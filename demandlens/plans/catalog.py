@@ -16,6 +16,7 @@ from demandlens.operators import evaluate as EV
 from demandlens.operators import explore as X
 from demandlens.operators import features as FE
 from demandlens.operators import forecast as FC
+from demandlens.operators import moments as MO
 from demandlens.operators import quality as Q
 from demandlens.operators import score as SC
 from demandlens.plans.pipelines import clean, clean_stages, parse_stage
@@ -133,6 +134,32 @@ def q_scan_csv_reordered(spark, sf):
     return read_raw(spark, path)
 
 
+def q_scan_csv_layouts(spark, sf):
+    """One folder of header CSVs in three layouts: the plain one, another order
+    with more columns, and blanks in the names."""
+    path = scratch_path(spark, "raw-csv-layouts")
+    raw = _raw(spark, sf).withColumn("_third", F.pmod(F.xxhash64("Product_Code", "Date"), F.lit(3)))
+    names = raw.columns[:-1]
+    layouts = (
+        [F.col(c) for c in names],
+        [F.lit("x").alias("note"), *[F.col(c) for c in reversed(names)]],
+        [F.col(c).alias(f" {c} ") for c in names[2:] + names[:2]],
+    )
+    for k, columns in enumerate(layouts):
+        (
+            raw.filter(F.col("_third") == k)
+            .select(*columns)
+            .write.mode("append")
+            .option("header", "true")
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", "false")
+            .option("ignoreTrailingWhiteSpace", "false")
+            .csv(path)
+        )
+    return read_raw(spark, path)
+
+
 def q_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "cleaned")
     write_cleaned(cleaned_demand(spark, sf), path, "parquet")
@@ -196,6 +223,12 @@ def q_warehouse_fences(spark, sf):
     return f.select("Warehouse", "Q1", "Q3", "IQR", _r("lower_fence"), _r("upper_fence"))
 
 
+def q_warehouse_fences_exact(spark, sf):
+    """The fences from exact quartiles, found in counting passes."""
+    f = Q.warehouse_fences(_base(spark, sf), IQR_MULTIPLIER, exact=True)
+    return f.select("Warehouse", "Q1", "Q3", "IQR", _r("lower_fence"), _r("upper_fence"))
+
+
 def q_flag_outliers_iqr(spark, sf):
     return Q.flag_outliers_iqr(_base(spark, sf), IQR_MULTIPLIER)
 
@@ -245,6 +278,13 @@ def q_rolling_features(spark, sf):
     return _round_features(FE.add_rolling_features(cleaned_demand(spark, sf), FEATURE_CFG))
 
 
+def q_rolling_features_in_blocks(spark, sf):
+    """Lag and rolling features with every series of more than eight rows cut
+    into blocks by position."""
+    blocked = FE.add_lag_rolling(cleaned_demand(spark, sf), replace(FEATURE_CFG, block_rows=8))
+    return _round_features(blocked)
+
+
 def q_binary_indicators(spark, sf):
     return FE.add_binary_indicators(cleaned_demand(spark, sf))
 
@@ -335,7 +375,7 @@ def _split(spark, sf):
     return FC.materialise(train), FC.materialise(test)
 
 
-RIDGE, TREND, FOREST, ABSOLUTE, SQUARED = DEFAULT_MODELS
+RIDGE, TREND, FOREST, BY_LEVEL, LEAFWISE = DEFAULT_MODELS
 
 
 def _contender(name):
@@ -413,6 +453,61 @@ def q_tournament_test_rows(spark, sf):
     )
 
 
+def q_boosted_first_stumps(spark, sf):
+    """Both boosted contenders' first split, cut to one level, with the medians
+    of its sides; trained in one task and distributed."""
+    s = FC.whale_slice(_featured(spark, sf), WAREHOUSE, CATEGORY)
+    train = FC.materialise(_round_features(FC.train_test(s, TEST_YEAR)[0]))
+    found = [
+        FC.first_stumps(train, FC.boost_params(name, TRAIN_CFG), ("one task", "distributed")).withColumn(
+            "model", F.lit(name)
+        )
+        for name in (BY_LEVEL, LEAFWISE)
+    ]
+    return found[0].unionByName(found[1])
+
+
+def _per_term(models: DataFrame, names: list[str], *keep: str) -> DataFrame:
+    """One row per coefficient: its moment with the label, and whether the
+    optimality condition of the fit holds for it."""
+    each = models.select(
+        *keep, F.posexplode(F.arrays_zip("moments", "misses")).alias("position", "found")
+    )
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("position") + 1)
+    return each.select(
+        *keep,
+        name.alias("term"),
+        _r(F.col("found.moments"), "moment"),
+        (F.col("found.misses") < 1e-6).alias("solved"),
+    )
+
+
+def q_trend_conditions(spark, sf):
+    """Per coefficient of the trend + seasonality fit: the sum of products of
+    its column with the label, and whether the posterior is at its maximum."""
+    train, _ = _split(spark, sf)
+    models = MO.fit(train.withColumn("slice", F.lit(0)), ["slice"], "trend")
+    return _per_term(models, MO.term_names("trend"))
+
+
+GROUP_CFG = replace(TRAIN_CFG, group_cols=("Warehouse", "Product_Category"))
+
+
+def q_group_ridge(spark, sf):
+    """Ridge of every category x warehouse from one aggregation: training rows,
+    moments and optimality of each coefficient."""
+    train, _ = FC.train_test(_featured(spark, sf), TEST_YEAR)
+    keys = list(GROUP_CFG.group_cols)
+    models = MO.fit(FC.materialise(train), keys, "ridge")
+    return _per_term(models, MO.term_names("ridge"), *keys, "rows")
+
+
+def q_group_leaderboard(spark, sf):
+    """Every category x warehouse with a model of its own per contender."""
+    board, _, _ = FC.run_group_tournament(_featured(spark, sf), GROUP_CFG)
+    return board
+
+
 def q_seasonal_decompose_excluded(spark, sf):
     return X.decomposition_exclusions(cleaned_demand(spark, sf), 12)
 
@@ -469,8 +564,8 @@ QUERIES: dict[str, Query] = {
     "ridge_forecast": _contender(RIDGE),
     "seasonal_trend_forecast": _contender(TREND),
     "random_forest_forecast": _contender(FOREST),
-    "gbt_forecast": _contender(ABSOLUTE),
-    "gbt_subsampled_forecast": _contender(SQUARED),
+    "gbt_forecast": _contender(BY_LEVEL),
+    "leafwise_boosting_forecast": _contender(LEAFWISE),
     "forecast_tournament": q_forecast_tournament,
     "score_requests": q_score_requests,
     "scan_csv_reordered": q_scan_csv_reordered,
@@ -480,4 +575,11 @@ QUERIES: dict[str, Query] = {
     "forest_within_labels": q_forest_within_labels,
     "ridge_normal_equations": q_ridge_normal_equations,
     "tournament_test_rows": q_tournament_test_rows,
+    "scan_csv_layouts": q_scan_csv_layouts,
+    "warehouse_fences_exact": q_warehouse_fences_exact,
+    "rolling_features_in_blocks": q_rolling_features_in_blocks,
+    "boosted_first_stumps": q_boosted_first_stumps,
+    "trend_conditions": q_trend_conditions,
+    "group_ridge": q_group_ridge,
+    "group_leaderboard": q_group_leaderboard,
 }

@@ -4,9 +4,10 @@ leaderboard, saved models, registry entry."""
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import replace
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from demandlens.config import CleanConfig, FeatureConfig, TrainConfig
@@ -64,12 +65,17 @@ def train_job(
 ) -> dict:
     """Load the cleaned table, build features, run the tournament on the
     configured slice, write the leaderboard (JSON), persist every model
-    (winner suffixed ``_best``) and register the winner as Production."""
+    (winner suffixed ``_best``) and register the winner as Production. With
+    ``cfg.group_cols`` every group gets models of its own instead
+    (``train_groups``)."""
     base = shared_dir(spark).rstrip("/")
     model_dir = cfg.model_dir or f"{base}/models"
     report_dir = cfg.report_dir or f"{base}/reports"
     t0 = time.time()
     cleaned = read_cleaned(spark, cleaned_uri, fmt)
+    if cfg.group_cols:
+        result = train_groups(engineer_features(cleaned, features), cfg, model_dir, report_dir)
+        return result | {"seconds": round(time.time() - t0, 2)}
     if features.category_first:
         # filter the slice before the windows (prunes Warehouse directories
         # and shrinks the window input); valid only when every product has
@@ -92,3 +98,20 @@ def train_job(
         "model_dir": model_dir,
         "seconds": round(time.time() - t0, 2),
     }
+
+
+def train_groups(featured: DataFrame, cfg: TrainConfig, model_dir: str, report_dir: str) -> dict:
+    """A model per group and contender, as one Parquet table per contender in a
+    folder of this run, and the leaderboard of all groups as Parquet."""
+    spark = featured.sparkSession
+    run = uuid.uuid4().hex[:12]
+    board, models, _ = FC.run_group_tournament(featured, cfg)
+    paths = {}
+    for name, table in models.items():
+        paths[name] = f"{model_dir.rstrip('/')}/{run}/groups/{RG.slug(name)}"
+        table.write.parquet(paths[name])
+    report = f"{report_dir.rstrip('/')}/group-leaderboard-{run}"
+    board.write.parquet(report)
+    written = spark.read.parquet(report)
+    groups = written.select(*cfg.group_cols).distinct().count()
+    return {"groups": groups, "leaderboard": report, "models": paths}

@@ -107,6 +107,39 @@ slice_rows AS (
 daily AS (SELECT Date, CAST(sum(Order_Demand) AS BIGINT) AS daily_demand FROM slice_rows GROUP BY Date)
 """
 
+_FEATURES_LONG = ", ".join(
+    f"({i}, '{c}', round(CAST({c} AS DOUBLE), 4))" if c.startswith("rolling_") else f"({i}, '{c}', CAST({c} AS DOUBLE))"
+    for i, c in enumerate(FEATURE_COLUMNS)
+)
+_RANKS = ", ".join(str(k / 256) for k in range(1, 256))
+_DAY = "CAST(date_diff('day', DATE '1970-01-01', Date) AS DOUBLE)"
+
+
+def _design() -> str:
+    """(term, x) of every row of ``scaled``, which has t, d and s_<feature>."""
+    terms = [("level", "1.0"), ("slope", "t")]
+    terms += [(f"change_{j}", f"greatest(t - {0.8 * j / 26!r}, 0.0)") for j in range(1, 26)]
+    for season, period, order in (("yearly", 365.25, 10), ("weekly", 7.0, 3)):
+        for k in range(1, order + 1):
+            angle = f"2 * pi() * {k} * d / {period}"
+            terms += [(f"{season}_sin_{k}", f"sin({angle})"), (f"{season}_cos_{k}", f"cos({angle})")]
+    terms += [(c, f"s_{c}") for c in FEATURE_COLUMNS]
+    return ", ".join(f"('{name}', CAST({x} AS DOUBLE))" for name, x in terms)
+
+
+def _scaled(partition: str, deviation: str, binary: bool) -> str:
+    """Standardised features per group as s_<feature>."""
+    out = []
+    for c in FEATURE_COLUMNS:
+        x, over = f"CAST({c} AS DOUBLE)", f"OVER ({partition})"
+        plain = f"(CASE WHEN {deviation}({x}) {over} > 1e-12 THEN ({x} - avg({x}) {over}) / {deviation}({x}) {over} ELSE {x} - avg({x}) {over} END)"
+        if binary:
+            is_binary = f"bool_and({c} IN (0, 1)) {over} AND min({c}) {over} < max({c}) {over}"
+            plain = f"CASE WHEN {is_binary} THEN {x} ELSE {plain} END"
+        out.append(f"{plain} AS s_{c}")
+    return ", ".join(out)
+
+
 _ROUNDED = ", ".join(f"round({c}, 4) AS {c}" for c in K.METRICS)
 
 
@@ -345,6 +378,16 @@ ORACLE: dict[str, str] = {
         "row_number() OVER (ORDER BY mae, model) = 1 AS is_winner FROM metrics"
     ),
     "scan_csv_reordered": _q("SELECT * FROM raw_demand"),
+    "scan_csv_layouts": _q("SELECT * FROM raw_demand"),
+    "warehouse_fences_exact": _q(
+        "SELECT Warehouse, Q1, Q3, IQR, round(lower_fence, 4) AS lower_fence, "
+        "round(upper_fence, 4) AS upper_fence FROM fences"
+    ),
+    "rolling_features_in_blocks": _q(
+        "SELECT Product_Code, Warehouse, Product_Category, Order_Demand, Date, year, month, "
+        "day_of_week, week_of_year, demand_T_minus_2, round(rolling_7d_stddev, 4) AS rolling_7d_stddev, "
+        "round(rolling_7d_mean, 4) AS rolling_7d_mean FROM lagged"
+    ),
     "seasonal_decompose_excluded": _q(
         """SELECT Product_Code, count(DISTINCT strftime(Date, '%Y-%m')) AS months, 24 AS required
         FROM cleaned GROUP BY Product_Code HAVING count(DISTINCT strftime(Date, '%Y-%m')) < 24"""
@@ -368,6 +411,56 @@ ORACLE: dict[str, str] = {
           count(*) FILTER (WHERE Order_Demand > {K.THRESHOLD}) AS high_demand_rows,
           CAST(0 AS BIGINT) AS without_prediction FROM test_rows) t"""
     ),
+    "boosted_first_stumps": _q(
+        f""", train AS (SELECT row_number() OVER () AS row, * FROM split WHERE split = 'train'),
+        based AS (SELECT *, Order_Demand - (SELECT quantile_disc(Order_Demand, 0.5) FROM train) AS residual FROM train),
+        cells AS (
+          SELECT row, residual, sign(residual) AS s, v.idx, v.feature, v.value
+          FROM based, LATERAL (VALUES {_FEATURES_LONG}) v(idx, feature, value)),
+        edges AS (
+          SELECT DISTINCT idx, feature, unnest(ranks) AS threshold
+          FROM (SELECT idx, feature, quantile_disc(value, [{_RANKS}]) AS ranks FROM cells GROUP BY ALL)),
+        sides AS (
+          SELECT e.idx, e.feature, e.threshold,
+            count(*) FILTER (WHERE value <= threshold) AS left_rows,
+            count(*) FILTER (WHERE value > threshold) AS right_rows,
+            CAST(coalesce(sum(s) FILTER (WHERE value <= threshold), 0) AS DOUBLE) AS gl,
+            CAST(coalesce(sum(s) FILTER (WHERE value > threshold), 0) AS DOUBLE) AS gr,
+            quantile_disc(residual, 0.5) FILTER (WHERE value <= threshold) AS left_median,
+            quantile_disc(residual, 0.5) FILTER (WHERE value > threshold) AS right_median
+          FROM edges e JOIN cells c ON c.idx = e.idx GROUP BY ALL),
+        gains AS (
+          SELECT *, gl * gl / (left_rows + l2) + gr * gr / (right_rows + l2)
+              - (gl + gr) * (gl + gr) / (left_rows + right_rows + l2) AS gain
+          FROM sides, (VALUES ('{DEFAULT_MODELS[3]}', 1.0, 1), ('{DEFAULT_MODELS[4]}', 0.0, 20)) p(model, l2, least)
+          WHERE left_rows >= least AND right_rows >= least),
+        best AS (
+          SELECT *, row_number() OVER (PARTITION BY model ORDER BY gain DESC, idx, threshold) AS place
+          FROM gains WHERE gain > 1e-6)
+        SELECT model, way, (SELECT CAST(quantile_disc(Order_Demand, 0.5) AS DOUBLE) FROM train) AS base,
+          feature, threshold, left_rows, right_rows,
+          CAST(left_median AS DOUBLE) AS left_median, CAST(right_median AS DOUBLE) AS right_median
+        FROM best, (VALUES ('one task'), ('distributed')) w(way) WHERE place = 1"""
+    ),
+    "trend_conditions": _q(
+        f""", scaled AS (
+          SELECT CAST(Order_Demand AS DOUBLE) / max(abs(Order_Demand)) OVER () AS y, {_DAY} AS d,
+            ({_DAY} - min({_DAY}) OVER ()) / greatest(max({_DAY}) OVER () - min({_DAY}) OVER (), 1) AS t,
+            {_scaled("", "stddev_samp", True)}
+          FROM split WHERE split = 'train')
+        SELECT term, round(sum(x * y), 4) AS moment, true AS solved
+        FROM scaled, LATERAL (VALUES {_design()}) v(term, x) GROUP BY term"""
+    ),
+    "group_ridge": _q(
+        f""", scaled AS (
+          SELECT Warehouse, Product_Category, ln(1 + Order_Demand) AS y,
+            {_scaled("PARTITION BY Warehouse, Product_Category", "stddev_pop", False)}
+          FROM featured WHERE year < {K.TEST_YEAR})
+        SELECT Warehouse, Product_Category, count(*) AS rows, term, round(sum(x * y), 4) AS moment, true AS solved
+        FROM scaled, LATERAL (VALUES ('level', 1.0), """
+        + ", ".join(f"('{c}', s_{c})" for c in FEATURE_COLUMNS)
+        + """) v(term, x) GROUP BY Warehouse, Product_Category, term"""
+    ),
     "score_requests_echo": _q(
         f"""SELECT r.warehouse, r.product_category, r.target_date,
           CASE WHEN count(DISTINCT h.Date) < 7 THEN 'insufficient history' END AS error,

@@ -3,13 +3,19 @@ mapping from a source configuration to a URI."""
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from demandlens.config import RAW_COLUMNS
 
+#: First lines that are read at the same time.
+HEADER_THREADS = 16
+
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
 
 
@@ -23,10 +29,41 @@ def _csv(spark: SparkSession, header: bool):
     )
 
 
-def header_columns(spark: SparkSession, uri: str) -> list[str]:
-    """Column names of a header CSV, from its first line alone."""
-    first = _csv(spark, False).csv(uri).first()
-    return [(c or "").strip() for c in first or ()]
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """A file's first line, through Hadoop's file system and codecs, so from
+    any store; nothing but the beginning of the file is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    stream = target.getFileSystem(conf).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(target)
+    reader = jvm.java.io.BufferedReader(
+        jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8")
+    )
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
+def header_columns(spark: SparkSession, path: str) -> tuple[str, ...] | None:
+    """Column names of a header CSV file, stripped; None for an empty file."""
+    line = first_line(spark, path)
+    if not line:
+        return None
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")])))
+
+
+def layouts(spark: SparkSession, uri: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``uri`` by their header, in the order of the listing;
+    empty files are left out."""
+    paths = _csv(spark, True).schema(RAW_SCHEMA).csv(uri).inputFiles()
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        headers = list(pool.map(lambda p: header_columns(spark, p), paths))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers):
+        if header is not None:
+            found.setdefault(header, []).append(path)
+    return found
 
 
 def read_raw(
@@ -38,27 +75,36 @@ def read_raw(
 ) -> DataFrame:
     """CSV with ``"`` as quote and escape, one record per line.
 
-    The columns of a file with a header are found by name: its first line is
-    read on its own, names are stripped of blanks, columns that ``schema``
-    asks for must all be there (in any order, beside others), and the file is
-    read with an explicit all-string schema in its own order, so it is not
-    scanned to infer one and splits across tasks. All files under ``uri``
-    share the first one's layout. Without a header, columns go by position.
-    ``infer_schema=True`` ignores ``schema`` (one extra pass over the data)."""
+    Columns of files with a header are found by name, per file: the first
+    lines are read on their own, names are stripped of blanks, columns that
+    ``schema`` asks for must all be there (in any order, beside others), and
+    the files of each layout are read with an explicit all-string schema in
+    their own order, so nothing is scanned to infer one and files split across
+    tasks. Files of one folder may differ in their layout. Without a header,
+    columns go by position. ``infer_schema=True`` ignores ``schema`` (one extra
+    pass over the data)."""
     reader = _csv(spark, header)
     if infer_schema or schema is None:
         reader = reader.option("inferSchema", str(infer_schema).lower())
         return reader.csv(uri)
     if not header:
         return reader.schema(schema).csv(uri)
-    names = header_columns(spark, uri)
-    missing = [f.name for f in schema if f.name not in names]
-    if missing:
-        raise ValueError(f"{uri} lacks the columns {missing}; its header has {names}")
     kinds = {f.name: f.dataType for f in schema}
-    layout = StructType([StructField(c, kinds.get(c, StringType()), True) for c in names])
-    rows = reader.option("enforceSchema", "true").schema(layout).csv(uri)
-    return rows.select(*[f.name for f in schema])
+    found = layouts(spark, uri)
+    for names, paths in found.items():
+        missing = [c for c in kinds if c not in names]
+        if missing:
+            raise ValueError(f"{paths[0]} lacks the columns {missing}; its header has {list(names)}")
+    out = None
+    for names, paths in found.items():
+        # a name that occurs twice counts where it occurs first
+        unique = [c if c not in names[:i] else f"__again_{i}" for i, c in enumerate(names)]
+        layout = StructType([StructField(c, kinds.get(c, StringType()), True) for c in unique])
+        part = _csv(spark, header).option("enforceSchema", "true").schema(layout)
+        # the listing's paths are escaped as in a URI, the reader's are not
+        rows = part.csv(uri if len(found) == 1 else [unquote(p) for p in paths]).select(*kinds)
+        out = rows if out is None else out.unionByName(rows)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 #: Columns of a cleaned table that is not self-describing.

@@ -67,9 +67,23 @@ def test_hot_series_blocks_equal_unsplit(spark, block_rows):
 
 def test_blocks_assign_multiple_blocks(spark):
     df = series(spark, {("E", "W2"): 40})
-    b = FE.series_blocks(df, ["Product_Code", "Warehouse"], "Date", 6, 5)
-    assert b.filter("NOT _halo").select("_blk").distinct().count() > 3
-    assert b.filter("NOT _halo").count() == 40
+    b = FE.series_blocks(df, ["Product_Code", "Warehouse"], ["Date", *FE.TIE_BREAK], 6, 5)
+    assert b.filter("NOT _halo").select("_blk").distinct().count() == 8
+    assert {r["count"] for r in b.filter("NOT _halo").groupBy("_blk").count().collect()} == {5}
+
+
+@pytest.mark.parametrize("block_rows", range(1, 11))
+def test_one_date_is_split_between_blocks(spark, block_rows):
+    """All rows of a series on one date, many of them equal."""
+    rnd, day = random.Random(3), dt.date(2016, 5, 2)
+    rows = [("H", "W1", "C", rnd.randint(0, 4), day, 5, 1) for _ in range(37)]
+    rows += [("K", "W1", "C", rnd.randint(0, 90), day + dt.timedelta(days=k), 5, 1) for k in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = spark_rows(FE.add_lag_rolling(df, FeatureConfig(block_rows=block_rows)))
+    assert got == naive(df.toPandas())
+    b = FE.series_blocks(df, ["Product_Code", "Warehouse"], ["Date", *FE.TIE_BREAK], 6, block_rows)
+    sizes = b.filter("NOT _halo AND Product_Code = 'H'").groupBy("_blk").count().collect()
+    assert max(r["count"] for r in sizes) == block_rows
 
 
 def test_exclusive_frame_for_scoring(spark):

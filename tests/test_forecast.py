@@ -1,13 +1,16 @@
 import datetime as dt
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandlens.config import DEFAULT_MODELS, FEATURE_COLUMNS, TrainConfig
 from demandlens.operators import evaluate as EV
 from demandlens.operators import forecast as FC
 from demandlens.operators import registry as RG
+from demandlens.plans.jobs import train_groups
 from demandlens.sources.sinks import leaderboard_document
 
 
@@ -84,8 +87,8 @@ def test_tournament_and_registry(spark, tmp_path):
     reg = str(tmp_path / "registry")
     RG.register(spark, reg, "demand", board, paths)
     RG.register(spark, reg, "demand", board, paths)
-    table = spark.read.parquet(reg)
-    assert table.count() == 4
+    table = RG.versions(spark, reg)
+    assert sorted(r.version for r in table.collect()) == [1, 2, 3, 4]
     assert RG.current_versions(spark, reg).filter("alias = 'Production'").count() == 1
     doc = json.loads(leaderboard_document(board).first().value)
     assert list(doc) == [r.model for r in rows] and set(doc[rows[0].model]) == {"MAE", "Accuracy", "F1", "Precision", "Recall"}
@@ -106,13 +109,66 @@ def test_registry_versions_keep_their_models_and_errors_lose_nothing(spark, tmp_
         model, version = RG.load_by_alias(spark, reg, "demand")
         seen.append((version, model.stages[1].getNumTrees))
     assert [n for _, n in seen] == [1, 4] and seen[0][0] != seen[1][0]
-    first = spark.read.parquet(reg).filter("version = 1").first()
+    first = RG.versions(spark, reg).filter("version = 1").first()
     assert RG.PipelineModel.load(first.path).stages[1].getNumTrees == 1
-    before = sorted(tmp_path.joinpath("registry").glob("*.parquet"))
-    before[0].write_bytes(b"damaged")
+    files = sorted(tmp_path.joinpath("registry").glob("*/*.json"))
+    kept = files[1].read_bytes()
+    files[0].write_bytes(b"damaged")
     with pytest.raises(Exception):
-        RG.register(spark, reg, "demand", board, paths)
-    assert sorted(tmp_path.joinpath("registry").glob("*.parquet")) == before
+        RG.load_by_alias(spark, reg, "demand")
+    RG.add_version(spark, reg, {"registry_name": "demand", "model": "m", "path": "p"})
+    assert files[0].read_bytes() == b"damaged" and files[1].read_bytes() == kept
+
+
+def test_two_writers_share_no_version(spark, tmp_path):
+    reg = str(tmp_path / "registry")
+
+    def write(writer):
+        return [
+            RG.add_version(spark, reg, {"registry_name": "demand", "model": f"{writer}-{k}", "path": "p"})
+            for k in range(10)
+        ]
+
+    with ThreadPoolExecutor(2) as pool:
+        taken = list(pool.map(write, ("one", "two")))
+    assert sorted(v for versions in taken for v in versions) == list(range(1, 21))
+    rows = RG.versions(spark, reg).collect()
+    assert sorted(r.version for r in rows) == list(range(1, 21))
+    assert {r.model for r in rows} == {f"{w}-{k}" for w in ("one", "two") for k in range(10)}
+    # a writer that died after it had taken a number
+    folder = next(tmp_path.joinpath("registry").iterdir())
+    folder.joinpath("0000000021.json").write_text("")
+    assert RG.add_version(spark, reg, {"registry_name": "demand", "model": "m", "path": "p"}) == 22
+    assert RG.versions(spark, reg).count() == 21
+    # names whose slugs agree have numbers of their own
+    assert RG.add_version(spark, reg, {"registry_name": "Demand!", "model": "m", "path": "p"}) == 1
+
+
+def test_group_tournament_trains_every_group(spark):
+    df = featured(spark, 90).withColumn("Warehouse", F.concat(F.lit("W"), F.col("month") % 2))
+    late = df.filter("year = 2000").limit(1).withColumn("Warehouse", F.lit("new"))
+    cfg = TrainConfig(test_year=2000, boost_iters=3, group_cols=("Warehouse",))
+    board, models, preds = FC.run_group_tournament(df.unionByName(late), cfg)
+    trained = [m for m in DEFAULT_MODELS if m != DEFAULT_MODELS[2]]  # the forest is for a slice
+    assert set(models) == set(trained)
+    rows = board.collect()
+    assert {(r.Warehouse, r.model) for r in rows} == {(w, m) for w in ("W0", "W1") for m in trained}
+    for w in ("W0", "W1"):
+        here = sorted([r for r in rows if r.Warehouse == w], key=lambda r: r["rank"])
+        assert [r["rank"] for r in here] == [1, 2, 3, 4] and here[0].is_winner
+        assert here == sorted(here, key=lambda r: (r.mae, r.model))
+    alone = preds.filter("Warehouse = 'new'").collect()
+    assert len(alone) == 4 and all(r.prediction is None for r in alone)
+    with pytest.raises(ValueError):
+        FC.run_group_tournament(df, TrainConfig(test_year=2000))
+
+
+def test_group_job_writes_models_and_leaderboard(spark, tmp_path):
+    cfg = TrainConfig(test_year=2000, boost_iters=2, group_cols=("Product_Code",), models=DEFAULT_MODELS[:1] + DEFAULT_MODELS[3:4])
+    got = train_groups(featured(spark, 80), cfg, str(tmp_path / "models"), str(tmp_path / "reports"))
+    assert got["groups"] == 3 and spark.read.parquet(got["leaderboard"]).count() == 6
+    for path in got["models"].values():
+        assert spark.read.parquet(path).select("Product_Code").distinct().count() == 3
 
 
 def test_rank_uses_the_full_precision(spark):
@@ -139,11 +195,22 @@ def test_registered_learners_run_in_full(spark, monkeypatch):
     monkeypatch.setattr(catalog, "_featured", lambda spark, sf: None)
     monkeypatch.setattr(FC, "fit_predict", caught)
     monkeypatch.setattr(FC, "run_tournament", caught)
-    for key in ("gbt_forecast", "gbt_subsampled_forecast", "forecast_tournament", "tournament_test_rows"):
+    for key in ("gbt_forecast", "leafwise_boosting_forecast", "forecast_tournament", "tournament_test_rows"):
         with pytest.raises(Fitted):
             catalog.QUERIES[key](spark, "")
     full = TrainConfig(test_year=0)
     assert [(c.boost_iters, c.num_trees) for c in seen] == [(full.boost_iters, full.num_trees)] * 4
     for name in DEFAULT_MODELS[3:]:
-        learner = FC.build_contender(name, None, seen[0]).getStages()[-1]
-        assert learner.getMaxIter() == 500 and learner.getCheckpointInterval() == 10 and learner.getCacheNodeIds()
+        assert FC.build_contender(name, None, seen[0]).getStages()[-1].params_.rounds == 500
+
+
+def test_boosting_beats_the_forest_on_its_training_rows(spark):
+    train, _ = FC.train_test(featured(spark, 120), 2001)
+    cfg = TrainConfig(test_year=2001)
+
+    def error(name):
+        model = FC.fit(name, train, cfg)
+        return model.transform(train).agg(F.avg(F.abs(F.col("Order_Demand") - F.col("prediction")))).first()[0]
+
+    forest = error(DEFAULT_MODELS[2])
+    assert error(DEFAULT_MODELS[3]) < forest

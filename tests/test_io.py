@@ -1,3 +1,5 @@
+import gzip
+
 import pytest
 
 from demandlens.session import s3a_conf, scratch_path
@@ -48,6 +50,30 @@ def test_csv_columns_are_found_by_name(spark, tmp_path):
     assert read_raw(spark, str(bare), header=False).first().Order_Demand == "12"
 
 
+def test_files_of_one_folder_may_differ_in_layout(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    (folder / "a.csv").write_text("Product_Code,Warehouse,Product_Category,Date,Order_Demand\np0,w0,c0,2011/3/4,7\n")
+    (folder / "b.csv").write_text(
+        '\ufeffOrder_Demand,note, Date ,"Product_Category",Warehouse,Product_Code\n8,"x,y",2011/3/5,c1,w1,p1\n'
+        "9,z,2011/3/6,c2,w2,p2\n"
+    )
+    with gzip.open(folder / "c.csv.gz", "wt") as f:
+        f.write("Date,Order_Demand,Product_Code,Warehouse,Product_Category,Date\n2011/3/7,10,p3,w3,c3,never\n")
+    (folder / "d.csv").write_text("")
+    rows = sorted(read_raw(spark, str(folder)).collect())
+    assert [tuple(r) for r in rows] == [
+        (f"p{k}", f"w{k}", f"c{k}", f"2011/3/{4 + k}", str(7 + k)) for k in range(4)
+    ]
+    (folder / "e.csv").write_text("Warehouse,Date\nw,2011/3/8\n")
+    with pytest.raises(ValueError, match="e.csv lacks"):
+        read_raw(spark, str(folder))
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "a.csv").write_text("")
+    assert read_raw(spark, str(empty)).collect() == []
+
+
 def test_overwrite_replaces_every_partition(spark):
     path = scratch_path(spark, "t")
     old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

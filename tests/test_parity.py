@@ -25,5 +25,5 @@ def test_matches_oracle(spark, con, key):
 def test_every_query_without_oracle_is_a_model_fit():
     assert set(QUERIES) - set(ORACLE) == {
         "ridge_forecast", "seasonal_trend_forecast", "random_forest_forecast", "gbt_forecast",
-        "gbt_subsampled_forecast", "forecast_tournament", "score_requests",
+        "leafwise_boosting_forecast", "forecast_tournament", "score_requests", "group_leaderboard",
     }
