@@ -6,7 +6,9 @@ word segmentable. A language has one probability per piece; the probability of
 a word is the sum over all its segmentations (forward algorithm), and that of
 a text the product over its words. Piece probabilities are learned with
 expectation maximisation (forward-backward over the distinct words of a
-bounded sample), smoothed with the mean of all languages and a uniform share.
+bounded sample, of every length; words above ``VERY_LONG_WORD`` bytes in parts
+of at most that size), smoothed with the mean of all languages and a uniform
+share.
 
 Results for odd input: a text that is null or has no letter is ``und`` with
 score 0, as is every text if no labelled row can be learned from; equal
@@ -35,8 +37,14 @@ ROUNDS = 4
 SHARED, UNIFORM = 0.02, 0.01
 #: Distinct chunks that a worker remembers; then it starts anew (memory bound).
 CACHE_ENTRIES = 500_000
-#: Words above these bytes take the rescaled forward pass.
-LONG_WORD = 40
+#: Words above so many bytes go together in batches of any lengths, those above
+#: so many alone, rescaled on the way. Texts without blanks have such words.
+LONG_WORD, VERY_LONG_WORD = 40, 240
+#: Long words of a batch.
+TOGETHER = 256
+#: Bytes of a long word whose sums share a scale, as a power of two, and the
+#: most such blocks that a piece (of 64 bytes) reaches back.
+SCALED, REACH = 4, 5
 
 _LETTERS = regex.compile(r"\p{L}+")
 
@@ -52,6 +60,17 @@ def pieces(vocabulary: str) -> tuple[dict[bytes, int], int]:
     return ranks, min(64, max(map(len, ranks), default=1))
 
 
+@lru_cache(2)
+def reach(vocabulary: str) -> dict[bytes, int]:
+    """Bytes of the longest piece by its first two bytes."""
+    index, longest = pieces(vocabulary)
+    out: dict[bytes, int] = {}
+    for piece in index:
+        if 1 < len(piece) <= longest:
+            out[piece[:2]] = max(out.get(piece[:2], 1), len(piece))
+    return out
+
+
 def _lattice(words: list[bytes], n: int, vocabulary: str):
     """Spans (i, j) of words of n bytes and their piece ids, -1 for none."""
     index, longest = pieces(vocabulary)
@@ -72,23 +91,103 @@ def _forward(lattice, m: int, n: int, prob: np.ndarray) -> np.ndarray:
     return alpha
 
 
+class _Batch:
+    """The pieces of some long words of any lengths, by where they end."""
+
+    def __init__(self, words: list[bytes], vocabulary: str):
+        (index, _), far = pieces(vocabulary), reach(vocabulary)
+        get, reaches, found = index.get, far.get, []
+        for w, word in enumerate(words):
+            size = len(word)
+            for i in range(size):
+                stop = i + reaches(word[i : i + 2], 1)
+                for j in range(i + 1, (stop if stop < size else size) + 1):
+                    if (k := get(word[i:j])) is not None:
+                        # end, word, bytes and piece as one number, in sorting order
+                        found.append((j << 42) | (w << 27) | ((j - i) << 20) | k)
+        keys = np.sort(np.array(found, np.int64))
+        self.end, self.word, self.piece = keys >> 42, (keys >> 27) & 0x7FFF, keys & 0xFFFFF
+        self.start = self.end - ((keys >> 20) & 0x7F)
+        self.sizes = np.array([len(w) for w in words])
+        self.cuts = np.searchsorted(self.end, np.arange(self.sizes.max() + 2)).tolist()
+
+    def forward(self, prob: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(alpha, p, scale): alpha are the probabilities of the first bytes of
+        each word (bytes + 1, words, languages); every 2^SCALED positions they
+        get a new scale (blocks, words, languages; logarithms), so that words
+        of any length stay in range. p are the pieces' probabilities times what
+        the scales of their two ends differ by."""
+        p = prob[self.piece]
+        alpha = np.zeros((self.sizes.max() + 1, len(self.sizes), prob.shape[1]))
+        alpha[0] = 1
+        scale = np.zeros(((len(alpha) >> SCALED) + 1, *alpha.shape[1:]))
+        shift, origin = np.ones_like(scale), self.start >> SCALED
+        for j in range(1, len(alpha)):
+            block = j >> SCALED
+            if j & ((1 << SCALED) - 1) == 0:
+                top = alpha[j - (1 << SCALED) : j].max(0)
+                scale[block] = scale[block - 1] + np.log(np.where(top > 0, top, 1))
+                near = slice(max(0, block - REACH), block + 1)  # no piece begins before
+                shift[near] = np.exp(np.minimum(scale[near] - scale[block], 600))
+            here = slice(self.cuts[j], self.cuts[j + 1])
+            word = self.word[here]
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            if len(first):
+                p[here] *= shift[origin[here], word]
+                alpha[j, word[first]] = np.add.reduceat(alpha[self.start[here], word] * p[here], first)
+        return alpha, p, scale
+
+    def log_words(self, prob: np.ndarray) -> np.ndarray:
+        alpha, _, scale = self.forward(prob)
+        rows = np.arange(len(self.sizes))
+        return np.log(alpha[self.sizes, rows]) + scale[self.sizes >> SCALED, rows]
+
+    def expected(self, prob: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Expected uses of each piece, (pieces, languages), for words that
+        occur ``weight`` (words, languages) times."""
+        alpha, p, _ = self.forward(prob)
+        at = self.sizes, np.arange(len(self.sizes))
+        beta = np.zeros_like(alpha)
+        beta[at] = weight / np.maximum(alpha[at], 1e-300)
+        for j in range(len(alpha) - 1, 0, -1):
+            here = slice(self.cuts[j], self.cuts[j + 1])
+            word = self.word[here]  # a start and a word occur once per end
+            beta[self.start[here], word] += p[here] * beta[j, word]
+        share = alpha[self.start, self.word] * p * beta[self.end, self.word]
+        columns = [np.bincount(self.piece, share[:, k], len(prob)) for k in range(prob.shape[1])]
+        return np.stack(columns, 1)
+
+
 def _long_word(word: bytes, prob: np.ndarray, vocabulary: str) -> np.ndarray:
-    """Log probability of one long word, rescaled as the forward pass goes."""
-    index, longest = pieces(vocabulary)
-    window = np.zeros((longest, prob.shape[1]))  # alpha of position p at p % longest
+    """Log probability of one very long word, rescaled as the pass goes."""
+    (index, longest), far = pieces(vocabulary), reach(vocabulary)
+    ring = longest + 1
+    window = np.zeros((ring, prob.shape[1]))  # alpha of position p at p % ring
     window[0] = 1
     scale = np.zeros(prob.shape[1])
-    for j in range(1, len(word) + 1):
-        now = np.zeros(prob.shape[1])
-        for i in range(max(0, j - longest), j):
+    for i in range(len(word)):
+        now = window[i % ring].copy()
+        window[i % ring] = 0  # its place is that of position i + ring from here on
+        for j in range(i + 1, min(len(word), i + far.get(word[i : i + 2], 1)) + 1):
             if (k := index.get(word[i:j])) is not None:
-                now += window[i % longest] * prob[k]
-        window[j % longest] = now
-        if j % 8 == 0:
+                window[j % ring] += now * prob[k]
+        if i % 8 == 7:
             top = window.max(0)
             window /= top
             scale += np.log(top)
-    return np.log(window[len(word) % longest]) + scale
+    return np.log(window[len(word) % ring]) + scale
+
+
+def _parts(word: bytes) -> list[bytes]:
+    """A very long word in parts that begin with a character."""
+    out, at = [], 0
+    while len(word) - at > VERY_LONG_WORD:
+        stop = at + VERY_LONG_WORD
+        while word[stop] & 0xC0 == 0x80:
+            stop -= 1
+        out.append(word[at:stop])
+        at = stop
+    return [*out, word[at:]]
 
 
 def log_words(words: list[str], prob: np.ndarray, vocabulary: str) -> np.ndarray:
@@ -98,9 +197,13 @@ def log_words(words: list[str], prob: np.ndarray, vocabulary: str) -> np.ndarray
     coded = [b" " + w.encode() for w in words]
     for k, w in enumerate(coded):
         by_size.setdefault(len(w), []).append(k)
+    long = sorted((n, k) for n, rows in by_size.items() if LONG_WORD < n <= VERY_LONG_WORD for k in rows)
+    for at in range(0, len(long), TOGETHER):
+        rows = [k for _, k in long[at : at + TOGETHER]]
+        out[rows] = _Batch([coded[k] for k in rows], vocabulary).log_words(prob)
     for n, rows in by_size.items():
         if n > LONG_WORD:
-            for k in rows:
+            for k in rows if n > VERY_LONG_WORD else ():
                 out[k] = _long_word(coded[k], prob, vocabulary)
             continue
         own = [coded[k] for k in rows]
@@ -118,11 +221,17 @@ def fit_pieces(counts: dict[tuple[str, str], int], langs: list[str], vocabulary:
     for (lang, word), n in counts.items():
         own = by_size.setdefault(len(word.encode()) + 1, {})
         own.setdefault(word, np.zeros(len(langs)))[column[lang]] += n
-    groups = []
-    for n, own in by_size.items():
+    groups, long = [], []
+    for n, own in sorted(by_size.items()):
+        words = [b" " + w.encode() for w in own]
         if n <= LONG_WORD:
-            words = [b" " + w.encode() for w in own]
             groups.append((n, len(words), _lattice(words, n, vocabulary), np.array(list(own.values()))))
+        else:
+            long += [(part, times) for w, times in zip(words, own.values()) for part in _parts(w)]
+    batches = []
+    for at in range(0, len(long), TOGETHER):
+        words, times = zip(*long[at : at + TOGETHER])
+        batches.append((_Batch(list(words), vocabulary), np.array(times)))
     prob = np.full((size + 1, len(langs)), 1 / size)
     prob[-1] = 0
     for _ in range(ROUNDS):
@@ -139,6 +248,8 @@ def fit_pieces(counts: dict[tuple[str, str], int], langs: list[str], vocabulary:
                     expected[:, k] += np.bincount(ids + 1, share[:, k], size + 1)[
                         np.r_[1 : size + 1, 0]
                     ]
+        for batch, weight in batches:
+            expected += batch.expected(prob, weight)
         expected[-1] = 0
         own = expected / np.maximum(expected.sum(0), 1e-300)
         mean = own.mean(1, keepdims=True)

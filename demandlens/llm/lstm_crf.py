@@ -4,11 +4,29 @@ Sequences have one length; arrays are (time, batch, features)."""
 
 from __future__ import annotations
 
+import ctypes
+from functools import lru_cache
+from pathlib import Path
+
 import numpy as np
 
 FORBIDDEN = -1e4
 
 
+@lru_cache(1)
+def one_thread() -> bool:
+    """Matrix products of this process on one thread: those here are small, and
+    threads that wait for each other's shares of them take more time than they
+    save. True where numpy brings a library that can be told so."""
+    for path in sorted((Path(np.__file__).parent.parent / "numpy.libs").glob("*openblas*")):
+        library = ctypes.CDLL(str(path))
+        for name in ("scipy_openblas_set_num_threads64_", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                return True
+    return False
+
+
 def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -78,34 +96,38 @@ class BiLstmCrf:
 
     def emissions(self, ids: np.ndarray) -> np.ndarray:
         """(time, batch, tags) for ids (batch, time). Equals ``_run`` without
-        what gradients need; features come first, so that rows are contiguous."""
+        what gradients need; features come first, so that rows are contiguous.
+        With sigmoid(x) = (tanh(x / 2) + 1) / 2 gates are kept doubled, the
+        halves taken by the weights and once by the cell."""
+        one_thread()
         p, n, steps = self.p, *ids.shape
         hidden, embed = p["fh"].shape[0], p["e"].shape[1]
         scale = np.ones(4 * hidden, p["e"].dtype)
-        scale[: 3 * hidden] = 0.5  # sigmoid(x) = tanh(x / 2) / 2 + 1 / 2
+        scale[: 3 * hidden] = 0.5
         letters, order = np.ascontiguousarray(p["e"].T), np.ascontiguousarray(ids.T)
         states = np.empty((steps, 2 * hidden, n), scale.dtype)
         for k, d in enumerate("fr"):
-            weights = np.concatenate([p[d + "h"], p[d + "x"], p[d + "b"][None]]) * scale
+            weights = np.concatenate([p[d + "h"] / 2, p[d + "x"], p[d + "b"][None]]) * scale
             weights = np.ascontiguousarray(weights.T)
-            put = np.zeros((hidden + embed + 1, n), scale.dtype)  # state, letter, bias
+            put = np.zeros((hidden + embed + 1, n), scale.dtype)  # doubled state, letter, bias
             put[-1] = 1
+            h, letter = put[:hidden], put[hidden:-1]
             gates, c = np.empty((4 * hidden, n), scale.dtype), np.zeros((hidden, n), scale.dtype)
             i, f, o, g = gates.reshape(4, hidden, n)
+            ifo = gates[: 3 * hidden]
             for t in reversed(range(steps)) if k else range(steps):
-                np.take(letters, order[t], axis=1, out=put[hidden:-1], mode="clip")
+                np.take(letters, order[t], axis=1, out=letter, mode="clip")
                 np.matmul(weights, put, out=gates)
                 np.tanh(gates, out=gates)
-                ifo = gates[: 3 * hidden]
-                ifo *= 0.5
-                ifo += 0.5
+                ifo += 1
                 c *= f
                 i *= g
                 c += i
+                c *= 0.5
                 np.tanh(c, out=g)
-                np.multiply(o, g, out=put[:hidden])
-                states[t, k * hidden : (k + 1) * hidden] = put[:hidden]
-        return (p["w"].T @ states).transpose(0, 2, 1) + p["b"]
+                np.multiply(o, g, out=h)
+                states[t, k * hidden : (k + 1) * hidden] = h
+        return ((p["w"] / 2).T @ states).transpose(0, 2, 1) + p["b"]
 
     def _run(self, ids):
         p = self.p
@@ -130,6 +152,36 @@ class BiLstmCrf:
         a, b, z, _ = self._chain(emit)
         return np.exp(a + b - z[:, None])
 
+    def best_paths(self, emits: list[np.ndarray], together: int = 64) -> list[np.ndarray]:
+        """Best tags of sequences (time, tags) of any lengths, as ``viterbi``
+        gives them, a number of sequences of like length at a time."""
+        trans = self.p["t"] + self.mask
+        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(emits)
+        order = sorted((k for k in range(len(emits)) if len(emits[k])), key=lambda k: len(emits[k]))
+        for first in range(0, len(order), together):
+            group = order[first : first + together]
+            sizes = np.array([len(emits[k]) for k in group])
+            rows = np.arange(len(group))
+            emit = np.zeros((sizes[-1], len(group), trans.shape[0]), emits[group[0]].dtype)
+            for row, k in enumerate(group):
+                emit[: len(emits[k]), row] = emits[k]
+            score = emit[0] + self.start
+            back = np.zeros(emit.shape, np.int64)
+            last = score.argmax(1)
+            for t in range(1, len(emit)):
+                total = score[:, :, None] + trans
+                back[t] = total.argmax(1)
+                score = np.take_along_axis(total, back[t][:, None], 1)[:, 0] + emit[t]
+                last = np.where(t < sizes, score.argmax(1), last)
+            tags = np.zeros((len(emit), len(group)), np.int64)
+            tag = last
+            for t in range(len(emit) - 1, -1, -1):
+                tags[t] = tag
+                tag = np.where(t < sizes, back[t][rows, tag], tag)
+            for row, k in enumerate(group):
+                out[k] = tags[: sizes[row], row]
+        return out
+
     def viterbi(self, emit: np.ndarray) -> np.ndarray:
         """Best tags of one sequence, emit (time, tags)."""
         trans = self.p["t"] + self.mask
@@ -174,6 +226,7 @@ class BiLstmCrf:
 
     def fit(self, ids, tags, steps=300, batch=128, rate=0.02, seed=11) -> float:
         """Adam; returns the mean loss of the last steps."""
+        one_thread()
         rng = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         v = {k: np.zeros_like(x) for k, x in self.p.items()}

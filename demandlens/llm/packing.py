@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandlens.llm.chunks import library_encoder
+from demandlens.llm.chunks import ranked_encoder
 from demandlens.llm.common import arrow_map, id_text
 
 CAPACITY = 1024
@@ -43,20 +43,19 @@ def pieces(
     """(doc_id, salt, piece, start, length, ids_crc32) of (doc_id, text)."""
 
     def run(batches):
-        encode = library_encoder(vocabulary, "byte")
+        encode = ranked_encoder(vocabulary)
         end = np.asarray([end_id], "<u4").tobytes()
         row = 0
         for batch in batches:
             out: list[tuple] = []
             ids_col, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for at in range(0, len(texts), 32):
-                for doc, ids in zip(ids_col[at : at + 32], encode(texts[at : at + 32])):
-                    data, start = memoryview(ids + end), 0
-                    for k, n in enumerate(cut_lengths(len(data) // 4, capacity)):
-                        crc = zlib.crc32(data[4 * start : 4 * (start + n)])
-                        out.append((doc, row, k, start, n, crc))
-                        start += n
-                    row += 1
+            for doc, text in zip(ids_col, texts):
+                data, start = memoryview(encode(text) + end), 0
+                for k, n in enumerate(cut_lengths(len(data) // 4, capacity)):
+                    crc = zlib.crc32(data[4 * start : 4 * (start + n)])
+                    out.append((doc, row, k, start, n, crc))
+                    start += n
+                row += 1
             cols = list(zip(*out)) if out else [[]] * 6
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(

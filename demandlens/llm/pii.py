@@ -31,10 +31,12 @@ from demandlens.llm.common import arrow_map, id_text
 from demandlens.llm.lstm_crf import BiLstmCrf
 
 KINDS = ("email", "ip", "card", "phone")
-#: Window length and step of the tagger, characters decoded around what may be a span.
-WINDOW, STEP, REACH = 64, 32, 32
-#: Windows tagged together (memory bound) and mean marginal of an added span.
-TOGETHER, CONFIDENT = 1024, 0.95
+#: Length of training windows, length and step of the windows over a text, and
+#: characters decoded around what may be a span.
+WINDOW, SPAN, STEP, REACH = 64, 128, 96, 32
+#: Windows tagged together (what fits a processor's cache) and mean marginal of
+#: an added span.
+TOGETHER, CONFIDENT = 256, 0.95
 #: Characters whose emissions are held together, unless one text has more.
 HELD = 1 << 17
 #: Documents that training contexts and labelled spans are drawn from.
@@ -271,10 +273,14 @@ def training_windows(texts: list[str], n: int = 3000, seed: int = 5) -> tuple[np
     return np.stack(ids), np.stack(tags)
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 1200) -> BiLstmCrf:
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 1200) -> BiLstmCrf | None:
     """A tagger from (doc_id, text) rows: about ``sample_docs`` whole texts,
-    drawn at random with a fixed seed, give the contexts and base spans."""
-    drawn = docs.filter(F.rand(seed=7) < sample_docs / max(1, docs.count())).select("text")
+    drawn at random with a fixed seed, give the contexts and base spans. None
+    for an empty table."""
+    rows = docs.count()
+    if not rows:
+        return None
+    drawn = docs.filter(F.rand(seed=7) < sample_docs / rows).select("text")
     texts = [r[0] for r in drawn.toLocalIterator()]
     model = BiLstmCrf(SYMBOLS, *_allowed())
     model.fit(*training_windows(sorted(texts)), steps=steps)
@@ -309,49 +315,38 @@ def _around(marked: np.ndarray) -> list[tuple[int, int]]:
     return [(max(0, int(a) - REACH), min(len(marked), int(b) + 1 + REACH)) for a, b in zip(first, last)]
 
 
-_WEIGHT = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1)).astype(np.float32)
+#: Windows count most at their middle; their first and last characters, which
+#: the tagger sees without context, least.
+_WEIGHT = np.minimum(np.arange(1, SPAN + 1), np.arange(SPAN, 0, -1)).astype(np.float32)[:, None]
 
 
 def _emissions(model: BiLstmCrf, parts: list[str]) -> list[np.ndarray]:
-    """Per part (characters, tags): the windows' emissions, averaged."""
-    windows, places, sizes = [], [], []
-    for p in parts:
-        code = symbols(p)
-        sizes.append(len(code))
-        padded = np.full(max(WINDOW, len(code)), 32, np.uint8)
-        padded[: len(code)] = code
-        last = max(0, len(code) - WINDOW)
-        at = np.arange(0, last + 1, STEP)
-        if at[-1] != last:
-            at = np.append(at, last)
-        windows.append(np.lib.stride_tricks.sliding_window_view(padded, WINDOW)[at])
-        places.append(at)
-    ids = np.concatenate(windows)
-    emit = np.empty((len(ids), WINDOW, TAGS), np.float32)
-    for first in range(0, len(ids), TOGETHER):
-        got = model.emissions(ids[first : first + TOGETHER].astype(np.int64))
-        emit[first : first + TOGETHER] = got.transpose(1, 0, 2)
-    emit *= _WEIGHT[:, None]
-    out, first = [], 0
-    for n, at in zip(sizes, places):
-        own = emit[first : first + len(at)]
-        first += len(at)
-        sums = np.zeros((max(n, WINDOW), TAGS), np.float32)
-        weights = np.zeros(len(sums), np.float32)
-        for k in range(0, WINDOW, STEP):  # the k-th parts of windows do not overlap, but for the last window
-            size = min(STEP, WINDOW - k)
-            even = len(at) - 1
-            if even and size == STEP:
-                sums[k : k + even * STEP] += own[:even, k : k + STEP].reshape(-1, TAGS)
-                weights[k : k + even * STEP] += np.tile(_WEIGHT[k : k + STEP], even)
-            else:
-                for j in range(even):
-                    sums[at[j] + k : at[j] + k + size] += own[j, k : k + size]
-                    weights[at[j] + k : at[j] + k + size] += _WEIGHT[k : k + size]
-        sums[at[-1] : at[-1] + WINDOW] += own[-1]
-        weights[at[-1] : at[-1] + WINDOW] += _WEIGHT
-        out.append((sums / weights[:, None])[:n])
-    return out
+    """Per part (characters, tags): the windows' emissions, averaged. Parts lie
+    one after the other in cells of STEP characters, filled up with blanks; a
+    window begins with a cell and reaches into the next one. Windows are tagged
+    a few at a time and added up at once, so besides the averages only those
+    few are held, however long a part is."""
+    codes = [symbols(p) for p in parts]
+    windows = np.array([1 + max(0, -(-(len(c) - SPAN) // STEP)) for c in codes])
+    cells = windows + 1  # the last window's end is in a cell of its own
+    first = np.concatenate([[0], np.cumsum(cells)])
+    ids = np.full((first[-1] + 1) * STEP, 32, np.uint8)
+    for code, cell in zip(codes, first * STEP):
+        ids[cell : cell + len(code)] = code
+    at = np.concatenate([np.arange(c, c + n) for c, n in zip(first, windows)])
+    view = np.lib.stride_tricks.sliding_window_view(ids, SPAN)[::STEP]
+    sums, weights = np.zeros((first[-1], STEP, TAGS), np.float32), np.zeros((first[-1], STEP, 1), np.float32)
+    over = SPAN - STEP
+    for k in range(0, len(at), TOGETHER):
+        cell = at[k : k + TOGETHER]
+        got = model.emissions(view[cell]).transpose(1, 0, 2) * _WEIGHT
+        sums[cell] += got[:, :STEP]
+        sums[cell + 1, :over] += got[:, STEP:]
+        weights[cell] += _WEIGHT[:STEP]
+        weights[cell + 1, :over] += _WEIGHT[STEP:]
+    sums /= np.maximum(weights, 1)
+    flat = sums.reshape(-1, TAGS)
+    return [flat[c * STEP : c * STEP + len(code)] for c, code in zip(first, codes)]
 
 
 _SPELLED = re.compile(r"[\s(\[]*\bdot\b[\s)\]]*", re.I)
@@ -386,33 +381,21 @@ def formed(kind: int, s: str) -> int:
     return len(s) if 12 <= len(number) <= 19 and luhn(number) else 0
 
 
-def _decoded(model: BiLstmCrf, text: str, emit: np.ndarray) -> list[tuple[int, int, int]]:
-    """Spans on the best path of the whole text."""
-    found = []
-    for a, b in _around(unsure(model, emit)):
-        tags = model.viterbi(emit[a:b])
-        if not tags.any():
-            continue
-        sure = model.marginals(emit[a:b, None].astype(np.float64))[:, 0]
-        at = 0
-        while at < len(tags):
-            if tags[at] % 2 == 0:
-                at += 1
-                continue
-            end = at + 1
-            while end < len(tags) and tags[end] == tags[at] + 1:
-                end += 1
-            kind = int(tags[at] - 1) // 2
-            mean = sure[np.arange(at, end), tags[at:end]].mean()
-            size = formed(kind, text[a + at : a + end]) if mean >= CONFIDENT else 0
-            if size:
-                found.append((a + at, kind, a + at + size))
-            at = end
-    return found
+def _spans_on(tags: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the spans of a path."""
+    starts = np.flatnonzero(tags % 2 == 1)
+    out = []
+    for at in starts.tolist():
+        end = at + 1
+        while end < len(tags) and tags[end] == tags[at] + 1:
+            end += 1
+        out.append((at, int(tags[at] - 1) // 2, end))
+    return out
 
 
 def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """Spans that the tagger finds in each text, all kinds, sorted."""
+    """Spans that the tagger finds in each text, all kinds, sorted: those on
+    the best path of the whole text that are confident and of their form."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     own: list[int] = []
     held = 0
@@ -421,8 +404,20 @@ def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int
             own.append(k)
             held += len(text)
         if own and (held >= HELD or k == len(texts) - 1):
-            for j, emit in zip(own, _emissions(model, [texts[j] for j in own])):
-                found[j] = _decoded(model, texts[j], emit)
+            regions = [
+                (j, a, emit[a:b])
+                for j, emit in zip(own, _emissions(model, [texts[j] for j in own]))
+                for a, b in _around(unsure(model, emit))
+            ]
+            for (j, a, emit), tags in zip(regions, model.best_paths([r[2] for r in regions])):
+                if not tags.any():
+                    continue
+                sure = model.marginals(emit[:, None].astype(np.float64))[:, 0]
+                for at, kind, end in _spans_on(tags):
+                    mean = sure[np.arange(at, end), tags[at:end]].mean()
+                    size = formed(kind, texts[j][a + at : a + end]) if mean >= CONFIDENT else 0
+                    if size:
+                        found[j].append((a + at, kind, a + at + size))
             own, held = [], 0
     return found
 

@@ -260,6 +260,27 @@ def test_pipeline_stages(spark, odd_docs):
     assert {r.doc_id for r in pieces.collect()} == {5, 7, 9, 10, None}
 
 
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark):
+    other = [f"{w} quite another text about {w} and nothing else that could be alike" for w in ("one", "two", "three")]
+    same = "the very same text of some words in two copies and more"
+    rows = [(1, other[0], "a"), (2, other[1], "b"), (2, other[2], "c")]  # an id with different texts
+    rows += [(None, same, "d")] * 5 + [(9, same, "e"), (7, same, "f"), (7, same, "f")]
+    rows += [(None, "only rows without an id have this text of a few words", str(k)) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row string").repartition(4)
+    kept = corpus_pipeline.near_duplicate_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted([tuple(r)[:2] for r in kept.collect()], key=str)
+    assert got == sorted([(1, other[0]), (2, other[1]), (2, other[2]), (7, same), (None, rows[-1][1])], key=str)
+    assert corpus_pipeline.near_duplicate_stage(spark, docs.limit(0), "").collect() == []
+
+
+def test_pipeline_on_an_empty_table_and_null_texts(spark, no_docs, tmp_path):
+    nulls = spark.createDataFrame([(1, None, None, 0), (None, None, "en", 0), (2, "", "en", 0)], no_docs.schema)
+    for name, docs in (("none", no_docs), ("null", nulls)):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        assert corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect() == []
+
+
 def test_pipeline_on_the_documents(spark):
     """Against brute force: groups by fingerprint, one document of each."""
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

@@ -301,6 +301,39 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(langid.log_words([long], prob, name)).all()
 
 
+def _log_forward(word, prob, index):
+    sums = [np.zeros(prob.shape[1])]
+    for j in range(1, len(word) + 1):
+        ways = [sums[i] + np.log(prob[index[word[i:j]]]) for i in range(max(0, j - 64), j) if word[i:j] in index]
+        sums.append(np.logaddexp.reduce(ways))
+    return sums[-1]
+
+
+def test_long_words_of_any_length_are_scored_whole():
+    name = "byte_bpe_multi_50k.tiktoken"
+    index, _ = langid.pieces(name)
+    rng = np.random.default_rng(2)
+    prob = np.vstack([rng.dirichlet(np.ones(max(index.values()) + 1), 3).T, np.zeros((1, 3))])
+    words = ["中文" * k for k in (6, 7, 30)] + ["abcdefgh" * 9, "é" * 90, "x" * 300, "日本語" * 99, "a"]
+    got = langid.log_words(words, prob, name)
+    assert np.allclose(got, [_log_forward(b" " + w.encode(), prob, index) for w in words])
+
+
+def test_long_words_are_learned_from(monkeypatch):
+    name = "byte_bpe_multi_50k.tiktoken"
+    counts = {("zh", "中国人民的历史和文化是什么样子呢"): 3, ("zh", "他们说我们不知道" * 20): 1}
+    counts |= {("ja", "これは日本語の文章です。".strip("。") * 3): 2, ("en", "the"): 5, ("en", "queue"): 2}
+    prob = langid.fit_pieces(counts, ["en", "ja", "zh"], name)
+    assert langid.log_words(["我们知道中国的历史文化"], prob, name)[0].argmax() == 2
+    assert langid.log_words(["これは文章"], prob, name)[0].argmax() == 1
+    # both ways of expectation give the same, and parts of a word are all of it
+    monkeypatch.setattr(langid, "LONG_WORD", 4)
+    assert np.allclose(prob, langid.fit_pieces(counts, ["en", "ja", "zh"], name))
+    word = ("é" * 500 + "中" * 77).encode()
+    parts = langid._parts(word)
+    assert b"".join(parts) == word and all(p.decode() and len(p) <= langid.VERY_LONG_WORD for p in parts)
+
+
 def test_language_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
@@ -343,6 +376,38 @@ def test_best_path_of_the_whole_text_is_found_in_parts():
     assert skipped > 100
 
 
+def test_paths_together_equal_paths_one_by_one():
+    rng = np.random.default_rng(9)
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    model.p["t"] = rng.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+    emits = [rng.standard_normal((n, pii.TAGS)).astype(np.float32) * 4 for n in rng.integers(1, 70, 40)]
+    emits += [np.empty((0, pii.TAGS), np.float32)]
+    for together in (1, 7, 64):
+        for emit, path in zip(emits, model.best_paths(emits, together)):
+            assert len(emit) == len(path) and (not len(emit) or (path == model.viterbi(emit)).all())
+
+
+def test_windows_cover_every_character():
+    """Averaged emissions of a text are those of its windows, whatever lies
+    beside it and however few windows are tagged together."""
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(list("ab1 @.é"), n)) for n in (1, 95, 96, 97, 128, 129, 224, 225, 1000)]
+    for text, got in zip(texts, pii._emissions(model, texts)):
+        sums, weights = np.zeros((len(text) + 300, pii.TAGS)), np.zeros((len(text) + 300, 1))
+        padded = np.full(len(sums), 32, np.uint8)
+        padded[: len(text)] = pii.symbols(text)
+        at = 0
+        while True:
+            window = model._run(padded[None, at : at + pii.SPAN].astype(np.int64))[0][:, 0]
+            sums[at : at + pii.SPAN] += window * pii._WEIGHT
+            weights[at : at + pii.SPAN] += pii._WEIGHT
+            if at + pii.SPAN >= len(text):
+                break
+            at += pii.STEP
+        assert np.allclose(got, (sums / np.maximum(weights, 1))[: len(text)], atol=1e-3)
+
+
 def test_fast_emissions_equal_those_of_training():
     model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
     ids = np.random.default_rng(1).integers(0, pii.SYMBOLS, (5, pii.WINDOW))
