@@ -5,8 +5,10 @@ as Parquet in the shared folder before the next one reads it:
 
 1. language identification: documents without any letter (no language) go;
    the others carry the language found;
-2. SimHash near-duplicates: of each group the document with the smallest id
-   stays (rows that repeat an id are one document; rows without an id stay);
+2. SimHash near-duplicates: of each group one row stays, the one with the
+   smallest id (rows without an id come last; of rows that share the smallest
+   id, texts and all, any one). Every row is a document of its own, so rows
+   that repeat an id in different groups all stay, one for each group;
 3. personal data: spans are replaced by the name of their kind;
 4. best-fit packing: one row per piece of at most 1024 tokens.
 """
@@ -30,16 +32,27 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of linked fingerprints."""
+    """Keeps one row of each group of linked fingerprints."""
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    # rows are numbered once, in a written table: the numbers must not change
+    path = scratch_path(spark, "numbered")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
     path = scratch_path(spark, "groups")
-    golay.near_duplicates(docs).select("doc_id", "component_id").write.parquet(path)
-    groups = spark.read.parquet(path)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi")
-    if groups.filter("doc_id = component_id").count() > kept.count():
-        out = out.dropDuplicates(["doc_id"])  # an id occurs more than once
-    out = out.union(docs.filter("doc_id is null").select(*out.columns))
-    return out.select(*docs.columns)
+    golay.near_duplicates(numbered, id_col=row).select(
+        F.col("doc_id").alias(row), F.col("component_id").alias("component")
+    ).write.parquet(path)
+    first = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", row)
+    kept = (
+        spark.read.parquet(path)
+        .join(numbered.select(F.col("doc_id").cast("long"), row), row)
+        .groupBy("component")
+        .agg(F.min(first).alias("first"))
+        .select(F.col("first")[row].alias(row))
+    )
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
