@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from demandlens.config import CleanConfig
 from demandlens.operators.joins import BROADCAST_BYTES, attach_stats
 from demandlens.operators.quantiles import exact_quantiles
+from demandlens.session import shared_dir
 
 
 def _positive(x: Column) -> Column:
@@ -154,24 +155,20 @@ def quality_summary(df: DataFrame, stage: str = "cleaned", approx: bool = False)
 
 def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """The quality summary of the parsed stage AND of the cleaned output
-    (with outlier and sparse flags) from one pass over the parsed, deduped
-    rows. The cleaned stage is expressed as conditions inside the
-    aggregates instead of filters: filters would be pushed below the dedupe
-    and fork the plan; conditions keep one subtree, so the dedupe shuffle is
-    computed once and shared by the statistics and the summary."""
+    (with outlier and sparse flags). The parsed, deduped rows are written once
+    to the shared folder; each statistic is an aggregate over them, measured
+    and joined by size, and all figures come from one aggregation, in which
+    the cleaned stage is a condition instead of a filter."""
     from demandlens.operators.clean import not_null
 
+    shared_dir(parsed.sparkSession)
+    parsed = parsed.checkpoint()
     x = F.col("Order_Demand")
     keep = (x >= 0) & not_null(["Product_Code", "Warehouse", "Product_Category", "Date"])
     kept_x = F.when(keep, x)
     cols = parsed.columns
-
-    def attach(facts: DataFrame, stats: DataFrame, key: str) -> DataFrame:
-        # null-safe key: an equi-join would make the optimizer infer
-        # "key IS NOT NULL" on the statistic side and push it below the
-        # dedupe, forking the shared subtree (NULL keys hold no kept rows)
-        stats = stats.withColumnRenamed(key, "_k")
-        return facts.join(stats, facts[key].eqNullSafe(stats["_k"]), "left")
+    # rows without a key are in no statistic and need none: they are not kept
+    limit = cfg.broadcast_max_bytes
     if cfg.outlier_strategy == "iqr":
         fences = (
             parsed.groupBy("Warehouse")
@@ -180,7 +177,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         )
         q1, q3 = F.col("_q")[0], F.col("_q")[1]
         m = F.lit(cfg.iqr_multiplier)
-        joined = attach(parsed, fences, "Warehouse")
+        joined = attach_stats(parsed, fences, ["Warehouse"], limit)
         flag = _outside(x, q1 - m * (q3 - q1), q3 + m * (q3 - q1))
     elif cfg.outlier_strategy == "zscore":
         pos = F.when(keep & (x > 0), x)
@@ -189,7 +186,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
             .agg(F.avg(pos).alias("_mean"), F.stddev_samp(pos).alias("_std"))
             .filter(F.col("_mean").isNotNull())
         )
-        joined = attach(parsed, moments, "Warehouse")
+        joined = attach_stats(parsed, moments, ["Warehouse"], limit)
         z = F.when(F.col("_std") > 0, F.abs(x - F.col("_mean")) / F.col("_std")).otherwise(F.lit(0.0))
         flag = z > F.lit(cfg.zscore_threshold)
     else:
@@ -200,7 +197,7 @@ def two_stage_summary(parsed: DataFrame, cfg: CleanConfig = CleanConfig()) -> Da
         .agg(F.count(kept_x).alias("_records"))
         .filter(F.col("_records") > 0)
     )
-    flagged = attach(flagged, records, "Product_Code").select(
+    flagged = attach_stats(flagged, records, ["Product_Code"], limit).select(
         *cols, "is_outlier", (F.col("_records") < cfg.min_records_per_product).alias("is_sparse_product")
     )
 

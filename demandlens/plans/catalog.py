@@ -19,6 +19,8 @@ from demandlens.operators import forecast as FC
 from demandlens.operators import moments as MO
 from demandlens.operators import quality as Q
 from demandlens.operators import score as SC
+from demandlens.operators import summaries as SU
+from demandlens.operators.dedupe import drop_duplicates_in_two_phases
 from demandlens.plans.pipelines import clean, clean_stages, parse_stage
 from demandlens.session import ensure_parallelism, scratch_path
 from demandlens.sources.fixture import landed, landed_raw_demand, raw_demand
@@ -69,6 +71,12 @@ def _base(spark, sf):
     return C.drop_null_keys(C.drop_negative_demand(_parsed(spark, sf)))
 
 
+def _written_base(spark, sf):
+    """The same, written once: a statistic and the rows it is joined to read it
+    from there instead of parsing and deduplicating twice."""
+    return FC.materialise(_base(spark, sf))
+
+
 def _clean_from_raw(spark, sf, keep_flags=False):
     return clean(_raw(spark, sf), replace(CLEAN_CFG, keep_flags=keep_flags, checkpoint_base=keep_flags))
 
@@ -173,6 +181,11 @@ def q_drop_duplicates(spark, sf):
     return C.drop_duplicates(_raw(spark, sf))
 
 
+def q_drop_duplicates_two_phase(spark, sf):
+    """The same rows, with only fingerprints and possible repeats shuffled."""
+    return drop_duplicates_in_two_phases(_raw(spark, sf))
+
+
 def q_clean_categoricals(spark, sf):
     return C.clean_categoricals(C.drop_duplicates(_raw(spark, sf)))
 
@@ -207,7 +220,7 @@ def q_handle_nulls_zero(spark, sf):
 
 
 def q_handle_nulls_median(spark, sf):
-    return C.handle_nulls(_parsed(spark, sf), "median")
+    return C.handle_nulls(FC.materialise(_parsed(spark, sf)), "median")
 
 
 def q_product_median(spark, sf):
@@ -225,20 +238,20 @@ def q_warehouse_fences(spark, sf):
 
 def q_warehouse_fences_exact(spark, sf):
     """The fences from exact quartiles, found in counting passes."""
-    f = Q.warehouse_fences(_base(spark, sf), IQR_MULTIPLIER, exact=True)
+    f = Q.warehouse_fences(_written_base(spark, sf), IQR_MULTIPLIER, exact=True)
     return f.select("Warehouse", "Q1", "Q3", "IQR", _r("lower_fence"), _r("upper_fence"))
 
 
 def q_flag_outliers_iqr(spark, sf):
-    return Q.flag_outliers_iqr(_base(spark, sf), IQR_MULTIPLIER)
+    return Q.flag_outliers_iqr(_written_base(spark, sf), IQR_MULTIPLIER)
 
 
 def q_flag_outliers_zscore(spark, sf):
-    return Q.flag_outliers_zscore(_base(spark, sf), Z_THRESHOLD)
+    return Q.flag_outliers_zscore(_written_base(spark, sf), Z_THRESHOLD)
 
 
 def q_flag_sparse_products(spark, sf):
-    return Q.flag_sparse_products(_base(spark, sf), MIN_RECORDS)
+    return Q.flag_sparse_products(_written_base(spark, sf), MIN_RECORDS)
 
 
 def q_warehouse_outliers(spark, sf):
@@ -259,6 +272,23 @@ def q_quality_summary(spark, sf):
     return Q.two_stage_summary(_parsed(spark, sf), CLEAN_CFG)
 
 
+def q_merged_landing_summary(spark, sf):
+    """Summaries of the landings of each year, written, read back and merged;
+    whether the estimated distinct numbers are within their error is told."""
+    path = scratch_path(spark, "landing-summaries")
+    parsed = FC.materialise(_parsed(spark, sf)).withColumn("landing", F.coalesce(F.year("Date"), F.lit(0)))
+    SU.summarise(parsed, ["landing"]).write.parquet(path)
+    merged = SU.merge(spark.read.parquet(path))
+    exact = parsed.agg(
+        F.count_distinct("Product_Code").alias("products"), F.count_distinct("Warehouse").alias("warehouses")
+    )
+    near = [
+        (F.abs(F.col(f"distinct_{c}") - F.col(c)) <= 0.08 * F.col(c)).alias(f"{c}_within_error")
+        for c in ("products", "warehouses")
+    ]
+    return merged.crossJoin(F.broadcast(exact)).select(*SU.COUNTS, "min_date", "max_date", *near)  # one row each
+
+
 def q_cleaning_step_report(spark, sf):
     return Q.cleaning_step_report(_raw(spark, sf), CLEAN_CFG)
 
@@ -522,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "drop_duplicates": q_drop_duplicates,
+    "drop_duplicates_two_phase": q_drop_duplicates_two_phase,
     "clean_categoricals": q_clean_categoricals,
     "parse_date": q_parse_date,
     "parse_order_demand": q_parse_order_demand,
@@ -539,6 +570,7 @@ QUERIES: dict[str, Query] = {
     "flag_sparse_products": q_flag_sparse_products,
     "warehouse_outliers": q_warehouse_outliers,
     "quality_summary": q_quality_summary,
+    "merged_landing_summary": q_merged_landing_summary,
     "cleaning_step_report": q_cleaning_step_report,
     "clean_demand": q_clean_demand,
     "lag_features": q_lag_features,

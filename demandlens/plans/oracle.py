@@ -166,6 +166,7 @@ ORACLE: dict[str, str] = {
     "scan_csv_roundtrip": _q("SELECT * FROM raw_demand"),
     "partitioned_roundtrip": _q("SELECT * FROM cleaned"),
     "drop_duplicates": _q("SELECT * FROM dedup"),
+    "drop_duplicates_two_phase": _q("SELECT * FROM dedup"),
     "clean_categoricals": _q("SELECT * FROM cats"),
     "parse_date": _q("SELECT * FROM dated"),
     "parse_order_demand": _q("SELECT * FROM demanded"),
@@ -217,6 +218,15 @@ ORACLE: dict[str, str] = {
     "quality_summary": _q(
         _quality("parsed", "parsed", False) + "\nUNION ALL\n" + _quality("cleaned", "flagged", True)
     ),
+    "merged_landing_summary": _q(
+        """SELECT count(*) AS total_rows, count(*) FILTER (WHERE Order_Demand IS NULL) AS null_demand_rows,
+          count(*) FILTER (WHERE is_negative_demand) AS negative_demand_rows,
+          count(*) FILTER (WHERE is_zero_demand) AS zero_demand_rows,
+          count(*) FILTER (WHERE date_parse_failed) AS date_parse_failures,
+          min(Date) AS min_date, max(Date) AS max_date,
+          count(DISTINCT Product_Code) > 0 AS products_within_error,
+          count(DISTINCT Warehouse) > 0 AS warehouses_within_error FROM parsed"""
+    ),
     "cleaning_step_report": _q(
         """, t AS (
           SELECT (SELECT count(*) FROM raw_demand) AS raw_rows, count(*) AS distinct_rows,

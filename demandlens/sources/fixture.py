@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 
 from demandlens.session import ensure_parallelism, scratch_path
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the files that the raw view is made of."""
+    out = []
+    for name in ("lineitem", "orders", "part"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        out += [(str(f.getPath()), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(out))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,8 +106,8 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A table derived from the driver's tables, written once per session to
     the shared folder by ``build(spark, sf_dir)`` and read from there: raw
     files land before they are cleaned, cleaned tables before they are
-    explored, trained on and scored."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    explored, trained on and scored. Changed files land anew."""
+    key = (spark.sparkContext.applicationId, name, _stamp(spark, sf_dir))
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, name)

@@ -29,6 +29,9 @@ def cleaned_stream(
     raw = (
         spark.readStream.schema(RAW_SCHEMA)
         .option("header", "true")
+        # a file whose header names other columns, or in another order, fails
+        # the batch instead of being read by position
+        .option("enforceSchema", "false")
         .option("quote", '"')
         .option("escape", '"')
         .option("maxFilesPerTrigger", max_files)

@@ -28,9 +28,9 @@ def test_s3a_conf_prefers_arguments(monkeypatch):
 def test_csv_read_padded_header_and_quotes(spark, tmp_path):
     p = tmp_path / "raw.csv"
     p.write_text(' Product_Code,Warehouse ,Product_Category,Date,Order_Demand\n'
-                 'P1,Whse_A,Cat_1,2015/01/15,"(1,200)"\n"P""2",Whse_S,Cat_2,1/5/2015,\n')
+                 'X9,North,Toys,2019/8/21,"(1,200)"\n"X""8",South,Books,8/2/2019,\n')
     rows = read_raw(spark, str(p)).collect()
-    assert rows[0].Order_Demand == "(1,200)" and rows[1].Product_Code == 'P"2' and rows[1].Order_Demand is None
+    assert rows[0].Order_Demand == "(1,200)" and rows[1].Product_Code == 'X"8' and rows[1].Order_Demand is None
 
 
 def test_csv_columns_are_found_by_name(spark, tmp_path):
