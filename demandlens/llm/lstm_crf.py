@@ -152,36 +152,66 @@ class BiLstmCrf:
         a, b, z, _ = self._chain(emit)
         return np.exp(a + b - z[:, None])
 
-    def best_paths(self, emits: list[np.ndarray], together: int = 64) -> list[np.ndarray]:
-        """Best tags of sequences (time, tags) of any lengths, as ``viterbi``
-        gives them, a number of sequences of like length at a time."""
-        trans = self.p["t"] + self.mask
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(emits)
+    def _together(self, emits: list[np.ndarray], together: int):
+        """(indices, sizes, emissions (time, sequences, tags) filled up with
+        zeros) of some non-empty sequences of like length at a time."""
         order = sorted((k for k in range(len(emits)) if len(emits[k])), key=lambda k: len(emits[k]))
         for first in range(0, len(order), together):
             group = order[first : first + together]
             sizes = np.array([len(emits[k]) for k in group])
-            rows = np.arange(len(group))
-            emit = np.zeros((sizes[-1], len(group), trans.shape[0]), emits[group[0]].dtype)
+            emit = np.zeros((sizes[-1], len(group), len(self.start)), emits[group[0]].dtype)
             for row, k in enumerate(group):
                 emit[: len(emits[k]), row] = emits[k]
+            yield group, sizes, emit
+
+    def best_paths(self, emits: list[np.ndarray], together: int = 64) -> list[np.ndarray]:
+        """Best tags of sequences (time, tags) of any lengths, as ``viterbi``
+        gives them."""
+        trans = np.ascontiguousarray((self.p["t"] + self.mask).T)  # to, from
+        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(emits)
+        for group, sizes, emit in self._together(emits, together):
+            rows, columns = np.arange(len(group))[:, None], np.arange(len(trans))
             score = emit[0] + self.start
             back = np.zeros(emit.shape, np.int64)
             last = score.argmax(1)
             for t in range(1, len(emit)):
-                total = score[:, :, None] + trans
-                back[t] = total.argmax(1)
-                score = np.take_along_axis(total, back[t][:, None], 1)[:, 0] + emit[t]
+                total = score[:, None, :] + trans
+                back[t] = total.argmax(2)
+                score = total[rows, columns, back[t]] + emit[t]
                 last = np.where(t < sizes, score.argmax(1), last)
             tags = np.zeros((len(emit), len(group)), np.int64)
             tag = last
             for t in range(len(emit) - 1, -1, -1):
                 tags[t] = tag
-                tag = np.where(t < sizes, back[t][rows, tag], tag)
+                tag = np.where(t < sizes, back[t][rows[:, 0], tag], tag)
             for row, k in enumerate(group):
                 out[k] = tags[: sizes[row], row]
         return out
 
+    def all_marginals(self, emits: list[np.ndarray], together: int = 64) -> list[np.ndarray]:
+        """Tag probabilities (time, tags) of sequences of any lengths, as
+        ``marginals`` gives them; sums are scaled anew at every step."""
+        step = np.exp((self.p["t"] + self.mask).astype(np.float64))
+        out: list[np.ndarray] = [np.empty((0, len(step)))] * len(emits)
+        for group, sizes, emit in self._together(emits, together):
+            likely = emit.astype(np.float64)
+            likely = np.exp(likely - likely.max(2, keepdims=True))
+            before, after = np.empty_like(likely), np.ones_like(likely)
+            before[0] = likely[0] * np.exp(self.start.astype(np.float64))
+            before[0] /= before[0].sum(1, keepdims=True)
+            for t in range(1, len(emit)):
+                now = (before[t - 1] @ step) * likely[t]
+                before[t] = now / now.sum(1, keepdims=True)
+            for t in range(len(emit) - 2, -1, -1):
+                now = (likely[t + 1] * after[t + 1]) @ step.T
+                now /= now.max(1, keepdims=True)
+                after[t] = np.where((t < sizes - 1)[:, None], now, 1.0)
+            both = before * after
+            both /= both.sum(2, keepdims=True)
+            for row, k in enumerate(group):
+                out[k] = both[: sizes[row], row]
+        return out
+
     def viterbi(self, emit: np.ndarray) -> np.ndarray:
         """Best tags of one sequence, emit (time, tags)."""
         trans = self.p["t"] + self.mask

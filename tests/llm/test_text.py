@@ -385,6 +385,10 @@ def test_paths_together_equal_paths_one_by_one():
     for together in (1, 7, 64):
         for emit, path in zip(emits, model.best_paths(emits, together)):
             assert len(emit) == len(path) and (not len(emit) or (path == model.viterbi(emit)).all())
+        for emit, sure in zip(emits, model.all_marginals(emits, together)):
+            assert len(emit) == len(sure)
+            if len(emit):
+                assert np.allclose(sure, model.marginals(emit[:, None].astype(np.float64))[:, 0])
 
 
 def test_windows_cover_every_character():
@@ -392,9 +396,11 @@ def test_windows_cover_every_character():
     beside it and however few windows are tagged together."""
     model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
     rng = np.random.default_rng(3)
-    texts = ["".join(rng.choice(list("ab1 @.é"), n)) for n in (1, 95, 96, 97, 128, 129, 224, 225, 1000)]
+    sizes = (1, pii.STEP - 1, pii.STEP, pii.STEP + 1, pii.SPAN, pii.SPAN + 1, pii.SPAN + pii.STEP, 2000)
+    texts = ["".join(rng.choice(list("ab1 @.é"), n)) for n in sizes]
     for text, got in zip(texts, pii._emissions(model, texts)):
-        sums, weights = np.zeros((len(text) + 300, pii.TAGS)), np.zeros((len(text) + 300, 1))
+        room = len(text) + 2 * pii.SPAN
+        sums, weights = np.zeros((room, pii.TAGS)), np.zeros((room, 1))
         padded = np.full(len(sums), 32, np.uint8)
         padded[: len(text)] = pii.symbols(text)
         at = 0
