@@ -37,6 +37,7 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
+_UNENDED = re.compile(r"<[!?/]")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -81,6 +82,7 @@ def parse(page: str) -> list[Node]:
     White space in a text block is one blank; empty blocks are left out."""
     nodes = [Node("html", (), -1)]
     stack = [("html", 0)]  # open elements and their block node
+    opened: dict[str, int] = {}  # how many of each are open, but for the root
     hidden: str | None = None
     depth_hidden = in_link = 0
     lost: set[int] | None = None
@@ -108,8 +110,22 @@ def parse(page: str) -> list[Node]:
         if in_link:
             linked += len(text)
 
+    def close(k: int) -> None:
+        """Ends the open elements from the k-th on."""
+        for t, _ in stack[k:]:
+            opened[t] -= 1
+        del stack[k:]
+
     at = 0
-    tokens = list(_MARKUP.finditer(page))
+    # behind the last ">" there is no whole tag, so none is looked for there;
+    # what is open at that place, or begins behind it, may last to the end
+    end = page.rfind(">") + 1
+    tokens = list(_MARKUP.finditer(page, 0, end))
+    if tokens and tokens[-1].end() == end:
+        tokens[-1] = _MARKUP.match(page, tokens[-1].start())
+        end = tokens[-1].end()
+    if last := _UNENDED.search(page, end):
+        tokens.append(_MARKUP.match(page, last.start()))
     for m in tokens:
         if m.start() > at and hidden is None:
             take(page[at : m.start()])
@@ -129,7 +145,7 @@ def parse(page: str) -> list[Node]:
                 if inner.get(tag):
                     inner[tag] -= 1
                     continue
-                if tag in INLINE or all(t != tag for t, _ in stack[1:]):
+                if tag in INLINE or not opened.get(tag):
                     continue
             elif tag != "body" and tag not in breaks:
                 if tag not in VOID and not m["rest"].endswith("/"):
@@ -139,14 +155,15 @@ def parse(page: str) -> list[Node]:
         if m["end"]:
             if tag == "a":
                 in_link = 0
-            if tag in INLINE or all(t != tag for t, _ in stack[1:]):
+            if tag in INLINE or not opened.get(tag):
                 if tag == "p":
                     flush()
                 continue
             flush()
-            while stack[-1][0] != tag:
-                stack.pop()
-            stack.pop()
+            k = len(stack) - 1
+            while stack[k][0] != tag:
+                k -= 1
+            close(k)
             continue
         if tag in UNSEEN:
             if not m["rest"].endswith("/"):
@@ -169,20 +186,21 @@ def parse(page: str) -> list[Node]:
         in_link = 0
         closes = CLOSES.get(tag, frozenset())
         while len(stack) > 1 and (stack[-1][0] == "p" or stack[-1][0] in closes):
-            stack.pop()
-        if closes and tag not in ("tr", "td", "th"):
+            close(len(stack) - 1)
+        if any(opened.get(t) for t in closes) and tag not in ("tr", "td", "th"):
             for k in range(len(stack) - 1, 0, -1):  # an open sibling below other blocks
                 if stack[k][0] in closes:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in _SCOPE:
                     break
-        if tag in ("html", "body") and any(t == tag for t, _ in stack):
+        if tag == "html" or tag == "body" and opened.get(tag):
             continue
         if tag in VOID:
             continue
         nodes.append(Node(tag, _names(m["rest"]), stack[-1][1]))
         stack.append((tag, len(nodes) - 1))
+        opened[tag] = opened.get(tag, 0) + 1
     if at < len(page) and hidden is None:
         rest = page[at:]
         cut = rest.rfind("<")  # a tag that the end of the page cuts off

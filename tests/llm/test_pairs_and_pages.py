@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -315,3 +316,24 @@ def test_unseen_elements_without_end_hide_no_article():
         assert _seen(twice) == ["first", "second"], tag
         whole = f"<body><div><{tag}><div><p>unseen</p></div><{tag}>too</{tag}></{tag}>first</div><p>second"
         assert _seen(whole) == ["first", "second"], tag
+
+
+ODD_PAGES = {
+    "tags without an end": "<script a" * 110_000,
+    "ends without a start": "<div>" * 90_000 + "</foo>" * 90_000,
+    "quotes without an end": '<p class="' * 100_000,
+    "items below many others": "<x>" * 120_000 + "<li>" * 120_000,
+    "deep blocks": "<div>" * 90_000 + "</div>" * 90_000,
+    "brackets": "<" * 1_000_000,
+    "comments without an end": "<!--" * 250_000,
+}
+
+
+@pytest.mark.parametrize("kind", ODD_PAGES)
+def test_a_megabyte_of_odd_markup_is_parsed_in_linear_time(kind):
+    began = time.process_time()
+    dom.parse(ODD_PAGES[kind])
+    assert time.process_time() - began < 5
+    # the whole article behind it is still there
+    seen = _seen(ODD_PAGES[kind][:3000] + '-->"></script><p>the article</p>')
+    assert any("the article" in t for t in seen)
