@@ -223,3 +223,94 @@ def ranked_encoder(name: str) -> RankedEncoder:
     if name not in _RANKED:
         _RANKED[name] = RankedEncoder(public_tokenizers.path(name))
     return _RANKED[name]
+
+
+# --------------------------------------------------------------------------
+# vocabularies with word ends
+# --------------------------------------------------------------------------
+
+#: A word of letters that composed forms leave as they are, and what may follow.
+_PLAIN_WORD = re.compile(r"([A-Za-z\u00aa\u00b5\u00ba\u00c0-\u012f\u0131-\u024f]+)([.,;:!?]*)")
+_END = "\0"  # stands for the word end, and occurs in no plain word
+
+
+class WordEndCoder:
+    """Ids of a byte-level file whose merges know a word's last character.
+    Plain words, with or without punctuation after them, go through merge
+    ranks: the end is a byte of its own that merges with the last one first.
+    Everything else goes through the library. The ids of the merges must grow
+    in merge order, which is checked."""
+
+    def __init__(self, path: str, dtype: str):
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        suffix, vocabulary = model["end_of_word_suffix"], model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ids = [vocabulary[a + b] for a, b in pairs]
+        if ids != sorted(ids) or (ids and ids[0] != 512):
+            raise ValueError(f"the ids of {path} do not grow in merge order")
+        self.size = max(vocabulary.values()) + 1
+        self.dtype = np.dtype(dtype)
+        if self.size > 1 << (8 * self.dtype.itemsize):
+            raise ValueError(f"{self.size} ids do not fit into {self.dtype.itemsize} bytes each")
+        self.kind = {1: "B", 2: "H", 4: "I", 8: "Q"}[self.dtype.itemsize]
+        of, ranks = byte_characters(), {}
+        for piece, i in vocabulary.items():
+            ends = piece.endswith(suffix)
+            body = piece[: -len(suffix)] if ends else piece
+            if all(c in of for c in body):
+                ranks[bytes([of[c] for c in body]) + (_END.encode() if ends else b"")] = i
+        self.merge = tiktoken.Encoding(
+            "word-ends", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={}
+        ).encode_ordinary
+        self.library = LibraryCoder(path, dtype)
+
+    def plain(self, chunk: str) -> bytes | None:
+        """Ids of a plain word, None for anything else."""
+        m = _PLAIN_WORD.fullmatch(chunk)
+        if not m or not m[1].isalpha():
+            return None
+        marked = m[1].lower() + _END + (m[2] + _END if m[2] else "")
+        ids = array(self.kind, self.merge(marked))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+
+class WordEncoder:
+    """Texts to ids, each distinct short chunk coded once while remembered."""
+
+    def __init__(self, path: str, dtype: str, limit: int = MEMORY_BYTES):
+        self.coder, self.memory = WordEndCoder(path, dtype), ChunkMemory(limit)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        cut = [word_chunks(t) for t in texts]
+        found = [list(map(self.memory.get, c)) for c in cut]
+        fresh: dict[str, bytes | None] = {}
+        for chunks, got in zip(cut, found):
+            if None in got:
+                for chunk, data in zip(chunks, got):
+                    if data is None and chunk not in fresh:
+                        fresh[chunk] = self.coder.plain(chunk) if chunk else b""
+        odd = [c for c, data in fresh.items() if data is None]
+        if odd:
+            fresh.update(zip(odd, self.coder.library(odd)))
+        for chunk, data in fresh.items():
+            self.memory.keep(chunk, data, len(data))
+        return [
+            b"".join([fresh[c] if data is None else data for c, data in zip(chunks, got)])
+            if None in got
+            else b"".join(got)
+            for chunks, got in zip(cut, found)
+        ]
+
+
+_WORDS: dict[tuple[str, str], WordEncoder] = {}
+
+
+def word_encoder(name: str, dtype: str) -> WordEncoder:
+    """The encoder of a file with word ends, one per Python worker."""
+    key = (name, dtype)
+    if key not in _WORDS:
+        _WORDS[key] = WordEncoder(public_tokenizers.path(name), dtype)
+    return _WORDS[key]

@@ -11,6 +11,10 @@ so an offset costs about 2 + log2(u/n) bits and no 64-bit table is kept.
 Blocks are rows of a Parquet table in the shared folder, written by Spark's
 committer (a lost executor's task is simply run again), ordered by
 (shard, block); shards are ranges of ascending doc_id.
+
+Results for odd input: a null or empty text is its end id alone; documents
+without an id come first, repeated rows are documents of their own; a text
+longer than a block is a block of its own; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandlens.llm.chunks import library_encoder
-from demandlens.llm.common import arrow_map, id_text, partitions, range_buckets
+from demandlens.llm.chunks import word_encoder
+from demandlens.llm.common import arrow_map, id_text, partitions
 from demandlens.session import scratch_path
 
 MAGIC, VERSION = b"EFID", 1
@@ -142,24 +146,27 @@ def write_ids(
     id_col: str = "doc_id",
     text_col: str = "text",
     vocabulary: str = "word_bpe_49k.json",
-    cut: str = "word",
     end_id: int = 1,
     width: int = 2,
 ) -> None:
     """Encodes the texts, appends ``end_id`` to each and writes the blocks in
-    ascending doc_id order (equal ids by a hash of the text, nulls first).
-    ``width`` is the bytes of an id: 2 serve vocabularies up to 65,536."""
+    ascending doc_id order (equal ids in the order of the source, nulls first):
+    shard numbers, and blocks within a shard, ascend with the ids. Rows are
+    dealt to shards by ranges of (doc_id, source row), so rows that share an id,
+    or have none, split too. ``width`` is the bytes of an id: 2 serve
+    vocabularies up to 65,536, larger ones raise."""
     spark = docs.sparkSession
-    source = id_text(docs, id_col, text_col)
-    n = partitions(spark)
+    order = [F.col("doc_id").asc_nulls_first(), F.col("row")]
     placed = (
-        range_buckets(source, "doc_id", 2 * n, "shard")
-        .repartition(n, "shard")
-        .sortWithinPartitions("shard", "doc_id", F.xxhash64("text"))
+        id_text(docs, id_col, text_col)
+        .withColumn("row", F.monotonically_increasing_id())
+        .repartitionByRange(partitions(spark), *order)
+        .sortWithinPartitions(*order)
+        .select(F.spark_partition_id().alias("shard"), "doc_id", "text")
     )
 
     def run(batches):
-        encode = library_encoder(vocabulary, cut, f"<u{width}")
+        encode = word_encoder(vocabulary, f"<u{width}")
         end = np.asarray([end_id], f"<u{width}").tobytes()
         shard, block, before, size = None, 0, 0, 0
         names: list = []
@@ -220,7 +227,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                 batch.column("first").to_pylist(), batch.column("data").to_pylist()
             ):
                 block = Block(data)
-                ends = block.ends.all()
+                ends = np.array([block.ends.select(i) for i in range(block.n_docs)], np.int64)
                 begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
                 crc = [
                     zlib.crc32(block.ids[a:b].astype("<u4").tobytes())

@@ -1,6 +1,7 @@
 """Operators 2, 3, 4: tree BPE, packing, Elias-Fano id files."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -189,3 +190,56 @@ def test_id_files_on_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     path = scratch_path(spark, "none")
     ef_ids.write_ids(no_docs, path)
     assert ef_ids.read_ids(spark, path).count() == 0
+
+
+def test_plain_words_equal_the_library():
+    """Every entry of the vocabulary as a word, and words of odd letters."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    coder = chunks.WordEndCoder(path, "<u2")
+    letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]
+    words = letters + [f"x{c}" for c in letters] + [f"{c}b." for c in letters]
+    of = chunks.byte_characters()
+    with open(path, encoding="utf-8") as f:
+        entries = [k.removesuffix("</w>") for k in json.load(f)["model"]["vocab"]]
+    for entry in entries:
+        if all(c in of for c in entry):
+            word = bytes(of[c] for c in entry).decode(errors="ignore")
+            words += [word] if word and not any(c.isspace() for c in word) else []
+    rng = random.Random(8)
+    words += ["".join(rng.choice("abcXYéß.!?'1-") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    plain = [(w, coder.plain(w)) for w in words]
+    assert sum(ids is not None for _, ids in plain) > 40_000
+    want = library.encode_batch_fast([w for w, ids in plain if ids is not None], add_special_tokens=False)
+    for (w, ids), e in zip([x for x in plain if x[1] is not None], want):
+        assert ids == np.array(e.ids, "<u2").tobytes(), w
+    with pytest.raises(ValueError, match="do not fit"):
+        chunks.WordEndCoder(path, "u1")
+
+
+def test_word_encoder_equals_the_library_on_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.encode_special_tokens = True
+    texts = _texts(300, 7) + [t or "" for _, t, _ in ODD] + ["Don't stop, it's THE end...", "İstanbul\u0301 e\u0301"]
+    for limit in (1 << 20, 2000):
+        got = chunks.WordEncoder(path, "<u2", limit)(texts)
+        want = library.encode_batch_fast(texts, add_special_tokens=False)
+        assert got == [np.array(e.ids, "<u2").tobytes() for e in want]
+
+
+def test_files_are_in_order_of_ids_and_split_rows_that_share_one(spark):
+    rows = [(k * 7 % 300, f"text {k}") for k in range(300)] + [(5, "again")] * 200 + [(None, "none")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = scratch_path(spark, "ids")
+    ef_ids.write_ids(docs, path)
+    blocks = spark.read.parquet(path).orderBy("shard", "block").collect()
+    found = [i for b in blocks for i in ef_ids.Block(bytes(b.data)).doc_ids]
+    assert found == sorted([r[0] for r in rows], key=lambda i: (i is not None, i or 0))
+    assert len({b.shard for b in blocks}) > 2 and max(b.n_docs for b in blocks) < 400
+    starts = sorted((r.start, r.n_tokens) for r in ef_ids.read_ids(spark, path).collect())
+    at = 0
+    for start, n in starts:
+        assert start == at
+        at += n
