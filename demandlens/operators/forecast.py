@@ -143,6 +143,8 @@ def random_forest_pipeline(num_trees: int = 200, seed: int = 42) -> Pipeline:
                 minInstancesPerNode=5,
                 featureSubsetStrategy="all",
                 seed=seed,
+                # nodes whose sums a task holds at once: half as many passes
+                maxMemoryInMB=512,
             ),
         ]
     )
@@ -268,6 +270,27 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Rows of a partition that learners go through again and again: as many
+#: partitions as cores, of no fewer and no more rows than these.
+LEAST_ROWS, MOST_ROWS = 1 << 14, 1 << 20
+
+
+def materialise_sides(split: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a slice cut out of a larger table: written once, in
+    partitions by the slice's own rows. A partition of a forest's rows sends sums
+    for every node of every tree, so those of the table would multiply them."""
+    written = materialise(split)
+    rows = {r["split"]: r["count"] for r in written.groupBy("split").count().collect()}
+    cores = split.sparkSession.sparkContext.defaultParallelism
+
+    def side(name: str) -> DataFrame:
+        n = rows.get(name, 0)
+        parts = max(1, math.ceil(n / MOST_ROWS), min(cores, math.ceil(n / LEAST_ROWS)))
+        return written.filter(F.col("split") == name).drop("split").coalesce(parts)
+
+    return side("train"), side("test")
+
+
 def run_tournament(
     featured: DataFrame, cfg: TrainConfig, observation: Observation | None = None
 ) -> tuple[DataFrame, dict[str, PipelineModel], DataFrame]:
@@ -276,8 +299,7 @@ def run_tournament(
     predictions). Train and test are written once and read by all models; the
     leaderboard also has each contender's fit time in seconds."""
     s = whale_slice(featured, cfg.target_warehouse, cfg.target_category)
-    train, test = train_test(s, cfg.test_year, observation)
-    train, test = materialise(train), materialise(test)
+    train, test = materialise_sides(split_column(s, cfg.test_year, observation))
     # contenders are independent, seeded Spark jobs: fit them concurrently
     # so a small slice does not leave most cores idle
     with ThreadPoolExecutor(max_workers=max(1, min(len(cfg.models), 8))) as pool:
@@ -358,8 +380,9 @@ def run_group_tournament(
     keys = list(cfg.group_cols)
     if not keys:
         raise ValueError("group_cols names no column to train by")
-    train, test = train_test(featured, cfg.test_year)
-    train, test = materialise(train), materialise(test)
+    # written once: both sides come from the same windows over all rows
+    split = materialise(split_column(featured, cfg.test_year))
+    train, test = (split.filter(F.col("split") == side).drop("split") for side in ("train", "test"))
     models, predictions = {}, None
     for name in cfg.models:
         if name == FOREST:

@@ -401,8 +401,7 @@ def q_leaderboard(spark, sf):
 
 def _split(spark, sf):
     s = FC.whale_slice(_featured(spark, sf), WAREHOUSE, CATEGORY)
-    train, test = FC.train_test(s, TEST_YEAR)
-    return FC.materialise(train), FC.materialise(test)
+    return FC.materialise_sides(FC.split_column(s, TEST_YEAR))
 
 
 RIDGE, TREND, FOREST, BY_LEVEL, LEAFWISE = DEFAULT_MODELS

@@ -214,3 +214,14 @@ def test_boosting_beats_the_forest_on_its_training_rows(spark):
 
     forest = error(DEFAULT_MODELS[2])
     assert error(DEFAULT_MODELS[3]) < forest
+
+
+def test_sides_of_a_slice_are_in_partitions_by_their_rows(spark):
+    rows = spark.range(0, 900, 1, 40).withColumn("split", F.when(F.col("id") % 3 == 0, "test").otherwise("train"))
+    train, test = FC.materialise_sides(rows)
+    assert train.rdd.getNumPartitions() == test.rdd.getNumPartitions() == 1
+    assert sorted(r.id for r in train.collect()) == [k for k in range(900) if k % 3]
+    assert sorted(r.id for r in test.collect()) == list(range(0, 900, 3))
+    assert train.columns == ["id"]
+    none, _ = FC.materialise_sides(rows.filter("split = 'test'"))
+    assert none.count() == 0
