@@ -94,40 +94,68 @@ class BiLstmCrf:
         self.mask = np.where(allowed, 0, FORBIDDEN).astype(np.float32)
         self.start = np.where(start, 0, FORBIDDEN).astype(np.float32)
 
-    def emissions(self, ids: np.ndarray) -> np.ndarray:
+    def after(self, symbol: int, steps: int) -> list:
+        """State and cell of the direction from last to first when it has read
+        the symbol 0, 1, .. ``steps`` times."""
+        p = self.p
+        x = p["e"][np.full((steps + 1, 1), symbol)]
+        return [k[0] for k in reversed(_lstm(x, p["rx"], p["rh"], p["rb"], True)[1])]
+
+    def emissions(self, ids: np.ndarray, after=None) -> np.ndarray:
         """(time, batch, tags) for ids (batch, time). Equals ``_run`` without
-        what gradients need; features come first, so that rows are contiguous.
-        With sigmoid(x) = (tanh(x / 2) + 1) / 2 gates are kept doubled, the
-        halves taken by the weights and once by the cell."""
+        what gradients need. What stands behind all sequences can be given as
+        the state and cell that it leaves to the direction from last to first.
+
+        Features come first, so that rows are contiguous, and both directions
+        share the calls. With sigmoid(x) = 1 / (1 + exp(-x)) and tanh(x) =
+        2 sigmoid(2 x) - 1 all gates are one exponential: weights take the signs
+        and doublings, states are kept halved, cells times -2 (the input gate is
+        -4 times its value). The product that gives a step's gates also gives
+        the tags of the states before it."""
         one_thread()
         p, n, steps = self.p, *ids.shape
-        hidden, embed = p["fh"].shape[0], p["e"].shape[1]
-        scale = np.ones(4 * hidden, p["e"].dtype)
-        scale[: 3 * hidden] = 0.5
-        letters, order = np.ascontiguousarray(p["e"].T), np.ascontiguousarray(ids.T)
-        states = np.empty((steps, 2 * hidden, n), scale.dtype)
-        for k, d in enumerate("fr"):
-            weights = np.concatenate([p[d + "h"] / 2, p[d + "x"], p[d + "b"][None]]) * scale
-            weights = np.ascontiguousarray(weights.T)
-            put = np.zeros((hidden + embed + 1, n), scale.dtype)  # doubled state, letter, bias
-            put[-1] = 1
-            h, letter = put[:hidden], put[hidden:-1]
-            gates, c = np.empty((4 * hidden, n), scale.dtype), np.zeros((hidden, n), scale.dtype)
-            i, f, o, g = gates.reshape(4, hidden, n)
-            ifo = gates[: 3 * hidden]
-            for t in reversed(range(steps)) if k else range(steps):
-                np.take(letters, order[t], axis=1, out=letter, mode="clip")
-                np.matmul(weights, put, out=gates)
-                np.tanh(gates, out=gates)
-                ifo += 1
+        hidden, embed, kind = p["fh"].shape[0], p["e"].shape[1], p["e"].dtype
+        one, half = np.array(1, kind), np.array(0.5, kind)
+        scale, over = np.full(4 * hidden, -1, kind), np.ones((4 * hidden, 1), kind)
+        scale[3 * hidden :], over[:hidden] = -2, -4
+        letters, order = np.ascontiguousarray(p["e"].T), np.ascontiguousarray(ids.T, np.intp)
+        weights, tags = [], np.zeros((2, hidden + embed + 1, len(self.start)), kind)
+        tags[:, :hidden], tags[0, -1] = 2 * p["w"].reshape(2, hidden, -1), p["b"]
+        for d, to_tags in zip("fr", tags):
+            to_gates = np.concatenate([2 * p[d + "h"], p[d + "x"], p[d + "b"][None]]) * scale
+            weights.append(np.ascontiguousarray(np.concatenate([to_gates, to_tags], axis=1).T))
+        put = np.ones((2, hidden + embed + 1, n), kind)  # halved state, letter, bias
+        state, letter, c = put[:, :hidden], put[:, hidden:-1], np.zeros((2, hidden, n), kind)
+        state[:] = 0
+        if after is not None:
+            state[1], c[1] = after[0].T / 2, after[1].T * -2
+        got = np.empty((2, 4 * hidden + len(self.start), n), kind)
+        gates, found = got[:, : 4 * hidden], got[:, 4 * hidden :]
+        i, f, o, g = (gates[:, k * hidden : (k + 1) * hidden] for k in range(4))
+        out = np.zeros((len(self.start), steps, n), kind)
+        with np.errstate(over="ignore"):  # 1 / (1 + inf) is the 0 that is meant
+            for t in range(steps + 1):
+                for k in range(2):
+                    if t < steps:
+                        np.take(letters, order[steps - 1 - t if k else t], axis=1, out=letter[k], mode="clip")
+                    np.dot(weights[k], put[k], out=got[k])
+                    if t:
+                        out[:, steps - t if k else t - 1] += found[k]
+                if t == steps:
+                    break
+                np.exp(gates, out=gates)
+                gates += one
+                np.divide(over, gates, out=gates)
+                g -= half
+                g *= i
                 c *= f
-                i *= g
-                c += i
-                c *= 0.5
-                np.tanh(c, out=g)
-                np.multiply(o, g, out=h)
-                states[t, k * hidden : (k + 1) * hidden] = h
-        return ((p["w"] / 2).T @ states).transpose(0, 2, 1) + p["b"]
+                c += g
+                np.exp(c, out=g)
+                g += one
+                np.divide(one, g, out=g)
+                g -= half
+                np.multiply(o, g, out=state)
+        return out.transpose(1, 2, 0)
 
     def _run(self, ids):
         p = self.p

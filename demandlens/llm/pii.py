@@ -38,7 +38,7 @@ WINDOW, SPAN, STEP, REACH = 64, 256, 224, 32
 #: an added span.
 TOGETHER, CONFIDENT = 384, 0.95
 #: Characters whose emissions are held together, unless one text has more.
-HELD = 1 << 19
+HELD = 1 << 20
 #: Documents that training contexts and labelled spans are drawn from.
 SAMPLE_DOCS = 400
 
@@ -46,6 +46,7 @@ _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 # the look-behind only skips starts inside a run of digits, which never match
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_DOTTED = re.compile(r"[0-9]\.[0-9]++\.[0-9]")  # stands in each of them
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
@@ -83,7 +84,7 @@ def _emails(text: str) -> list[tuple[int, int]]:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end), sorted."""
     out = [(a, 0, b) for a, b in _emails(text)] if "@" in text else []
-    for m in _IP.finditer(text):
+    for m in _IP.finditer(text) if _DOTTED.search(text) else ():
         # a very long run of digits is no part of at most 255
         parts = [p.lstrip("0")[:4] for p in m.group().split(".")]
         if all(int(p or "0") <= 255 for p in parts):
@@ -107,7 +108,7 @@ def span_string(spans: list[tuple[int, int, int]]) -> str:
 
 #: Tags: 0 outside, then begin and inside of each kind.
 TAGS = 1 + 2 * len(KINDS)
-SYMBOLS = 132
+SYMBOLS, BLANK = 132, 32
 
 
 def _allowed() -> tuple[np.ndarray, np.ndarray]:
@@ -287,22 +288,34 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, steps: int = 1200) ->
     return model
 
 
-def unsure(model: BiLstmCrf, emit: np.ndarray) -> np.ndarray:
-    """Per character whether the best path of the whole text may hold a span
-    there. A span gains over "outside" at most its begin, the sum of its
-    insides and the transitions; where no such sum is positive, none is."""
+def _gains(model: BiLstmCrf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per kind the most that transitions add to a span over "outside": at its
+    begin, at each of its insides and after it."""
     trans = model.p["t"] + model.mask
     begin, inside = np.arange(1, TAGS, 2), np.arange(2, TAGS, 2)
     after = np.concatenate([[0], begin])
     enter = (trans[:, begin] - trans[:, :1]).max(0)
     inner = np.maximum(trans[begin, inside], trans[inside, inside]) - trans[0, 0]
     leave = np.maximum((trans[begin][:, after] - trans[0, after]).max(1), (trans[inside][:, after] - trans[0, after]).max(1))
-    first = (emit[:, begin] - emit[:, :1]).astype(np.float64) + enter
-    first[0] += np.maximum(enter, 0) - enter  # no transition at the ends
-    total = np.cumsum((emit[:, inside] - emit[:, :1]).astype(np.float64) + inner, axis=0)
-    upper = np.maximum.accumulate(total[::-1])[::-1]
-    lower = np.maximum.accumulate(first - total)
-    return (upper + lower + np.maximum(leave, 0) > -1e-3).any(1)  # and what rounding may take
+    return enter[:, None], inner[:, None], np.maximum(leave, 0)[:, None]
+
+
+def unsure(model: BiLstmCrf, emit: np.ndarray, gains=None) -> np.ndarray:
+    """Per character whether the best path of the whole text may hold a span
+    there. A span gains over "outside" at most its begin, the sum of its
+    insides and the transitions; where no such sum is positive, none is."""
+    enter, inner, leave = gains or _gains(model)
+    rows = emit.T
+    first = (rows[1::2] - rows[0]).astype(np.float64) + enter
+    first[:, :1] += np.maximum(enter, 0) - enter  # no transition at the ends
+    total = np.cumsum((rows[2::2] - rows[0]).astype(np.float64) + inner, axis=1)
+    lower = np.maximum.accumulate(first - total, axis=1)
+    least = -1e-3 - leave  # and what rounding may take
+    out = np.zeros(len(emit), bool)
+    for own, low, limit in zip(total, lower, least):
+        if (own + low > limit).any():  # a span of this kind that ends somewhere
+            out |= np.maximum.accumulate(own[::-1])[::-1] + low > limit
+    return out
 
 
 def _around(marked: np.ndarray) -> list[tuple[int, int]]:
@@ -316,37 +329,47 @@ def _around(marked: np.ndarray) -> list[tuple[int, int]]:
 
 
 #: Windows count most at their middle; their first and last characters, which
-#: the tagger sees without context, least.
+#: the tagger sees without context, least. Where two windows overlap, these are
+#: the shares of the later one.
 _WEIGHT = np.minimum(np.arange(1, SPAN + 1), np.arange(SPAN, 0, -1)).astype(np.float32)[:, None]
+_LATER = (_WEIGHT[: SPAN - STEP] / (_WEIGHT[: SPAN - STEP] + _WEIGHT[STEP:]))[:, 0]
 
 
 def _emissions(model: BiLstmCrf, parts: list[str]) -> list[np.ndarray]:
-    """Per part (characters, tags): the windows' emissions, averaged. Parts lie
-    one after the other in cells of STEP characters, filled up with blanks; a
-    window begins with a cell and reaches into the next one. Windows are tagged
-    a few at a time and added up at once, so besides the averages only those
-    few are held, however long a part is."""
+    """Per part (characters, tags): the windows' emissions, averaged. A part is
+    read as if blanks filled up its last window; only their effect on what
+    stands before them is taken, so a window costs as much as it holds of the
+    part. Windows are tagged a few of like length at a time and added up at
+    once, so besides the averages only those few are held, however long a part
+    is."""
     codes = [symbols(p) for p in parts]
-    windows = np.array([1 + max(0, -(-(len(c) - SPAN) // STEP)) for c in codes])
-    cells = windows + 1  # the last window's end is in a cell of its own
-    first = np.concatenate([[0], np.cumsum(cells)])
-    ids = np.full((first[-1] + 1) * STEP, 32, np.uint8)
-    for code, cell in zip(codes, first * STEP):
-        ids[cell : cell + len(code)] = code
-    at = np.concatenate([np.arange(c, c + n) for c, n in zip(first, windows)])
-    view = np.lib.stride_tricks.sliding_window_view(ids, SPAN)[::STEP]
-    sums, weights = np.zeros((first[-1], STEP, TAGS), np.float32), np.zeros((first[-1], STEP, 1), np.float32)
-    over = SPAN - STEP
-    for k in range(0, len(at), TOGETHER):
-        cell = at[k : k + TOGETHER]
-        got = model.emissions(view[cell]).transpose(1, 0, 2) * _WEIGHT
-        sums[cell] += got[:, :STEP]
-        sums[cell + 1, :over] += got[:, STEP:]
-        weights[cell] += _WEIGHT[:STEP]
-        weights[cell + 1, :over] += _WEIGHT[STEP:]
-    sums /= np.maximum(weights, 1)
-    flat = sums.reshape(-1, TAGS)
-    return [flat[c * STEP : c * STEP + len(code)] for c, code in zip(first, codes)]
+    sizes = np.array([len(c) for c in codes])
+    ends = np.cumsum(sizes)
+    windows = 1 + np.maximum(0, -(-(sizes - SPAN) // STEP))
+    part = np.repeat(np.arange(len(parts)), windows)
+    number = np.arange(len(part)) - np.repeat(np.cumsum(windows) - windows, windows)
+    at = (ends - sizes)[part] + number * STEP
+    lengths = np.minimum(SPAN, ends[part] - at)
+    ids = np.full(ends[-1] + SPAN, BLANK, np.uint8)
+    ids[: ends[-1]] = np.concatenate(codes)
+    blanks = model.after(BLANK, SPAN)
+    flat = np.zeros((TAGS, ends[-1]), np.float32)
+    order = np.argsort(-lengths, kind="stable")
+    k = 0
+    while k < len(order):
+        steps = lengths[order[k]]
+        like = np.searchsorted(-lengths[order], -0.8 * steps)
+        some = order[k : min(k + TOGETHER, max(like, k + TOGETHER // 6))]
+        k += len(some)
+        within = np.arange(steps)
+        view = np.where(within < lengths[some, None], ids[at[some, None] + within], BLANK)
+        got = np.ascontiguousarray(model.emissions(view, blanks[SPAN - steps]).transpose(2, 1, 0))
+        got[:, number[some] > 0, : SPAN - STEP] *= _LATER[:steps]
+        if steps == SPAN:
+            got[:, number[some] < windows[part[some]] - 1, STEP:] *= 1 - _LATER
+        for j, (a, size) in enumerate(zip(at[some].tolist(), lengths[some].tolist())):
+            flat[:, a : a + size] += got[:, j, :size]
+    return [flat[:, b - n : b].T for b, n in zip(ends.tolist(), sizes.tolist())]
 
 
 _SPELLED = re.compile(r"[\s(\[]*\bdot\b[\s)\]]*", re.I)
@@ -397,6 +420,7 @@ def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int
     """Spans that the tagger finds in each text, all kinds, sorted: those on
     the best path of the whole text that are confident and of their form."""
     found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    gains = _gains(model)
     own: list[int] = []
     held = 0
     for k, text in enumerate(texts):
@@ -407,11 +431,11 @@ def tagged_spans(model: BiLstmCrf, texts: list[str]) -> list[list[tuple[int, int
             regions = [
                 (j, a, emit[a:b])
                 for j, emit in zip(own, _emissions(model, [texts[j] for j in own]))
-                for a, b in _around(unsure(model, emit))
+                for a, b in _around(unsure(model, emit, gains))
             ]
-            paths = model.best_paths([r[2] for r in regions])
+            paths = model.best_paths([r[2] for r in regions], TOGETHER)
             some = [(j, a, emit, tags) for (j, a, emit), tags in zip(regions, paths) if tags.any()]
-            for (j, a, _, tags), sure in zip(some, model.all_marginals([s[2] for s in some])):
+            for (j, a, _, tags), sure in zip(some, model.all_marginals([s[2] for s in some], TOGETHER)):
                 for at, kind, end in _spans_on(tags):
                     mean = sure[np.arange(at, end), tags[at:end]].mean()
                     size = formed(kind, texts[j][a + at : a + end]) if mean >= CONFIDENT else 0

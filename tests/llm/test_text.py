@@ -420,6 +420,41 @@ def test_fast_emissions_equal_those_of_training():
     assert np.abs(model.emissions(ids) - model._run(ids)[0]).max() < 1e-4
 
 
+def test_windows_cost_what_they_hold(monkeypatch):
+    """The blanks that fill up a text's last window are not run through the
+    network; their effect on the text is that of a filled-up window."""
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    ids = np.random.default_rng(2).integers(0, pii.SYMBOLS, (3, 40))
+    filled = np.concatenate([ids, np.full((3, 60), pii.BLANK)], axis=1)
+    got = model.emissions(ids, model.after(pii.BLANK, 60)[60])
+    assert np.abs(got - model._run(filled)[0][:40]).max() < 1e-4
+    run, read = BiLstmCrf.emissions, []
+    monkeypatch.setattr(BiLstmCrf, "emissions", lambda self, ids, *more: read.append(np.size(ids)) or run(self, ids, *more))
+    texts = ["a few words"] * 400 + ["b" * (pii.SPAN + pii.STEP // 4)] * 400
+    pii._emissions(model, texts)
+    assert sum(read) < 1.3 * sum(map(len, texts))
+
+
+def test_unsure_characters_are_those_of_every_possible_span():
+    rng = np.random.default_rng(8)
+    model = BiLstmCrf(pii.SYMBOLS, *pii._allowed())
+    model.p["t"] = rng.standard_normal((pii.TAGS, pii.TAGS)).astype(np.float32)
+    enter, inner, leave = (x[:, 0].astype(np.float64) for x in pii._gains(model))
+    for n in (1, 2, 30):
+        emit = rng.standard_normal((n, pii.TAGS)).astype(np.float32) * 4
+        emit[:, 0] += 6
+        want = np.zeros(n, bool)
+        for k in range(len(pii.KINDS)):
+            for a in range(n):
+                gain = emit[a, 1 + 2 * k] - emit[a, 0] + (enter[k] if a else max(enter[k], 0)) + leave[k]
+                for b in range(a, n):
+                    if b > a:
+                        gain += emit[b, 2 + 2 * k] - emit[b, 0] + inner[k]
+                    if gain > -1e-3:
+                        want[a : b + 1] = True
+        assert (pii.unsure(model, emit) == want).all()
+
+
 def test_tagger_reads_whole_texts():
     """Spelled-out data, digits of other scripts and short forms, also where no
     ASCII digit or at sign is near; ordinary words stay."""
