@@ -105,7 +105,7 @@ def train_groups(featured: DataFrame, cfg: TrainConfig, model_dir: str, report_d
     folder of this run, and the leaderboard of all groups as Parquet."""
     spark = featured.sparkSession
     run = uuid.uuid4().hex[:12]
-    board, models, _ = FC.run_group_tournament(featured, cfg)
+    board, models, _ = FC.run_group_tournament(featured, cfg, cfg.models)
     paths = {}
     for name, table in models.items():
         paths[name] = f"{model_dir.rstrip('/')}/{run}/groups/{RG.slug(name)}"

@@ -225,3 +225,36 @@ def test_sides_of_a_slice_are_in_partitions_by_their_rows(spark):
     assert train.columns == ["id"]
     none, _ = FC.materialise_sides(rows.filter("split = 'test'"))
     assert none.count() == 0
+
+
+def test_groups_have_forests_of_their_own(spark):
+    """In one task, and by MLlib where a group has more rows than one trains."""
+    df = featured(spark, 90).withColumn("Warehouse", F.concat(F.lit("W"), F.col("month") % 2))
+    cfg = TrainConfig(test_year=2000, num_trees=20, boost_iters=2, group_cols=("Warehouse",))
+    board, models, preds = FC.run_group_tournament(df, cfg, cfg.models)
+    rows = board.collect()
+    assert set(models) == set(DEFAULT_MODELS)
+    assert {(r.Warehouse, r.model) for r in rows} == {(w, m) for w in ("W0", "W1") for m in DEFAULT_MODELS}
+    assert sorted(r["rank"] for r in rows if r.Warehouse == "W0") == [1, 2, 3, 4, 5]
+    found = preds.filter(F.col("model") == DEFAULT_MODELS[2]).toPandas()
+    assert len(found) == df.filter("year = 2000").count() and found.prediction.notna().all()
+    # about what MLlib's forest of the group's rows gives
+    train, test = FC.train_test(df.filter("Warehouse = 'W0'"), 2000)
+    alone = FC.spread_forest(train, cfg)
+    tested = test.toPandas().sort_values("Date")
+    want = alone.predict(tested[list(FEATURE_COLUMNS)].to_numpy(float))
+    got = found[found.Warehouse == "W0"].sort_values("Date").prediction.to_numpy()
+    assert np.corrcoef(got, want)[0, 1] > 0.9
+    usual = np.abs(tested.Order_Demand - train.toPandas().Order_Demand.mean()).mean()
+    assert np.abs(tested.Order_Demand - got).mean() < 0.6 * usual
+
+
+def test_the_group_query_trains_every_contender(spark, monkeypatch):
+    from demandlens.plans import catalog
+
+    df = featured(spark, 60)
+    monkeypatch.setattr(catalog, "_featured", lambda spark, sf: df)
+    few = TrainConfig(test_year=2000, num_trees=2, boost_iters=2, group_cols=("Warehouse", "Product_Category"))
+    monkeypatch.setattr(catalog, "GROUP_CFG", few)
+    rows = catalog.QUERIES["group_leaderboard"](spark, "").collect()
+    assert {r.model for r in rows} == set(DEFAULT_MODELS) and sorted(r["rank"] for r in rows) == [1, 2, 3, 4, 5]
